@@ -96,7 +96,7 @@ def ledger_report_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report written as a delimited file with NULL texts and read back."""
-    path = shared_folder(spark, f"report_csv_{abs(hash(sf_dir))}")
+    path = shared_folder(spark, "report_csv")
     write_delimited(ledger_report_month(spark, sf_dir), path, single_file=True)
     return typed(
         read_delimited(spark, path, LEDGER_REPORT.columns), LEDGER_REPORT
@@ -111,7 +111,7 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
              ELSE concat('Счёт; "', p_name, '", ', p_type) END AS product_name""",
     )
     style = Delimited(sep=",")
-    path = shared_folder(spark, f"text_csv_{abs(hash(sf_dir))}")
+    path = shared_folder(spark, "text_csv")
     write_delimited(part, path, style)
     return read_delimited(spark, path, part.columns, style).select(
         F.col("product_rk").cast("bigint").alias("product_rk"), "product_name"

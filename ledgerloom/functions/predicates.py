@@ -45,7 +45,7 @@ def valid_currency(code: Column, iso: Column) -> Column:
     return F.coalesce(
         code.isNotNull()
         & iso.isNotNull()
-        & code.cast("int").between(LOWEST_CURRENCY_CODE, HIGHEST_CURRENCY_CODE)
+        & code.try_cast("int").between(LOWEST_CURRENCY_CODE, HIGHEST_CURRENCY_CODE)
         & iso.rlike(ISO_CODE_PATTERN)
         & ~iso.isin(*REFUSED_ISO_CODES),
         F.lit(False),

@@ -35,7 +35,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
         base = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/{application}/{name}"
 
 
 class TableStore:
