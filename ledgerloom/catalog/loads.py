@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas as S
 from ledgerloom.catalog import inputs as I
 from ledgerloom.functions.casts import DOTTED_DATE, ISO_DATE, empty_columns, typed
-from ledgerloom.functions.messages import mismatch_lines, mismatch_summary
+from ledgerloom.functions.messages import lines_summary, mismatch_lines
 from ledgerloom.functions.predicates import valid_currency
 from ledgerloom.operators import upsert as U
 from ledgerloom.plans.audit import AuditLog
@@ -50,18 +50,25 @@ class Load:
             self.stage_text(spark, sf_dir), self.spec, self.date_pattern, self.wanted
         )
 
-    def merged(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+    def merged(
+        self, spark: SparkSession, sf_dir: str, stage_rows: int | None = None
+    ) -> DataFrame:
         return U.merge_rows(
             self.target(spark, sf_dir),
             self.stage(spark, sf_dir),
             self.spec.key,
             self.attributes,
             self.valid() if self.valid else None,
+            stage_rows,
         )
 
     def snapshot(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return U.snapshot(self.merged(spark, sf_dir))
 
+    def probed(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The snapshot by the way chosen for a stage counted as small."""
+        return U.snapshot(self.merged(spark, sf_dir, stage_rows=0))
+
     def counters(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return U.load_counters(
             self.merged(spark, sf_dir), self.stage(spark, sf_dir)
@@ -323,11 +330,12 @@ def reject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_message(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mismatch_summary(BALANCES.rejects(spark, sf_dir), S.BALANCE.key)
+    return lines_summary(reject_lines(spark, sf_dir))
 
 
 def posting_reject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mismatch_lines(posting_unmatched(spark, sf_dir), S.POSTING.columns)
+    stage = posting_stage(spark, sf_dir)
+    return mismatch_lines(U.unmatched_after_replace(stage), S.POSTING.columns)
 
 
 # --- jobs end to end -------------------------------------------------------
@@ -380,6 +388,7 @@ def dropped_files_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "upsert_snapshot": BALANCES.snapshot,
+    "upsert_snapshot_probed": BALANCES.probed,
     "upsert_counters": BALANCES.counters,
     "upsert_rejects": BALANCES.rejects,
     "upsert_filtered": CURRENCIES.snapshot,
@@ -600,6 +609,7 @@ _DEAL_COLUMNS = ", ".join(S.DEAL.columns)
 
 ORACLE = {
     "upsert_snapshot": _snapshot_sql("balance", BALANCES),
+    "upsert_snapshot_probed": _snapshot_sql("balance", BALANCES),
     "upsert_counters": _counters_sql("balance", BALANCES),
     "upsert_rejects": _rejects_sql("balance", BALANCES),
     "upsert_filtered": _snapshot_sql("currency", CURRENCIES, _CURRENCY_OK),

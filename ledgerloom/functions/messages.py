@@ -27,22 +27,21 @@ def mismatch_lines(rejects: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rejects.select(mismatch_line(columns).alias("line"))
 
 
-def mismatch_summary(
-    rejects: DataFrame, columns: Sequence[str], first: int = 20
-) -> DataFrame:
-    """One row: how many rows were rejected and the text of the first of them.
+def lines_summary(lines: DataFrame, first: int = 20) -> DataFrame:
+    """One row: how many lines there are and the text of the first of them.
 
     The audit record shows only the first lines in text order. The complete list
-    is ``mismatch_lines``; a load writes it out as a table of its own, so the
+    is ``lines`` itself, which a load writes out as a table of its own, so the
     log text never has to hold an unbounded group.
     """
-    lines = mismatch_lines(rejects, columns)
-    head = lines.orderBy("line").limit(first)
-    text = head.agg(
-        F.expr(f"string_agg(line, '{SEPARATOR}') WITHIN GROUP (ORDER BY line)").alias(
-            "message"
+    text = (
+        lines.orderBy("line")
+        .limit(first)
+        .agg(
+            F.expr(
+                f"string_agg(line, '{SEPARATOR}') WITHIN GROUP (ORDER BY line)"
+            ).alias("message")
         )
     )
-    return text.select(
-        lines.agg(F.count(F.lit(1))).scalar().alias("rejected_rows"), "message"
-    )
+    total = lines.agg(F.count(F.lit(1))).scalar()
+    return text.select(total.alias("rejected_rows"), "message")

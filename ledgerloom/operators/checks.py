@@ -72,38 +72,28 @@ def date_gaps(
     window then sees each calendar day of an entity once, however many rows a
     hot entity has, and the repeats are written out from the counts.
     """
-    counted = df.groupBy(entity, day).agg(F.count(F.lit(1)).alias("_rows"))
-    following = F.lead(day).over(
-        W.partitionBy(entity).orderBy(F.col(day).asc_nulls_last())
+    # The last date has no successor, and rows without a date come after it.
+    counted = (
+        df.filter(F.col(day).isNotNull())
+        .groupBy(entity, day)
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    days = counted.withColumn("next_date", following)
-    last_of_day = days.filter(
-        F.col("next_date") != F.date_add(F.col(day), 1)
-    ).select(entity, day, "next_date")
-    # Two nested explodes keep every generated array short.
-    repeats = (
-        counted.filter((F.col("_rows") > 1) & F.col(day).isNotNull())
-        .select(
-            entity,
-            day,
-            "_rows",
-            F.explode(
-                F.sequence(F.lit(1), F.col("_rows") - 1, F.lit(_RUN))
-            ).alias("_from"),
+    next_day = F.lead(day).over(W.partitionBy(entity).orderBy(day))
+    runs = F.sequence(F.lit(1), F.col("_rows"), F.lit(_RUN))
+    run = F.sequence(F.col("_start"), F.least(F.col("_start") + _RUN - 1, F.col("_rows")))
+    is_gap = F.coalesce(F.col("next_date") != F.date_add(day, 1), F.lit(False))
+    return (
+        counted.withColumn("next_date", next_day)
+        .filter(is_gap | (F.col("_rows") > 1))
+        # Two nested explodes keep every generated array short.
+        .withColumn("_start", F.explode(runs))
+        .withColumn("_copy", F.explode(run))
+        .withColumn(
+            "next_date",
+            F.when(F.col("_copy") < F.col("_rows"), F.col(day)).otherwise(
+                F.col("next_date")
+            ),
         )
-        .select(
-            entity,
-            day,
-            F.col(day).alias("next_date"),
-            F.explode(
-                F.sequence(
-                    F.lit(1),
-                    F.least(F.lit(_RUN), F.col("_rows") - F.col("_from")),
-                )
-            ).alias("_copy"),
-        )
-        .drop("_copy")
-    )
-    return last_of_day.unionByName(repeats).withColumn(
-        "date_diff", F.datediff("next_date", day)
+        .filter(is_gap)
+        .select(entity, day, "next_date", F.datediff("next_date", day).alias("date_diff"))
     )

@@ -66,56 +66,91 @@ def _candidates(
     )
 
 
+# Up to this many staged rows the target is probed instead of shuffled.
+SMALL_STAGE_ROWS = 1_000_000
+
+
 def merge_rows(
     target: DataFrame,
     stage: DataFrame,
     key: Sequence[str],
     attributes: Sequence[str],
     valid: Column | None = None,
+    stage_rows: int | None = None,
 ) -> DataFrame:
     """The table after the load, each row marked in ``_action``.
 
-    The target meets the staged candidates in a left join, so a small stage is
-    broadcast by the planner's size check and the target is not shuffled; a big
-    one goes through a sort-merge join. New keys are found against only those
-    target keys that are staged.
+    By default one full outer join on the key: target and stage are each read
+    and shuffled once. When the stage has been counted and is small, the target
+    is left where it is and only probed (``_merge_small``).
     """
     attributes = list(attributes)
     usable = stage.filter(_has_key(key))
     if valid is not None:
         usable = usable.filter(valid)
     staged = _candidates(usable, key, attributes)
+    if stage_rows is not None and stage_rows <= SMALL_STAGE_ROWS:
+        return _merge_small(target, staged, list(key), attributes)
 
-    same_as_first = all_of(
-        F.col(a).eqNullSafe(F.col(f"_first.{a}")) for a in attributes
+    stored = F.col("_stored").isNotNull()
+    return (
+        target.withColumn("_stored", F.lit(True))
+        .join(staged, list(key), "full_outer")
+        .withColumn(
+            "_new", F.when(stored, _change(attributes)).otherwise(F.col("_first"))
+        )
+        .withColumn(
+            ACTION,
+            F.when(~stored, F.lit(INSERT))
+            .when(F.col("_new").isNotNull(), F.lit(UPDATE))
+            .otherwise(F.lit(KEEP)),
+        )
+        .select(*_taking_new(target.columns, attributes), ACTION)
     )
-    chosen = F.when(same_as_first, F.col("_second")).otherwise(F.col("_first"))
+
+
+def _change(attributes: Sequence[str]) -> Column:
+    """The first staged attributes that differ from the stored ones, or NULL."""
+    same = all_of(F.col(a).eqNullSafe(F.col(f"_first.{a}")) for a in attributes)
+    return F.when(same, F.col("_second")).otherwise(F.col("_first"))
+
+
+def _taking_new(columns: Sequence[str], attributes: Sequence[str]) -> list[Column]:
+    return [
+        F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
+        .otherwise(F.col(c))
+        .alias(c)
+        if c in attributes
+        else F.col(c)
+        for c in columns
+    ]
+
+
+def _merge_small(
+    target: DataFrame, staged: DataFrame, key: list[str], attributes: list[str]
+) -> DataFrame:
+    """Probe the target with few staged keys.
+
+    The left join and the semi join have the small side on the right, where the
+    planner broadcasts it if its size allows, so a huge target is scanned but
+    not shuffled. New keys are those not among the target keys found.
+    """
     matched = (
-        target.join(staged, list(key), "left")
-        .withColumn("_new", chosen)
+        target.join(staged, key, "left")
+        .withColumn("_new", _change(attributes))
         .withColumn(
-            ACTION, F.when(F.col("_new").isNotNull(), F.lit(UPDATE)).otherwise(F.lit(KEEP))
-        )
-        .select(
-            *[
-                F.when(F.col(ACTION) == UPDATE, F.col(f"_new.{c}"))
-                .otherwise(F.col(c))
-                .alias(c)
-                if c in attributes
-                else F.col(c)
-                for c in target.columns
-            ],
             ACTION,
+            F.when(F.col("_new").isNotNull(), F.lit(UPDATE)).otherwise(F.lit(KEEP)),
         )
+        .select(*_taking_new(target.columns, attributes), ACTION)
     )
-    known = target.select(*key).join(staged.select(*key), list(key), "left_semi")
-    given = set(key) | set(attributes)
-    added = staged.join(known, list(key), "left_anti").select(
+    found = target.select(*key).join(staged.select(*key), key, "left_semi")
+    added = staged.join(found, key, "left_anti").select(
         *[
             F.col(f.name)
             if f.name in key
             else F.col(f"_first.{f.name}").alias(f.name)
-            if f.name in given
+            if f.name in attributes
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target.schema
         ],
@@ -196,6 +231,15 @@ def unmatched_rows(stage: DataFrame, stored: DataFrame) -> DataFrame:
     return stage.join(stored.distinct(), stage.columns, "left_anti")
 
 
+def unmatched_after_replace(stage: DataFrame) -> DataFrame:
+    """``unmatched_rows`` against the distinct rows of the same stage.
+
+    A complete row always finds itself there, so only rows with a NULL are left:
+    a filter says the same as the self join, without any shuffle.
+    """
+    return stage.filter(any_of(F.col(c).isNull() for c in stage.columns))
+
+
 def replace_with_distinct(stage: DataFrame) -> DataFrame:
     """New content of a keyless table: the distinct staged rows."""
     return stage.distinct()

@@ -148,6 +148,7 @@ def balance_for_period(
     in_order = W.partitionBy("account_rk").orderBy(
         F.col("v_from"), F.col("v_to"), F.col("moved_on").asc_nulls_first()
     )
+    up_to_now = in_order.rowsBetween(W.unboundedPreceding, W.currentRow)
     new_version = F.coalesce(F.col("prev_from") != F.col("v_from"), F.lit(True))
     overlapping = F.coalesce(
         F.when(new_version, F.col("prev_to") >= F.col("v_from")).otherwise(
@@ -177,7 +178,7 @@ def balance_for_period(
         .withColumn("breaks", (F.col("starts") & ~carries_on).cast("int"))
         .withColumn("opening", F.when(opened, _or_zero("seed")))
         .withColumn("opening_rub", F.when(opened, _or_zero("seed_rub")))
-        .withColumn("island", F.sum("breaks").over(in_order))
+        .withColumn("island", F.sum("breaks").over(up_to_now))
     )
     running = (
         W.partitionBy("account_rk", "island")

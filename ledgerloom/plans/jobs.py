@@ -14,11 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
-from ledgerloom.functions.casts import ISO_DATE, DOTTED_DATE, empty_columns, typed
-from ledgerloom.functions.messages import FILLED_FOR, mismatch_lines, mismatch_summary
+from ledgerloom.functions.casts import DOTTED_DATE, ISO_DATE, typed
+from ledgerloom.functions.messages import FILLED_FOR, lines_summary, mismatch_lines
 from ledgerloom.functions.predicates import valid_currency
 from ledgerloom.operators import upsert as U
 from ledgerloom.operators.checks import require_filled, require_table
+from ledgerloom.operators.versions import keep_freshest
 from ledgerloom.plans.audit import AuditLog
 from ledgerloom.plans.balance import balance_for_day, balance_for_period, seed_balance
 from ledgerloom.plans.balance_repair import apply_opening_correction, balance_turnover
@@ -95,27 +96,28 @@ class Warehouse:
 
     def load_file(self, spec: IngestSpec, path: str) -> U.LoadStats:
         """Land a file, load it into its table, keep the rejected rows."""
-        table, landing = spec.table, stage_table(spec)
-        with self.audit.run(LOAD, table.name) as run:
+        with self.audit.run(LOAD, spec.table.name) as run:
             text = read_delimited(self.spark, path, spec.wanted, spec.style)
-            received = self.store.rewrite(
-                landing, typed(text, table, spec.date_pattern, spec.wanted)
-            )["rows"]
-            run.stats = self.load_stage(spec, self.store.read(landing), received)
-            self.store.truncate(landing)
+            run.stats = self.load_rows(spec, text)
             return run.stats
 
     def load_stage(
         self, spec: IngestSpec, stage: DataFrame, received: int
     ) -> U.LoadStats:
-        """Load staged rows; counters are measured while the table is written."""
+        """Load ``received`` staged rows; counters are taken while writing.
+
+        A NULL in a required column stops the load, except in the key of a keyed
+        table: such a row is rejected instead.
+        """
         table = spec.table
         if table.key:
             named = list(table.key)
             attributes = [c for c in spec.wanted if c not in table.key]
             valid = spec.valid() if spec.valid else None
+            must = [c for c in table.required if c in attributes]
+            require_filled(stage if valid is None else stage.filter(valid), must, table.name)
             merged = U.merge_rows(
-                self.store.read(table), stage, table.key, attributes, valid
+                self.store.read(table), stage, table.key, attributes, valid, received
             )
             seen = self.store.rewrite(
                 table, merged, measures=U.action_counts(), drop=[U.ACTION]
@@ -129,13 +131,23 @@ class Warehouse:
             require_filled(stage, table.required, table.name)
             inserted = self.store.rewrite(table, U.replace_with_distinct(stage))["rows"]
             updated = 0
-            rejects = U.unmatched_rows(stage, self.store.read(table))
+            rejects = U.unmatched_after_replace(stage)
         held = reject_table(spec)
         message = None
         if self.store.rewrite(held, mismatch_lines(rejects, named))["rows"]:
-            message = mismatch_summary(rejects, named).first()["message"]
+            message = lines_summary(self.store.read(held)).first()["message"]
         return U.LoadStats(received, inserted, updated, message)
 
+    def load_rows(self, spec: IngestSpec, text: DataFrame) -> U.LoadStats:
+        """Land all-text rows as typed ones, then load them from there."""
+        landing = stage_table(spec)
+        received = self.store.rewrite(
+            landing, typed(text, spec.table, spec.date_pattern, spec.wanted)
+        )["rows"]
+        stats = self.load_stage(spec, self.store.read(landing), received)
+        self.store.truncate(landing)
+        return stats
+
     def load_detail(
         self, folder: str, posting_date_pattern: str
     ) -> dict[str, U.LoadStats]:
@@ -148,10 +160,15 @@ class Warehouse:
     # --- marts -------------------------------------------------------------
 
     def _fill(
-        self, table: TableSpec, days: Sequence[dt.date], plan: Callable[[], DataFrame], label: str
+        self,
+        table: TableSpec,
+        days: Sequence[dt.date],
+        plan: Callable[[], DataFrame],
+        label: str,
+        compact: bool = False,
     ) -> U.LoadStats:
         with self.audit.run(MART, table.name) as run:
-            rows = self.store.replace_dates(table, plan(), days)
+            rows = self.store.replace_dates(table, plan(), days, compact)
             run.stats = U.LoadStats(rows, rows, 0, FILLED_FOR + label)
             return run.stats
 
@@ -215,6 +232,7 @@ class Warehouse:
                 allow_unmapped,
             ),
             report_date.isoformat(),
+            compact=True,
         )
 
     # --- CSV exchange ------------------------------------------------------
@@ -223,9 +241,8 @@ class Warehouse:
         self, table: TableSpec, path: str, style: Delimited | None = None, single_file: bool = False
     ) -> U.LoadStats:
         with self.audit.run(EXPORT, table.name) as run:
-            rows = self.store.read(table)
-            write_delimited(rows, path, style, single_file)
-            run.stats = U.LoadStats(rows.count(), message=f"{table.name} -> {path}")
+            rows = write_delimited(self.store.read(table), path, style, single_file)
+            run.stats = U.LoadStats(rows, message=f"{table.name} -> {path}")
             return run.stats
 
     def import_csv(
@@ -234,13 +251,14 @@ class Warehouse:
         path: str,
         style: Delimited | None = None,
         truncate_first: bool = False,
+        date_pattern: str = ISO_DATE,
     ) -> U.LoadStats:
-        """Append a file to a table without touching its keys."""
+        """Append a file to a table, or make it the only content; keys unchecked."""
         with self.audit.run(IMPORT, table.name) as run:
-            rows = typed(read_delimited(self.spark, path, table.columns, style), table)
-            if table.partition_by or truncate_first:
-                flat = _unpartitioned(table)
-                added = self.store.rewrite(flat, rows)["rows"]
+            text = read_delimited(self.spark, path, table.columns, style)
+            rows = typed(text, table, date_pattern)
+            if truncate_first:
+                added = self.store.rewrite(table, rows)["rows"]
             else:
                 added = self.store.append(table, rows)
             run.stats = U.LoadStats(added, added, 0, f"{path} -> {table.name}")
@@ -249,7 +267,16 @@ class Warehouse:
     def import_many(
         self, files: Mapping[str, TableSpec], style: Delimited | None = None
     ) -> dict[str, U.LoadStats]:
-        return {p: self.import_csv(t, p, style) for p, t in files.items()}
+        """Several files into their tables; one failure does not stop the others."""
+        done, failed = {}, []
+        for path, table in files.items():
+            try:
+                done[path] = self.import_csv(table, path, style)
+            except Exception as problem:
+                failed.append(problem)
+        if failed:
+            raise ExceptionGroup("some files were not imported", failed)
+        return done
 
     # --- source copies and their marts -------------------------------------
 
@@ -271,8 +298,6 @@ class Warehouse:
     def remove_duplicates(
         self, table: TableSpec, newest_first: Sequence[str]
     ) -> U.LoadStats:
-        from ledgerloom.operators.versions import keep_freshest
-
         return self._reload(
             table, lambda: keep_freshest(self.store.read(table), table.key, newest_first)
         )
@@ -308,7 +333,3 @@ def _days(first: dt.date, last: dt.date) -> list[dt.date]:
 
 def _label(first: dt.date, last: dt.date) -> str:
     return first.isoformat() if first == last else f"{first.isoformat()}..{last.isoformat()}"
-
-
-def _unpartitioned(table: TableSpec) -> TableSpec:
-    return TableSpec(table.layer, table.name, table.schema, table.key, None, table.widths)

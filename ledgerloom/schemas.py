@@ -55,11 +55,9 @@ class TableSpec:
     def required(self) -> list[str]:
         return [f.name for f in self.schema if not f.nullable]
 
-    def named(self, name: str) -> TableSpec:
-        """An empty twin of this table under another name."""
-        return TableSpec(
-            self.layer, name, self.schema, self.key, self.partition_by, self.widths
-        )
+    def twin(self, name: str) -> TableSpec:
+        """An unpartitioned table of the same form under another name."""
+        return TableSpec(self.layer, name, self.schema, self.key, None, self.widths)
 
 
 def _table(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,20 +96,27 @@ SINGLE_FILE_ROWS = 100_000
 
 def write_delimited(
     df: DataFrame, path: str, style: Delimited | None = None, single_file: bool = False
-) -> None:
-    """Write a folder of delimited part files with headers.
+) -> int:
+    """Write a folder of delimited part files with headers; returns the row count.
 
     ``single_file`` gives one part if the result is shown to be small; a bigger
     result keeps its parallel parts, so no task ever receives it whole.
     """
     style = style or Delimited()
-    if single_file and df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-        df = df.coalesce(1)
+    kept = df.persist() if single_file else df
+    out = kept
+    if single_file and kept.count() <= SINGLE_FILE_ROWS:
+        out = kept.coalesce(1)
+    watch = Observation()
     (
-        df.write.mode("overwrite")
+        out.observe(watch, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("header", True)
         .option("sep", style.sep)
         .option("nullValue", style.null_text)
         .option("escape", '"')
         .csv(path)
     )
+    if single_file:
+        kept.unpersist()
+    return watch.get["rows"]

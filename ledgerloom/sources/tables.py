@@ -130,8 +130,9 @@ class TableStore:
             for v in versions
             if _DONE in self._children(f"{self.folder(spec)}/{_VERSION}{v}")
         ]
-        stale = set(versions) - set(complete[-(self.keep_versions - 1):] if self.keep_versions > 1 else [])
-        for old in stale:
+        # The new version counts as one of those to keep.
+        kept = complete[len(complete) - self.keep_versions + 1:]
+        for old in set(versions) - set(kept):
             self._remove(f"{self.folder(spec)}/{_VERSION}{old}")
         return dict(watch.get)
 
@@ -157,24 +158,31 @@ class TableStore:
         return watch.get["rows"]
 
     def replace_dates(
-        self, spec: TableSpec, df: DataFrame, dates: Sequence[dt.date]
+        self,
+        spec: TableSpec,
+        df: DataFrame,
+        dates: Sequence[dt.date],
+        compact: bool = False,
     ) -> int:
         """Replace the partitions of ``dates`` by the rows of ``df``.
 
         A date for which ``df`` has no rows ends up empty: dynamic overwrite
-        leaves such a partition alone, so it is removed afterwards. Rows are
-        gathered by date before the write; the hint lets Spark split a date
-        that is too large for one task.
+        leaves such a partition alone, so it is removed afterwards. Every task
+        writes one file per date it holds, without another shuffle; ``compact``
+        gathers the rows by date first, for a result that is small beside the
+        number of tasks (Spark splits a date too large for one task).
         """
         column, folder = spec.partition_by, self.folder(spec)
         places = {d: f"{folder}/{column}={d.isoformat()}" for d in dates}
         before = {d: set(self._children(p)) for d, p in places.items()}
         watch = Observation()
-        (
+        rows = (
             df.select(*spec.columns)
             .filter(F.col(column).isin(list(dates)))
             .observe(watch, F.count(F.lit(1)).alias("rows"))
-            .hint("rebalance", column)
+        )
+        (
+            (rows.hint("rebalance", column) if compact else rows)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(column)

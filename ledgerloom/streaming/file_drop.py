@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ledgerloom.functions.casts import null_tokens, typed
+from ledgerloom.functions.casts import null_tokens
 from ledgerloom.plans.jobs import IngestSpec, Warehouse
 from ledgerloom.sources.csv_files import text_schema
 
@@ -20,14 +20,10 @@ def load_dropped_files(
     """
 
     def load_batch(rows: DataFrame, batch: int) -> None:
-        stage = typed(
-            null_tokens(rows, spec.style.missing),
-            spec.table,
-            spec.date_pattern,
-            spec.wanted,
-        )
-        with warehouse.audit.run("file_drop", spec.table.name, f"{spec.table.name}-{batch}") as run:
-            run.stats = warehouse.load_stage(spec, stage, stage.count())
+        run_id = f"{spec.table.name}-{batch}"
+        with warehouse.audit.run("file_drop", spec.table.name, run_id) as run:
+            text = null_tokens(rows, spec.style.missing)
+            run.stats = warehouse.load_rows(spec, text)
 
     (
         warehouse.spark.readStream.schema(text_schema(spec.wanted))
