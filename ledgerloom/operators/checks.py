@@ -62,6 +62,31 @@ def require_table(df: DataFrame, spec: TableSpec) -> None:
         require_unique(df, spec.key, spec.name)
 
 
+def enforce_key(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    """The same rows; the job reading them fails on a repeated or NULL key.
+
+    The check rides along in the plan, so a mart is computed once, not once for
+    the check and once for the write. Rows already distributed by (part of) the
+    key are not shuffled again.
+    """
+    others = [c for c in df.columns if c not in key]
+    broken = F.col("_rows") > 1
+    for k in key:
+        broken = broken | F.col(k).isNull()
+    shown = F.format_string(
+        f"{name}: key is not unique or NULL: " + ", ".join(f"{k}=%s" for k in key),
+        *[F.col(k).cast("string") for k in key],
+    )
+    first = key[0]
+    checked = F.when(broken, F.raise_error(shown).cast(df.schema[first].dataType))
+    return (
+        df.groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in others])
+        .withColumn(first, checked.otherwise(F.col(first)))
+        .select(*df.columns)
+    )
+
+
 def date_gaps(
     df: DataFrame, entity: str = "account_rk", day: str = "effective_date"
 ) -> DataFrame:

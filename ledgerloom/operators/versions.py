@@ -48,6 +48,11 @@ def rows_with_repeated_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.join(again, list(key), "left_semi")
 
 
+def in_key_order(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Ascending, NULL last: for showing a result, never inside a plan."""
+    return df.orderBy(*[F.col(k).asc_nulls_last() for k in key])
+
+
 def version_profile(
     df: DataFrame,
     start: str = "effective_from_date",

@@ -18,7 +18,7 @@ from ledgerloom.functions.casts import DOTTED_DATE, ISO_DATE, typed
 from ledgerloom.functions.messages import FILLED_FOR, lines_summary, mismatch_lines
 from ledgerloom.functions.predicates import valid_currency
 from ledgerloom.operators import upsert as U
-from ledgerloom.operators.checks import require_filled, require_table
+from ledgerloom.operators.checks import enforce_key, require_filled
 from ledgerloom.operators.versions import keep_freshest
 from ledgerloom.plans.audit import AuditLog
 from ledgerloom.plans.balance import balance_for_day, balance_for_period, seed_balance
@@ -191,8 +191,7 @@ class Warehouse:
 
         def plan() -> DataFrame:
             seed = seed_balance(read(S.BALANCE), read(S.EXCHANGE_RATE), as_of)
-            require_table(seed, S.DAILY_BALANCE)
-            return seed
+            return enforce_key(seed, S.DAILY_BALANCE.key, S.DAILY_BALANCE.name)
 
         return self._fill(S.DAILY_BALANCE, [as_of], plan, _label(as_of, as_of))
 
@@ -204,8 +203,7 @@ class Warehouse:
             inputs = read(S.ACCOUNT), read(S.TURNOVER), read(S.DAILY_BALANCE)
             if last is None or last == first:
                 day = balance_for_day(*inputs, first)
-                require_table(day, S.DAILY_BALANCE)
-                return day
+                return enforce_key(day, S.DAILY_BALANCE.key, S.DAILY_BALANCE.name)
             return balance_for_period(*inputs, first, last)
 
         return self._fill(

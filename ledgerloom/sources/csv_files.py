@@ -28,6 +28,8 @@ class Delimited:
     sep: str = ";"
     null_text: str = "NULL"
     missing: Sequence[str] = MISSING_TOKENS
+    # Line breaks inside quotes; such a file is read by one task per file.
+    multi_line: bool = False
     encodings: Sequence[str] = ENCODINGS
 
 
@@ -41,6 +43,7 @@ def _reader(spark: SparkSession, style: Delimited, encoding: str):
         .option("sep", style.sep)
         .option("escape", '"')
         .option("encoding", encoding)
+        .option("multiLine", style.multi_line)
         .option("inferSchema", False)
     )
 
@@ -115,6 +118,8 @@ def write_delimited(
         .option("sep", style.sep)
         .option("nullValue", style.null_text)
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     if single_file:

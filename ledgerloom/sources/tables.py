@@ -9,7 +9,9 @@ date and replaced date by date.
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,23 +22,24 @@ _VERSION = "version="
 _DONE = "_SUCCESS"
 
 
+@lru_cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ledgerloom-{application}-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A folder every executor can reach, for tables that outlive one job.
 
     The cluster names it in ``spark.checkpoint.dir``; only a local session
     without that setting gets a temporary folder of its own.
     """
+    context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    application = spark.sparkContext.applicationId
-    return f"{base.rstrip('/')}/{application}/{name}"
+        base = _local_folder(context.applicationId)
+    return f"{base.rstrip('/')}/{context.applicationId}/{name}"
 
 
 class TableStore:
@@ -103,6 +106,13 @@ class TableStore:
             self.spark.read.schema(spec.schema).parquet(folder).select(*spec.columns)
         )
 
+    def preview(self, spec: TableSpec, rows: int = 5) -> str:
+        """Column types and the first rows, for a job log."""
+        df = self.read(spec)
+        types = ", ".join(f"{name} {kind}" for name, kind in df.dtypes)
+        shown = "\n".join(str(tuple(r)) for r in df.limit(rows).collect())
+        return f"{spec.name} ({types})\n{shown}"
+
     # --- writing -----------------------------------------------------------
 
     def rewrite(
