@@ -15,20 +15,17 @@ def rates_by_day(rates: DataFrame, first: Column, last: Column) -> DataFrame:
     without an end date matches nothing, exactly as BETWEEN with NULL does, and
     overlapping periods give several rows for a day, as the interval join would.
     """
-    start = F.greatest(F.col("data_actual_date"), first)
-    end = F.least(F.col("data_actual_end_date"), last)
-    return (
-        rates.filter(
-            F.col("data_actual_end_date").isNotNull()
-            & (F.col("data_actual_date") <= last)
-            & (F.col("data_actual_end_date") >= first)
-            & (F.col("data_actual_date") <= F.col("data_actual_end_date"))
-        )
-        .select(
-            "currency_rk",
-            F.explode(F.sequence(start, end)).alias("_rate_day"),
-            F.col("reduced_cource").alias("rate"),
-        )
+    first_day, last_day = F.col("data_actual_date"), F.col("data_actual_end_date")
+    days = F.sequence(F.greatest(first_day, first), F.least(last_day, last))
+    return rates.filter(
+        last_day.isNotNull()
+        & (first_day <= last)
+        & (last_day >= first)
+        & (first_day <= last_day)
+    ).select(
+        "currency_rk",
+        F.explode(days).alias("on_date"),
+        F.col("reduced_cource").alias("rate"),
     )
 
 

@@ -4,43 +4,39 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import overlaps, valid_on
 from ledgerloom.operators.lookup import rates_by_day
-from ledgerloom.schemas import ACTIVE, AMOUNT, PASSIVE
+from ledgerloom.schemas import ACTIVE, PASSIVE
 
-
-def _or_zero(amount: str | Column) -> Column:
-    return F.coalesce(amount, F.lit(0).cast(AMOUNT))
+_AMOUNT = "DECIMAL(23,8)"
 
 
 def seed_balance(balances: DataFrame, rates: DataFrame, as_of: dt.date) -> DataFrame:
     """Opening balances of ``as_of`` in the form of the balance mart."""
     day = F.lit(as_of)
-    that_day = rates_by_day(rates, day, day).drop("_rate_day")
-    amount = F.col("balance_out").cast(AMOUNT)
-    rate = F.coalesce("rate", F.lit(1).cast("decimal(12,8)"))
+    that_day = rates_by_day(rates, day, day).drop("on_date")
     return (
         balances.filter(F.col("on_date") == day)
         .join(that_day, "currency_rk", "left")
-        .select(
-            day.alias("on_date"),
+        .selectExpr(
+            "on_date",
             "account_rk",
-            amount.alias("balance_out"),
-            (amount * rate).cast(AMOUNT).alias("balance_out_rub"),
+            f"CAST(balance_out AS {_AMOUNT}) AS balance_out",
+            f"""CAST(CAST(balance_out AS {_AMOUNT}) * coalesce(rate, CAST(1 AS DECIMAL(12,8)))
+                  AS {_AMOUNT}) AS balance_out_rub""",
         )
     )
 
 
-def _signed(char_type: Column, debet: Column, credit: Column) -> Column:
+def _signed(suffix: str = "") -> str:
     """Change of a balance; NULL for an account that is neither kind."""
-    debet, credit = _or_zero(debet), _or_zero(credit)
-    return F.when(char_type == ACTIVE, debet - credit).when(
-        char_type == PASSIVE, credit - debet
-    )
+    debet = f"coalesce(debet_amount{suffix}, 0)"
+    credit = f"coalesce(credit_amount{suffix}, 0)"
+    return f"""CASE char_type WHEN '{ACTIVE}' THEN {debet} - {credit}
+                 WHEN '{PASSIVE}' THEN {credit} - {debet} END"""
 
 
 def balance_for_day(
@@ -48,35 +44,22 @@ def balance_for_day(
 ) -> DataFrame:
     """Balances of one day from the stored balances of the day before."""
     day = F.lit(on_date)
-    before = balances.filter(F.col("on_date") == F.date_sub(day, 1)).select(
-        "account_rk",
-        F.col("balance_out").alias("prev"),
-        F.col("balance_out_rub").alias("prev_rub"),
+    before = balances.filter(F.col("on_date") == F.date_sub(day, 1)).selectExpr(
+        "account_rk", "balance_out AS prev", "balance_out_rub AS prev_rub"
     )
     moved = turnover.filter(F.col("on_date") == day).drop("on_date")
-    kind = F.col("char_type")
+    valid = valid_on(day, F.col("data_actual_date"), F.col("data_actual_end_date"))
     return (
-        accounts.filter(
-            valid_on(day, F.col("data_actual_date"), F.col("data_actual_end_date"))
-        )
-        .select("account_rk", "char_type")
+        accounts.filter(valid)
+        .select("account_rk", "char_type", day.alias("on_date"))
         .join(before, "account_rk", "left")
         .join(moved, "account_rk", "left")
-        .select(
-            day.alias("on_date"),
+        .selectExpr(
+            "on_date",
             "account_rk",
-            (
-                _or_zero("prev")
-                + _signed(kind, F.col("debet_amount"), F.col("credit_amount"))
-            )
-            .cast(AMOUNT)
-            .alias("balance_out"),
-            (
-                _or_zero("prev_rub")
-                + _signed(kind, F.col("debet_amount_rub"), F.col("credit_amount_rub"))
-            )
-            .cast(AMOUNT)
-            .alias("balance_out_rub"),
+            f"CAST(coalesce(prev, 0) + {_signed()} AS {_AMOUNT}) AS balance_out",
+            f"""CAST(coalesce(prev_rub, 0) + {_signed('_rub')} AS {_AMOUNT})
+                  AS balance_out_rub""",
         )
     )
 
@@ -100,140 +83,96 @@ def balance_for_period(
     from zero, and so does one whose previous balance was NULL (unknown kind).
     """
     start, end = F.lit(first), F.lit(last)
+    touches = overlaps(
+        F.col("data_actual_date"), F.col("data_actual_end_date"), start, end
+    )
     versions = (
-        accounts.filter(
-            overlaps(
-                F.col("data_actual_date"), F.col("data_actual_end_date"), start, end
-            )
-        )
-        .select(
+        accounts.filter(touches)
+        .selectExpr(
             "account_rk",
             "char_type",
-            F.greatest("data_actual_date", start).alias("v_from"),
-            F.least(F.coalesce("data_actual_end_date", end), end).alias("v_to"),
+            f"greatest(data_actual_date, DATE'{first}') AS v_from",
+            f"least(coalesce(data_actual_end_date, DATE'{last}'), DATE'{last}') AS v_to",
         )
-        .filter(F.col("v_from") <= F.col("v_to"))
+        .filter("v_from <= v_to")
     )
-    moved = turnover.filter(F.col("on_date").between(start, end))
-    seed = balances.filter(F.col("on_date") == F.date_sub(start, 1)).select(
-        "account_rk",
-        F.col("balance_out").alias("seed"),
-        F.col("balance_out_rub").alias("seed_rub"),
+    moved = turnover.filter(F.col("on_date").between(start, end)).selectExpr(
+        "account_rk AS moved_rk",
+        "on_date AS moved_on",
+        "debet_amount",
+        "credit_amount",
+        "debet_amount_rub",
+        "credit_amount_rub",
+    )
+    seed = balances.filter(F.col("on_date") == F.date_sub(start, 1)).selectExpr(
+        "account_rk", "balance_out AS seed", "balance_out_rub AS seed_rub"
     )
-    v, t = versions.alias("v"), moved.alias("t")
-    kind = F.col("v.char_type")
     points = (
-        v.join(
-            t,
-            (F.col("v.account_rk") == F.col("t.account_rk"))
-            & F.col("t.on_date").between(F.col("v.v_from"), F.col("v.v_to")),
+        versions.join(
+            moved,
+            F.expr("account_rk = moved_rk AND moved_on BETWEEN v_from AND v_to"),
             "left",
         )
-        .select(
-            F.col("v.account_rk").alias("account_rk"),
+        .selectExpr(
+            "account_rk",
             "v_from",
             "v_to",
-            kind.isin(ACTIVE, PASSIVE).alias("known"),
-            F.col("t.on_date").alias("moved_on"),
-            _signed(kind, F.col("t.debet_amount"), F.col("t.credit_amount")).alias(
-                "change"
-            ),
-            _signed(
-                kind, F.col("t.debet_amount_rub"), F.col("t.credit_amount_rub")
-            ).alias("change_rub"),
+            f"char_type IN ('{ACTIVE}', '{PASSIVE}') AS known",
+            "moved_on",
+            f"{_signed()} AS change",
+            f"{_signed('_rub')} AS change_rub",
         )
         .join(seed, "account_rk", "left")
     )
 
-    in_order = W.partitionBy("account_rk").orderBy(
-        F.col("v_from"), F.col("v_to"), F.col("moved_on").asc_nulls_first()
+    order = "ORDER BY v_from, v_to, moved_on NULLS FIRST"
+    by_account = f"OVER (PARTITION BY account_rk {order})"
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    # A point is a turnover row of a version, or a version without turnover.
+    neighbours = points.selectExpr(
+        "*",
+        f"lag(v_from) {by_account} AS prev_from",
+        f"lag(v_to) {by_account} AS prev_to",
+        f"lag(known) {by_account} AS prev_known",
+        f"lag(moved_on) {by_account} AS prev_moved",
+        f"lead(v_from) {by_account} AS next_from",
+        f"lead(moved_on) {by_account} AS next_moved",
+    ).selectExpr("*", "coalesce(prev_from <> v_from, TRUE) AS starts")
+    opens = f"starts AND v_from = DATE'{first}'"
+    marked = neighbours.selectExpr(
+        "*",
+        """coalesce(IF(starts, prev_to >= v_from,
+             prev_to <> v_to OR prev_moved <=> moved_on), FALSE) AS overlapping""",
+        """starts AND NOT coalesce(prev_known AND date_add(prev_to, 1) = v_from, FALSE)
+             AS breaks""",
+        f"IF({opens}, coalesce(seed, 0), 0) + coalesce(change, 0) AS step",
+        f"IF({opens}, coalesce(seed_rub, 0), 0) + coalesce(change_rub, 0) AS step_rub",
+    ).selectExpr(
+        "*",
+        f"""sum(CAST(breaks AS INT)) OVER (PARTITION BY account_rk {order} {so_far})
+              AS island""",
     )
-    up_to_now = in_order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    new_version = F.coalesce(F.col("prev_from") != F.col("v_from"), F.lit(True))
-    overlapping = F.coalesce(
-        F.when(new_version, F.col("prev_to") >= F.col("v_from")).otherwise(
-            (F.col("prev_to") != F.col("v_to"))
-            | F.col("prev_moved").eqNullSafe(F.col("moved_on"))
-        ),
-        F.lit(False),
-    )
-    carries_on = F.coalesce(
-        F.col("prev_known") & (F.date_add("prev_to", 1) == F.col("v_from")),
-        F.lit(False),
-    )
-    opened = F.coalesce(new_version & (F.col("v_from") == start), F.lit(False))
-    marked = (
-        points.withColumns(
-            {
-                "prev_from": F.lag("v_from").over(in_order),
-                "prev_to": F.lag("v_to").over(in_order),
-                "prev_known": F.lag("known").over(in_order),
-                "prev_moved": F.lag("moved_on").over(in_order),
-                "next_from": F.lead("v_from").over(in_order),
-                "next_moved": F.lead("moved_on").over(in_order),
-            }
-        )
-        .withColumn("starts", new_version)
-        .withColumn("overlapping", overlapping)
-        .withColumn("breaks", (F.col("starts") & ~carries_on).cast("int"))
-        .withColumn("opening", F.when(opened, _or_zero("seed")))
-        .withColumn("opening_rub", F.when(opened, _or_zero("seed_rub")))
-        .withColumn("island", F.sum("breaks").over(up_to_now))
-    )
-    running = (
-        W.partitionBy("account_rk", "island")
-        .orderBy(F.col("v_from"), F.col("v_to"), F.col("moved_on").asc_nulls_first())
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-
-    def up_to_here(opening: str, change: str) -> Column:
-        return F.sum(
-            _or_zero(F.col(opening)) + _or_zero(F.col(change))
-        ).over(running)
-
+    by_island = f"OVER (PARTITION BY account_rk, island {order} {so_far})"
     # A point holds until the day before the next one of its version; the first
     # point of a version also covers the days before its own turnover.
-    holds_to = F.when(
-        F.col("next_from") == F.col("v_from"), F.date_sub("next_moved", 1)
-    ).otherwise(F.col("v_to"))
-    holds_from = F.when(F.col("starts"), F.col("v_from")).otherwise(F.col("moved_on"))
-    spread = (
-        marked.withColumn("after", up_to_here("opening", "change"))
-        .withColumn("after_rub", up_to_here("opening_rub", "change_rub"))
-        .withColumn(
-            "days",
-            F.when(
-                F.col("overlapping"),
-                F.raise_error(
-                    F.format_string(
-                        "overlapping versions or turnover rows of account %s",
-                        F.col("account_rk").cast("string"),
-                    )
-                ).cast("array<date>"),
-            ).otherwise(F.sequence(holds_from, holds_to)),
-        )
-        .select(
-            "account_rk",
-            "known",
-            "moved_on",
-            "change",
-            "change_rub",
-            "after",
-            "after_rub",
-            F.explode("days").alias("on_date"),
-        )
-    )
-    early = F.coalesce(F.col("on_date") < F.col("moved_on"), F.lit(False))
-
-    def value(after: str, change: str) -> Column:
-        before = F.col(after) - _or_zero(F.col(change))
-        return F.when(
-            F.col("known"), F.when(early, before).otherwise(F.col(after))
-        ).cast(AMOUNT)
-
-    return spread.select(
-        "on_date",
+    spread = marked.selectExpr(
         "account_rk",
-        value("after", "change").alias("balance_out"),
-        value("after_rub", "change_rub").alias("balance_out_rub"),
-    )
+        "known",
+        "moved_on",
+        "change",
+        "change_rub",
+        f"sum(step) {by_island} AS after",
+        f"sum(step_rub) {by_island} AS after_rub",
+        """IF(overlapping,
+             raise_error(concat('overlapping versions or turnover rows of account ',
+               account_rk)),
+             sequence(IF(starts, v_from, moved_on),
+               IF(next_from = v_from, date_sub(next_moved, 1), v_to))) AS days""",
+    ).selectExpr("*", "explode(days) AS on_date")
+
+    def value(suffix: str) -> str:
+        return f"""CAST(IF(known, IF(coalesce(on_date < moved_on, FALSE),
+              after{suffix} - coalesce(change{suffix}, 0), after{suffix}), NULL)
+            AS {_AMOUNT}) AS balance_out{suffix}"""
+
+    return spread.selectExpr("on_date", "account_rk", value(""), value("_rub"))

@@ -8,12 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import overlaps
-from ledgerloom.schemas import AMOUNT, HOME_CURRENCY_CODES, LEDGER_REPORT
+from ledgerloom.schemas import HOME_CURRENCY_CODES, LEDGER_REPORT
 
 # Fixed value: the ledger account is this many leading digits of the number.
 LEDGER_DIGITS = 5
 
 
+_MEASURES = {
+    "balance_in": "opening",
+    "turn_deb": "debet",
+    "turn_cre": "credit",
+    "balance_out": "closing",
+}
+_AMOUNT = "DECIMAL(23,8)"
+
+
 def report_period(report_date: dt.date) -> tuple[Column, Column]:
     """First and last day of the month reported on (constant expressions)."""
     day = F.lit(report_date)
@@ -40,70 +49,66 @@ def ledger_report(
     key forbids: the job fails unless ``allow_unmapped``.
     """
     first, last = report_period(report_date)
-    before = F.date_sub(first, 1)
-    none = F.lit(None).cast(AMOUNT)
     facts = (
-        balances.filter(F.col("on_date").isin(before, last))
-        .select(
+        balances.filter(F.col("on_date").isin(F.date_sub(first, 1), last))
+        .select("account_rk", (F.col("on_date") == last).alias("at_end"), "balance_out_rub")
+        .selectExpr(
             "account_rk",
-            F.when(F.col("on_date") == before, F.col("balance_out_rub")).alias("opening"),
-            F.when(F.col("on_date") == last, F.col("balance_out_rub")).alias("closing"),
-            none.alias("debet"),
-            none.alias("credit"),
+            "IF(at_end, NULL, balance_out_rub) AS opening",
+            "IF(at_end, balance_out_rub, NULL) AS closing",
+            f"CAST(NULL AS {_AMOUNT}) AS debet",
+            f"CAST(NULL AS {_AMOUNT}) AS credit",
         )
         .unionByName(
-            turnover.filter(F.col("on_date").between(first, last)).select(
+            turnover.filter(F.col("on_date").between(first, last)).selectExpr(
                 "account_rk",
-                none.alias("opening"),
-                none.alias("closing"),
-                F.col("debet_amount_rub").alias("debet"),
-                F.col("credit_amount_rub").alias("credit"),
+                f"CAST(NULL AS {_AMOUNT}) AS opening",
+                f"CAST(NULL AS {_AMOUNT}) AS closing",
+                "debet_amount_rub AS debet",
+                "credit_amount_rub AS credit",
             )
         )
         .groupBy("account_rk")
-        .agg(*[F.sum(c).cast(AMOUNT).alias(c) for c in ("opening", "debet", "credit", "closing")])
+        .agg(
+            *[
+                F.expr(f"CAST(sum({c}) AS {_AMOUNT}) AS {c}")
+                for c in ("opening", "debet", "credit", "closing")
+            ]
+        )
     )
-    prefix = F.substring("account_number", 1, LEDGER_DIGITS)
+    touches = overlaps(
+        F.col("data_actual_date"), F.col("data_actual_end_date"), first, last
+    )
+    codes = ", ".join(f"'{c}'" for c in HOME_CURRENCY_CODES)
+    prefix = f"substring(account_number, 1, {LEDGER_DIGITS})"
     lines = (
-        accounts.filter(
-            overlaps(
-                F.col("data_actual_date"), F.col("data_actual_end_date"), first, last
-            )
-        )
-        .select(
+        accounts.filter(touches)
+        .selectExpr(
             "account_rk",
-            prefix.alias("prefix"),
-            prefix.try_cast("int").alias("ledger_account"),
-            F.col("char_type").alias("characteristic"),
-            F.col("currency_code").isin(*HOME_CURRENCY_CODES).alias("home"),
+            f"{prefix} AS prefix",
+            f"try_cast({prefix} AS INT) AS ledger_account",
+            "char_type AS characteristic",
+            f"currency_code IN ({codes}) AS home",
         )
         .join(ledger.select("ledger_account", "chapter"), "ledger_account", "left")
         .join(facts, "account_rk", "left")
     )
-    zero = F.lit(0).cast(AMOUNT)
-    measures = {
-        "balance_in": "opening",
-        "turn_deb": "debet",
-        "turn_cre": "credit",
-        "balance_out": "closing",
-    }
-    sums = []
-    for measure, column in measures.items():
-        value = F.col(column)
-        sums += [
-            F.sum(F.when(F.col("home"), value).otherwise(zero)).alias(f"{measure}_rub"),
-            F.sum(F.when(~F.col("home"), value).otherwise(zero)).alias(f"{measure}_val"),
-            F.sum(value).alias(f"{measure}_total"),
-        ]
+    sums = [
+        F.expr(f"sum({value}) AS {measure}_{scope}")
+        for measure, fact in _MEASURES.items()
+        for scope, value in {
+            "rub": f"CASE WHEN home THEN {fact} ELSE 0 END",
+            "val": f"CASE WHEN NOT home THEN {fact} ELSE 0 END",
+            "total": fact,
+        }.items()
+    ]
     grouped = lines.groupBy("chapter", "prefix", "characteristic").agg(*sums)
     chapter = F.col("chapter")
     if not allow_unmapped:
-        chapter = F.when(
-            chapter.isNull(),
-            F.raise_error(
-                F.concat(F.lit("no ledger account for prefix "), F.col("prefix"))
-            ).cast("string"),
-        ).otherwise(chapter)
+        chapter = F.expr(
+            """IF(chapter IS NULL,
+                 raise_error(concat('no ledger account for prefix ', prefix)), chapter)"""
+        )
     keys = {
         "from_date": first,
         "to_date": last,
@@ -111,14 +116,12 @@ def ledger_report(
         "ledger_account": F.col("prefix"),
         "characteristic": F.col("characteristic"),
     }
-    made = set(grouped.columns)
+    measured = set(grouped.columns)
     return grouped.select(
         *[
             keys[f.name].alias(f.name)
             if f.name in keys
-            else F.col(f.name).cast(f.dataType).alias(f.name)
-            if f.name in made
-            else F.lit(None).cast(f.dataType).alias(f.name)
+            else F.expr(f"CAST({f.name if f.name in measured else 'NULL'} AS {_AMOUNT}) AS {f.name}")
             for f in LEDGER_REPORT.schema
         ]
     )

@@ -8,25 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookup import rates_by_day
-from ledgerloom.schemas import AMOUNT
+
+_AMOUNT = "DECIMAL(23,8)"
 
 
 def posting_sides(postings: DataFrame) -> DataFrame:
     """Each posting as its credit row and its debit row, in one scan."""
-    zero = F.lit(0).cast(AMOUNT)
-    sides = F.array(
-        F.struct(
-            F.col("credit_account_rk").alias("account_rk"),
-            F.col("credit_amount").cast(AMOUNT).alias("credit_amount"),
-            zero.alias("debet_amount"),
-        ),
-        F.struct(
-            F.col("debet_account_rk").alias("account_rk"),
-            zero.alias("credit_amount"),
-            F.col("debet_amount").cast(AMOUNT).alias("debet_amount"),
-        ),
+    return postings.selectExpr(
+        "oper_date AS on_date",
+        f"""inline(array(
+              struct(credit_account_rk AS account_rk,
+                CAST(credit_amount AS {_AMOUNT}) AS credit, CAST(0 AS {_AMOUNT}) AS debet),
+              struct(debet_account_rk AS account_rk,
+                CAST(0 AS {_AMOUNT}) AS credit, CAST(debet_amount AS {_AMOUNT}) AS debet)))""",
     )
-    return postings.select(F.col("oper_date").alias("on_date"), F.inline(sides))
 
 
 def account_turnover(
@@ -51,55 +46,38 @@ def account_turnover(
     summed = (
         posting_sides(postings.filter(F.col("oper_date").between(start, end)))
         .groupBy("on_date", "account_rk")
-        .agg(
-            F.sum("credit_amount").cast(AMOUNT).alias("credit"),
-            F.sum("debet_amount").cast(AMOUNT).alias("debet"),
-        )
-    )
-    rated = (
-        summed.join(
-            accounts.select("account_rk", "currency_rk"), "account_rk", "left"
-        )
-        .join(
-            rates_by_day(rates, start, end).withColumnRenamed("_rate_day", "on_date"),
-            ["currency_rk", "on_date"],
-            "left",
-        )
-        .withColumn("used_rate", F.coalesce("rate", F.lit(1).cast("decimal(12,8)")))
-    )
-    several_rates = (F.min("rate") != F.max("rate")) | (
-        F.count("rate").between(1, F.count(F.lit(1)) - 1)
+        .agg(_total("credit").alias("credit"), _total("debet").alias("debet"))
     )
-
-    def total(amount: Column) -> Column:
-        return F.sum(amount).cast(AMOUNT)
-
+    daily_rates = rates_by_day(rates, start, end)
     return (
-        rated.groupBy("on_date", "account_rk")
+        summed.join(accounts.select("account_rk", "currency_rk"), "account_rk", "left")
+        .join(daily_rates, ["currency_rk", "on_date"], "left")
+        .selectExpr(
+            "*", "coalesce(rate, CAST(1 AS DECIMAL(12,8))) AS used_rate"
+        )
+        .groupBy("on_date", "account_rk")
         .agg(
-            total(F.col("credit")).alias("credit_amount"),
-            total(F.col("credit") * F.col("used_rate")).alias("credit_amount_rub"),
-            total(F.col("debet")).alias("debet_amount"),
-            total(F.col("debet") * F.col("used_rate")).alias("debet_amount_rub"),
-            several_rates.alias("_several"),
+            _total("credit").alias("credit_amount"),
+            _total("credit * used_rate").alias("credit_amount_rub"),
+            _total("debet").alias("debet_amount"),
+            _total("debet * used_rate").alias("debet_amount_rub"),
+            F.expr(
+                """coalesce(min(rate) <> max(rate), FALSE)
+                     OR count(rate) BETWEEN 1 AND count(*) - 1"""
+            ).alias("several_rates"),
         )
-        .select(
+        .selectExpr(
             "on_date",
             "account_rk",
             "credit_amount",
-            F.when(
-                F.col("_several"),
-                F.raise_error(
-                    F.format_string(
-                        "two rates for account %s on %s",
-                        F.col("account_rk").cast("string"),
-                        F.col("on_date").cast("string"),
-                    )
-                ).cast(AMOUNT),
-            )
-            .otherwise(F.col("credit_amount_rub"))
-            .alias("credit_amount_rub"),
+            """IF(several_rates,
+                 raise_error(concat('two rates for account ', account_rk, ' on ', on_date)),
+                 credit_amount_rub) AS credit_amount_rub""",
             "debet_amount",
             "debet_amount_rub",
         )
     )
+
+
+def _total(amount: str) -> Column:
+    return F.expr(f"CAST(sum({amount}) AS {_AMOUNT})")
