@@ -75,12 +75,12 @@ class Load:
         )
 
     def rejects(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        valid = self.valid() if self.valid else None
+        doubtful = U.contested_rows(
+            self.stage(spark, sf_dir), self.spec.key, self.attributes, valid
+        )
         return U.rejected_rows(
-            self.snapshot(spark, sf_dir),
-            self.stage(spark, sf_dir),
-            self.spec.key,
-            self.attributes,
-            self.valid() if self.valid else None,
+            self.snapshot(spark, sf_dir), doubtful, self.spec.key, self.attributes, valid
         )
 
 

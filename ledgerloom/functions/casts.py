@@ -74,8 +74,12 @@ def typed(
     date_pattern: str | Mapping[str, str] = ISO_DATE,
     columns: Sequence[str] | None = None,
     lenient: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Cast all-text columns to the types of ``spec`` (one projection)."""
+    """Cast all-text columns to the types of ``spec`` (one projection).
+
+    Columns in ``keep`` are passed on as they are.
+    """
     widths = dict(spec.widths)
     wanted = spec.columns if columns is None else columns
     out = []
@@ -93,7 +97,7 @@ def typed(
         else:
             value = as_type(source, kind, lenient)
         out.append(value.alias(name))
-    return df.select(*out)
+    return df.select(*out, *keep)
 
 
 def empty_columns(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -222,6 +222,34 @@ def rejected_rows(
     )
 
 
+def contested_rows(
+    stage: DataFrame,
+    key: Sequence[str],
+    attributes: Sequence[str],
+    valid: Column | None = None,
+) -> DataFrame:
+    """The staged rows that a load of this stage can possibly reject.
+
+    A key staged with a single version, all valid, ends up stored as staged. So
+    only rows without a key, and rows whose key has several versions or an
+    invalid one, need comparing with the loaded table; usually they are few.
+    """
+    key, version = list(key), F.struct(*attributes)
+    refused = F.lit(False) if valid is None else ~valid
+    contested = (
+        stage.filter(_has_key(key))
+        .groupBy(*key)
+        .agg(
+            (F.min(version) != F.max(version)).alias("_several"),
+            F.max(refused).alias("_refused"),
+        )
+        .filter(F.col("_several") | F.col("_refused"))
+        .select(*key)
+    )
+    keyed = stage.join(contested, key, "left_semi").select(*stage.columns)
+    return keyed.unionByName(stage.filter(~_has_key(key)))
+
+
 def unmatched_rows(stage: DataFrame, stored: DataFrame) -> DataFrame:
     """Staged rows without an equal stored row, column by column.
 

@@ -27,12 +27,19 @@ from ledgerloom.plans.ledger_report import ledger_report
 from ledgerloom.plans.loan_holiday import loan_holiday_info
 from ledgerloom.plans.turnover import account_turnover
 from ledgerloom.schemas import TableSpec
-from ledgerloom.sources.csv_files import Delimited, read_delimited, write_delimited
+from ledgerloom.sources.csv_files import (
+    Delimited,
+    read_delimited,
+    undecodable,
+    write_delimited,
+)
 from ledgerloom.sources.tables import TableStore
 
 # Process names in the audit log.
 LOAD, MART, EXPORT, IMPORT = "ETL_DS_Load", "data_mart_load", "Export_to_CSV", "Import_from_CSV"
 
+_BROKEN = "_undecodable"
+
 
 @dataclass(frozen=True)
 class IngestSpec:
@@ -97,10 +104,45 @@ class Warehouse:
     def load_file(self, spec: IngestSpec, path: str) -> U.LoadStats:
         """Land a file, load it into its table, keep the rejected rows."""
         with self.audit.run(LOAD, spec.table.name) as run:
-            text = read_delimited(self.spark, path, spec.wanted, spec.style)
-            run.stats = self.load_rows(spec, text)
+            received = self._land_file(spec, path)
+            run.stats = self._load_landed(spec, received)
             return run.stats
 
+    def _land_file(self, spec: IngestSpec, path: str) -> int:
+        """Land a file in the first encoding that decodes all of it.
+
+        Undecodable texts are counted while landing, so a file in the expected
+        encoding is read once; the last candidate is accepted as it is.
+        """
+        *tested, last = spec.style.encodings
+        for encoding in tested:
+            text = read_delimited(self.spark, path, spec.wanted, spec.style, encoding)
+            seen = self._land(spec, text)
+            if not seen["undecodable"]:
+                return seen["rows"]
+        text = read_delimited(self.spark, path, spec.wanted, spec.style, last)
+        return self._land(spec, text)["rows"]
+
+    def _land(self, spec: IngestSpec, text: DataFrame) -> dict[str, int]:
+        marked = text.withColumn(_BROKEN, undecodable(spec.wanted))
+        rows = typed(marked, spec.table, spec.date_pattern, spec.wanted, keep=[_BROKEN])
+        return self.store.rewrite(
+            stage_table(spec),
+            rows,
+            measures=[F.count_if(_BROKEN).alias("undecodable")],
+            drop=[_BROKEN],
+        )
+
+    def _load_landed(self, spec: IngestSpec, received: int) -> U.LoadStats:
+        landing = stage_table(spec)
+        stats = self.load_stage(spec, self.store.read(landing), received)
+        self.store.truncate(landing)
+        return stats
+
+    def load_rows(self, spec: IngestSpec, text: DataFrame) -> U.LoadStats:
+        """Land all-text rows as typed ones, then load them from there."""
+        return self._load_landed(spec, self._land(spec, text)["rows"])
+
     def load_stage(
         self, spec: IngestSpec, stage: DataFrame, received: int
     ) -> U.LoadStats:
@@ -123,8 +165,9 @@ class Warehouse:
                 table, merged, measures=U.action_counts(), drop=[U.ACTION]
             )
             inserted, updated = seen["inserted"], seen["updated"]
+            doubtful = U.contested_rows(stage, table.key, attributes, valid)
             rejects = U.rejected_rows(
-                self.store.read(table), stage, table.key, attributes, valid
+                self.store.read(table), doubtful, table.key, attributes, valid
             )
         else:
             named = table.columns
@@ -138,16 +181,6 @@ class Warehouse:
             message = lines_summary(self.store.read(held)).first()["message"]
         return U.LoadStats(received, inserted, updated, message)
 
-    def load_rows(self, spec: IngestSpec, text: DataFrame) -> U.LoadStats:
-        """Land all-text rows as typed ones, then load them from there."""
-        landing = stage_table(spec)
-        received = self.store.rewrite(
-            landing, typed(text, spec.table, spec.date_pattern, spec.wanted)
-        )["rows"]
-        stats = self.load_stage(spec, self.store.read(landing), received)
-        self.store.truncate(landing)
-        return stats
-
     def load_detail(
         self, folder: str, posting_date_pattern: str
     ) -> dict[str, U.LoadStats]:

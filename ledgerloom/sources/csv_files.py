@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,12 @@ def _reader(spark: SparkSession, style: Delimited, encoding: str):
     )
 
 
+def undecodable(columns: Sequence[str]) -> Column:
+    """Whether a text in one of the columns was read with a wrong encoding."""
+    texts = [F.col(f"`{c}`") for c in columns]
+    return F.concat_ws("", *texts).contains(REPLACEMENT_CHARACTER)
+
+
 def resolve_encoding(spark: SparkSession, path: str, style: Delimited) -> str:
     """The first candidate encoding that decodes the whole file.
 
@@ -58,11 +64,8 @@ def resolve_encoding(spark: SparkSession, path: str, style: Delimited) -> str:
     *tested, last = style.encodings
     for encoding in tested:
         rows = _reader(spark, style, encoding).csv(path)
-        broken = F.concat_ws("", *[F.col(f"`{c}`") for c in rows.columns]).contains(
-            REPLACEMENT_CHARACTER
-        )
         names_ok = not any(REPLACEMENT_CHARACTER in c for c in rows.columns)
-        if names_ok and rows.filter(broken).isEmpty():
+        if names_ok and rows.filter(undecodable(rows.columns)).isEmpty():
             return encoding
     return last
 

@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.functions.casts import null_tokens
 from ledgerloom.plans.jobs import IngestSpec, Warehouse
-from ledgerloom.sources.csv_files import text_schema
+from ledgerloom.sources.csv_files import UTF8, text_schema
 
 
 def load_dropped_files(
-    warehouse: Warehouse, spec: IngestSpec, folder: str, checkpoint: str
+    warehouse: Warehouse,
+    spec: IngestSpec,
+    folder: str,
+    checkpoint: str,
+    encoding: str = UTF8,
 ) -> None:
     """Load every file of ``folder`` not loaded before, then stop.
 
@@ -30,6 +34,7 @@ def load_dropped_files(
         .option("header", True)
         .option("sep", spec.style.sep)
         .option("escape", '"')
+        .option("encoding", encoding)
         .option("enforceSchema", False)
         .csv(folder)
         .writeStream.foreachBatch(load_batch)

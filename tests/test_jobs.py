@@ -79,6 +79,8 @@ def test_whole_month(house, folder):
     )
     assert stats["ft_posting_f"].message.endswith("credit_amount: , debet_amount: 1.00000000")
     assert stats["md_account_d"].message is None
+    # The one file in a single-byte code page was recognised.
+    assert rows(house.store.read(S.LEDGER_ACCOUNT), "ledger_account_name") == [("Второй",), ("Первый",)]
     month(house)
     read = house.store.read
     assert rows(read(S.TURNOVER)) == sorted(
@@ -216,7 +218,7 @@ def test_balance_repair_job(house, frame):
 def test_dropped_files_are_loaded_once(house, tmp_path):
     drop, progress = tmp_path / "drop", str(tmp_path / "progress")
     drop.mkdir()
-    head = "on_date;account_rk;currency_rk;balance_out\n"
+    head = "ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT\n"
     spec = IngestSpec(S.BALANCE, DOTTED_DATE)
     (drop / "1.csv").write_text(head + "31.12.2017;1;34;5\n31.12.2017;2;NULL;6\n")
     load_dropped_files(house, spec, str(drop), progress)

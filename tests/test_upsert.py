@@ -63,6 +63,9 @@ def test_load_equals_the_rule(spark, seed, stage_rows):
     assert counts.skipped_count == len(stage) - inserted - updated
     got = U.rejected_rows(U.snapshot(merged), s, KEY, ATTRS, valid)
     assert rows(got.drop(U.REASON)) == rejects
+    doubtful = U.contested_rows(s, KEY, ATTRS, valid)
+    again = U.rejected_rows(U.snapshot(merged), doubtful, KEY, ATTRS, valid)
+    assert rows(again.drop(U.REASON)) == rejects
 
 
 def test_changed_version_wins_over_the_equal_one(spark):
