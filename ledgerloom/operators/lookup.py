@@ -29,6 +29,29 @@ def rates_by_day(rates: DataFrame, first: Column, last: Column) -> DataFrame:
     )
 
 
+_HASH = "_key_hash"
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, key: Sequence[str], how: str
+) -> DataFrame:
+    """Key join in which a hot key of ``left`` can be split over tasks.
+
+    At run time Spark splits an oversized partition only if both sides come
+    straight from an exchange made for the join. A right side grouped by the
+    same key would share the exchange of the grouping, and the hot key would
+    stay in one task. Joining on the key and its hash gives each side an
+    exchange of its own; for the right side, one row per key, that is cheap.
+    """
+    key = list(key)
+    hashed = F.xxhash64(*key).alias(_HASH)
+    return (
+        left.select("*", hashed)
+        .join(right.select("*", hashed), [*key, _HASH], how)
+        .drop(_HASH)
+    )
+
+
 def left_join_many(
     few: DataFrame, many: DataFrame, key: Sequence[str]
 ) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.lookup import spread_join
+
 _LEFT, _RIGHT = "_in_left", "_in_right"
 
 
@@ -66,4 +68,4 @@ def difference_summary(left: DataFrame, right: DataFrame) -> DataFrame:
 def corrected_rows(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of the newer file whose key occurs in the rows found only here."""
     suspects = only_left(left, right).select(*key).distinct()
-    return right.join(suspects, list(key), "left_semi")
+    return spread_join(right, suspects, key, "left_semi").select(*right.columns)

@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import all_of, any_of, differs
+from ledgerloom.operators.lookup import spread_join
 
 ACTION = "_action"
 KEEP, UPDATE, INSERT = "keep", "update", "insert"
@@ -209,7 +210,7 @@ def rejected_rows(
     )
     refused = F.lit(False) if valid is None else ~valid
     return (
-        stage.join(stored, key, "left")
+        spread_join(stage, stored, key, "left")
         .filter(missing | changed)
         .select(
             *stage.columns,
@@ -246,7 +247,7 @@ def contested_rows(
         .filter(F.col("_several") | F.col("_refused"))
         .select(*key)
     )
-    keyed = stage.join(contested, key, "left_semi").select(*stage.columns)
+    keyed = spread_join(stage, contested, key, "left_semi").select(*stage.columns)
     return keyed.unionByName(stage.filter(~_has_key(key)))
 
 
@@ -256,7 +257,8 @@ def unmatched_rows(stage: DataFrame, stored: DataFrame) -> DataFrame:
     Plain equality on purpose: a NULL never matches, so rows holding one are
     reported even when they were stored.
     """
-    return stage.join(stored.distinct(), stage.columns, "left_anti")
+    every = stage.columns
+    return spread_join(stage, stored.distinct(), every, "left_anti").select(*every)
 
 
 def unmatched_after_replace(stage: DataFrame) -> DataFrame:
@@ -289,7 +291,7 @@ def update_from(
     differ = F.col("_new").isNotNull() & any_of(
         differs(F.col(c), F.col(f"_new.{c}")) for c in columns
     )
-    return target.join(values, list(key), "left").select(
+    return spread_join(target, values, key, "left").select(
         *[
             F.when(differ, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
             if c in columns

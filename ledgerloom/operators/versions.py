@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.lookup import spread_join
+
 ROW_COUNT = "row_count"
 
 
@@ -45,7 +47,7 @@ def rows_with_repeated_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     lets a hot key's rows be split over tasks, which a window would forbid.
     """
     again = repeated_keys(df, key).select(*key)
-    return df.join(again, list(key), "left_semi")
+    return spread_join(df, again, key, "left_semi").select(*df.columns)
 
 
 def in_key_order(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -58,12 +58,29 @@ def apply_opening_correction(balances: DataFrame) -> DataFrame:
     """The balances with wrong opening sums replaced.
 
     All corrections are read from the values before the change, so one never
-    causes another. If a repeated day offers several, the smallest is taken.
+    causes another. Each row is offered to its own day (opening sum) and to the
+    next one (closing sum); one aggregation per account-day then tells whether
+    they meet. Repeated days thus never multiply: of several closing sums the
+    smallest counts, or the greatest if all opening sums equal the smallest.
     """
+    offers = balances.selectExpr(
+        "account_rk",
+        """inline(array(
+              struct(effective_date, account_in_sum AS opening,
+                CAST(NULL AS DECIMAL(23,8)) AS closing),
+              struct(date_add(effective_date, 1) AS effective_date,
+                CAST(NULL AS DECIMAL(23,8)) AS opening, account_out_sum AS closing)))""",
+    )
+    low, high = F.min("closing"), F.max("closing")
+    low_differs = (F.min("opening") != low) | (F.max("opening") != low)
     fixes = (
-        correct_opening(balances)
-        .groupBy(*_KEY)
-        .agg(F.min("correct_account_in_sum").alias("account_in_sum"))
+        offers.groupBy(*_KEY)
+        .agg(
+            F.when(low_differs, low)
+            .when(F.min("opening") != high, high)
+            .alias("account_in_sum")
+        )
+        .filter(F.col("account_in_sum").isNotNull())
     )
     return update_from(balances, fixes, _KEY, ["account_in_sum"])
 

@@ -71,3 +71,15 @@ def test_loan_holidays(frame):
         ],
         key=str,
     )
+
+
+def test_repeated_days_are_mended_without_multiplying(frame):
+    d1, d2 = day("2024-01-01"), day("2024-01-02")
+    data = [(1, d1, D(0), D(10)), (1, d1, D(0), D(20)), (1, d2, D(10), D(1)), (1, d2, D(10), D(2))]
+    df = frame(S.SOURCE_BALANCE, data)
+    # Every pair that does not meet is reported, and each day is mended once.
+    assert R.correct_opening(df).count() == 2
+    fixed = R.apply_opening_correction(df)
+    assert rows(fixed, "effective_date", "account_in_sum") == sorted(
+        [(d1, money(0))] * 2 + [(d2, money(20))] * 2, key=str
+    )
