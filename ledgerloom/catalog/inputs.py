@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 MONTH_START = dt.date(1995, 1, 1)
 MONTH_END = dt.date(1995, 1, 31)
@@ -22,8 +23,15 @@ ALL_START = dt.date(1995, 1, 1)
 ALL_END = dt.date(2001, 12, 31)
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A source table; its footer is looked up once, however often it is read."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 # --- ledger ----------------------------------------------------------------
