@@ -352,7 +352,7 @@ def _fresh_warehouse(spark: SparkSession, name: str) -> tuple[Warehouse, str]:
 def file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earlier table stored, file written, landed, loaded, and read again."""
     house, root = _fresh_warehouse(spark, "file_load")
-    house.store.rewrite(S.BALANCE, balance_target(spark, sf_dir))
+    house.store.replace_dates(S.BALANCE, balance_target(spark, sf_dir), [I.SEED_DAY])
     write_delimited(balance_stage_text(spark, sf_dir), f"{root}/ft_balance_f.csv")
     house.load_file(IngestSpec(S.BALANCE, DOTTED_DATE), f"{root}/ft_balance_f.csv")
     return house.store.read(S.BALANCE)
@@ -361,7 +361,7 @@ def file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of that load as the audit log shows them."""
     house, root = _fresh_warehouse(spark, "file_load_audit")
-    house.store.rewrite(S.BALANCE, balance_target(spark, sf_dir))
+    house.store.replace_dates(S.BALANCE, balance_target(spark, sf_dir), [I.SEED_DAY])
     write_delimited(balance_stage_text(spark, sf_dir), f"{root}/ft_balance_f.csv")
     house.load_file(IngestSpec(S.BALANCE, DOTTED_DATE), f"{root}/ft_balance_f.csv")
     return house.audit.latest().select(
@@ -378,7 +378,7 @@ def file_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dropped_files_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same load as a stream over a folder of dropped files."""
     house, root = _fresh_warehouse(spark, "file_drop")
-    house.store.rewrite(S.BALANCE, balance_target(spark, sf_dir))
+    house.store.replace_dates(S.BALANCE, balance_target(spark, sf_dir), [I.SEED_DAY])
     write_delimited(balance_stage_text(spark, sf_dir), f"{root}/drop", Delimited())
     load_dropped_files(
         house, IngestSpec(S.BALANCE, DOTTED_DATE), f"{root}/drop", f"{root}/progress"

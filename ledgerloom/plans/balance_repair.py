@@ -54,8 +54,8 @@ def correct_closing(balances: DataFrame) -> DataFrame:
     )
 
 
-def apply_opening_correction(balances: DataFrame) -> DataFrame:
-    """The balances with wrong opening sums replaced.
+def opening_fixes(balances: DataFrame) -> DataFrame:
+    """One right opening sum per account-day that needs one.
 
     All corrections are read from the values before the change, so one never
     causes another. Each row is offered to its own day (opening sum) and to the
@@ -73,7 +73,7 @@ def apply_opening_correction(balances: DataFrame) -> DataFrame:
     )
     low, high = F.min("closing"), F.max("closing")
     low_differs = (F.min("opening") != low) | (F.max("opening") != low)
-    fixes = (
+    return (
         offers.groupBy(*_KEY)
         .agg(
             F.when(low_differs, low)
@@ -82,9 +82,17 @@ def apply_opening_correction(balances: DataFrame) -> DataFrame:
         )
         .filter(F.col("account_in_sum").isNotNull())
     )
+
+
+def with_fixes(balances: DataFrame, fixes: DataFrame) -> DataFrame:
     return update_from(balances, fixes, _KEY, ["account_in_sum"])
 
 
+def apply_opening_correction(balances: DataFrame) -> DataFrame:
+    """The balances with wrong opening sums replaced."""
+    return with_fixes(balances, opening_fixes(balances))
+
+
 def balance_turnover(
     accounts: DataFrame, balances: DataFrame, currencies: DataFrame
 ) -> DataFrame:

@@ -22,7 +22,7 @@ from ledgerloom.operators.checks import enforce_key, require_filled
 from ledgerloom.operators.versions import keep_freshest
 from ledgerloom.plans.audit import AuditLog
 from ledgerloom.plans.balance import balance_for_day, balance_for_period, seed_balance
-from ledgerloom.plans.balance_repair import apply_opening_correction, balance_turnover
+from ledgerloom.plans.balance_repair import balance_turnover, opening_fixes, with_fixes
 from ledgerloom.plans.ledger_report import ledger_report
 from ledgerloom.plans.loan_holiday import loan_holiday_info
 from ledgerloom.plans.turnover import account_turnover
@@ -154,21 +154,7 @@ class Warehouse:
         table = spec.table
         if table.key:
             named = list(table.key)
-            attributes = [c for c in spec.wanted if c not in table.key]
-            valid = spec.valid() if spec.valid else None
-            must = [c for c in table.required if c in attributes]
-            require_filled(stage if valid is None else stage.filter(valid), must, table.name)
-            merged = U.merge_rows(
-                self.store.read(table), stage, table.key, attributes, valid, received
-            )
-            seen = self.store.rewrite(
-                table, merged, measures=U.action_counts(), drop=[U.ACTION]
-            )
-            inserted, updated = seen["inserted"], seen["updated"]
-            doubtful = U.contested_rows(stage, table.key, attributes, valid)
-            rejects = U.rejected_rows(
-                self.store.read(table), doubtful, table.key, attributes, valid
-            )
+            inserted, updated, rejects = self._merge(spec, stage, received)
         else:
             named = table.columns
             require_filled(stage, table.required, table.name)
@@ -181,6 +167,47 @@ class Warehouse:
             message = lines_summary(self.store.read(held)).first()["message"]
         return U.LoadStats(received, inserted, updated, message)
 
+    def _merge(
+        self, spec: IngestSpec, stage: DataFrame, received: int
+    ) -> tuple[int, int, DataFrame]:
+        """Keyed load. A table kept by date is touched on the staged dates only."""
+        table, store = spec.table, self.store
+        attributes = [c for c in spec.wanted if c not in table.key]
+        valid = spec.valid() if spec.valid else None
+        must = [c for c in table.required if c in attributes]
+        require_filled(stage if valid is None else stage.filter(valid), must, table.name)
+        counts, marks = U.action_counts(), [U.ACTION]
+
+        def merged(stored: DataFrame) -> DataFrame:
+            return U.merge_rows(stored, stage, table.key, attributes, valid, received)
+
+        if table.by_date:
+            self._finish_pending(table)
+            dates = _dates_of(stage, table.partition_by)
+            new = merged(store.read_dates(table, dates))
+            seen = store.rewrite(_pending(table), new, counts, marks)
+            self._finish_pending(table)
+            loaded = store.read_dates(table, dates)
+        else:
+            seen = store.rewrite(table, merged(store.read(table)), counts, marks)
+            loaded = store.read(table)
+        doubtful = U.contested_rows(stage, table.key, attributes, valid)
+        rejects = U.rejected_rows(loaded, doubtful, table.key, attributes, valid)
+        return seen["inserted"], seen["updated"], rejects
+
+    def _finish_pending(self, table: TableSpec) -> None:
+        """Move rewritten dates from their pending table into place.
+
+        The pending table is complete before the first date is replaced, so if
+        a job dies in between, the next one starts by finishing the move.
+        """
+        pending = _pending(table)
+        rows = self.store.read(pending)
+        dates = _dates_of(rows, table.partition_by)
+        if dates:
+            self.store.replace_dates(table, rows, dates)
+            self.store.truncate(pending)
+
     def load_detail(
         self, folder: str, posting_date_pattern: str
     ) -> dict[str, U.LoadStats]:
@@ -343,10 +370,21 @@ class Warehouse:
         )
 
     def correct_balances(self) -> U.LoadStats:
-        return self._reload(
-            S.SOURCE_BALANCE,
-            lambda: apply_opening_correction(self.store.read(S.SOURCE_BALANCE)),
-        )
+        """Mend opening sums; only dates with a correction are rewritten."""
+        table, store = S.SOURCE_BALANCE, self.store
+        with self.audit.run(MART, table.name) as run:
+            self._finish_pending(table)
+            balances = store.read(table)
+            fixes = opening_fixes(balances)
+            held = TableSpec("work", f"{table.name}_fixes", fixes.schema)
+            fixed = store.rewrite(held, fixes)["rows"]
+            dates = _dates_of(store.read(held), table.partition_by)
+            if dates:
+                touched = store.read_dates(table, dates)
+                store.rewrite(_pending(table), with_fixes(touched, store.read(held)))
+                self._finish_pending(table)
+            run.stats = U.LoadStats(fixed, 0, fixed)
+            return run.stats
 
     def reload_balance_turnover(self) -> U.LoadStats:
         read = self.store.read
@@ -358,6 +396,16 @@ class Warehouse:
         )
 
 
+def _pending(table: TableSpec) -> TableSpec:
+    return table.twin(f"{table.name}_pending", layer="work")
+
+
+def _dates_of(rows: DataFrame, column: str) -> list[dt.date]:
+    """The distinct dates of a stage: at most one per calendar day."""
+    found = rows.select(column).filter(F.col(column).isNotNull()).distinct()
+    return sorted(r[0] for r in found.collect())
+
+
 def _days(first: dt.date, last: dt.date) -> list[dt.date]:
     return [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
 

@@ -34,7 +34,12 @@ _LONG, _INT, _DATE, _TEXT, _TIME = (
 
 @dataclass(frozen=True)
 class TableSpec:
-    """One stored table. ``widths`` holds the length limit of text columns."""
+    """One stored table.
+
+    ``partition_by`` names its date column, if it is stored by date; then single
+    dates are replaced, unless the table is always rewritten as a ``whole``.
+    ``widths`` holds the length limits of text columns.
+    """
 
     layer: str
     name: str
@@ -42,6 +47,11 @@ class TableSpec:
     key: tuple[str, ...] = ()
     partition_by: str | None = None
     widths: tuple[tuple[str, int], ...] = ()
+    whole: bool = False
+
+    @property
+    def by_date(self) -> bool:
+        return self.partition_by is not None and not self.whole
 
     @property
     def columns(self) -> list[str]:
@@ -55,9 +65,11 @@ class TableSpec:
     def required(self) -> list[str]:
         return [f.name for f in self.schema if not f.nullable]
 
-    def twin(self, name: str) -> TableSpec:
+    def twin(self, name: str, layer: str | None = None) -> TableSpec:
         """An unpartitioned table of the same form under another name."""
-        return TableSpec(self.layer, name, self.schema, self.key, None, self.widths)
+        return TableSpec(
+            layer or self.layer, name, self.schema, self.key, None, self.widths
+        )
 
 
 def _table(
@@ -66,6 +78,7 @@ def _table(
     columns: Sequence[tuple],
     key: Sequence[str] = (),
     partition_by: str | None = None,
+    whole: bool = False,
 ) -> TableSpec:
     """``columns`` are (name, type[, "required"]); an int type means text(n)."""
     fields, widths = [], []
@@ -75,7 +88,13 @@ def _table(
             kind = _TEXT
         fields.append(T.StructField(column, kind, "required" not in flags))
     return TableSpec(
-        layer, name, T.StructType(fields), tuple(key), partition_by, tuple(widths)
+        layer,
+        name,
+        T.StructType(fields),
+        tuple(key),
+        partition_by,
+        tuple(widths),
+        whole,
     )
 
 
@@ -91,6 +110,7 @@ BALANCE = _table(
         ("balance_out", AMOUNT),
     ],
     key=["on_date", "account_rk"],
+    partition_by="on_date",
 )
 
 POSTING = _table(
@@ -103,6 +123,8 @@ POSTING = _table(
         ("credit_amount", AMOUNT),
         ("debet_amount", AMOUNT),
     ],
+    partition_by="oper_date",
+    whole=True,
 )
 
 ACCOUNT = _table(
@@ -356,6 +378,7 @@ SOURCE_BALANCE = _table(
         ("account_out_sum", AMOUNT),
     ],
     key=["account_rk", "effective_date"],
+    partition_by="effective_date",
 )
 
 CURRENCY_NAME = _table(

@@ -1,9 +1,9 @@
 """Stored tables: Parquet folders under ``root/layer/table``.
 
-A keyed table is rewritten as a whole new folder ``version=N``; readers take
-the highest one that Spark has marked complete, so a failed write changes
-nothing and a table can be rewritten from itself. A mart is partitioned by its
-date and replaced date by date.
+Most tables are rewritten as a whole new folder ``version=N``; readers take the
+highest one that Spark has marked complete, so a failed write changes nothing
+and a table can be rewritten from itself. Big dated tables are partitioned by
+their date and replaced date by date.
 """
 
 from __future__ import annotations
@@ -88,7 +88,7 @@ class TableStore:
     # --- reading -----------------------------------------------------------
 
     def exists(self, spec: TableSpec) -> bool:
-        if spec.partition_by:
+        if spec.by_date:
             return any(
                 n.startswith(f"{spec.partition_by}=")
                 for n in self._children(self.folder(spec))
@@ -100,7 +100,7 @@ class TableStore:
         if not self.exists(spec):
             return self.spark.createDataFrame([], spec.schema)
         folder = self.folder(spec)
-        if spec.partition_by is None:
+        if not spec.by_date:
             folder = f"{folder}/{_VERSION}{self._current(spec)}"
         return (
             self.spark.read.schema(spec.schema).parquet(folder).select(*spec.columns)
@@ -113,6 +113,10 @@ class TableStore:
         shown = "\n".join(str(tuple(r)) for r in df.limit(rows).collect())
         return f"{spec.name} ({types})\n{shown}"
 
+    def read_dates(self, spec: TableSpec, dates: Sequence[dt.date]) -> DataFrame:
+        """Only the partitions of ``dates``."""
+        return self.read(spec).filter(F.col(spec.partition_by).isin(list(dates)))
+
     # --- writing -----------------------------------------------------------
 
     def rewrite(
@@ -128,13 +132,16 @@ class TableStore:
         included; these columns are not stored. Returns the measured values and
         the number of stored rows.
         """
+        if spec.by_date:
+            raise ValueError(f"{spec.name} is replaced by date")
         watch = Observation()
         df = df.observe(watch, F.count(F.lit(1)).alias("rows"), *measures)
         versions = self._versions(spec)
         number = versions[-1] + 1 if versions else 1
-        df.drop(*drop).select(*spec.columns).write.parquet(
-            f"{self.folder(spec)}/{_VERSION}{number}"
-        )
+        writer = df.drop(*drop).select(*spec.columns).write
+        if spec.partition_by:
+            writer = writer.partitionBy(spec.partition_by)
+        writer.parquet(f"{self.folder(spec)}/{_VERSION}{number}")
         complete = [
             v
             for v in versions
@@ -148,7 +155,7 @@ class TableStore:
 
     def truncate(self, spec: TableSpec) -> None:
         """Leave the table empty."""
-        if spec.partition_by:
+        if spec.by_date:
             self._remove(self.folder(spec))
         else:
             self.rewrite(spec, self.spark.createDataFrame([], spec.schema))

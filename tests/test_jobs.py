@@ -195,20 +195,45 @@ def test_source_copies(house, folder, frame):
     assert house.store.read(S.LOAN_HOLIDAY_INFO).first().product_name == "card"
 
 
-def test_balance_repair_job(house, frame):
-    house.store.rewrite(
-        S.SOURCE_BALANCE,
-        frame(
-            S.SOURCE_BALANCE,
-            [
-                (1, day("2024-01-01"), Decimal(0), Decimal(10)),
-                (1, day("2024-01-02"), Decimal(11), Decimal(20)),
-            ],
-        ),
+def test_load_touches_staged_dates_and_finishes_what_was_pending(house, folder, frame):
+    spec = IngestSpec(S.BALANCE, DOTTED_DATE)
+    path = folder / "b.csv"
+    head = "ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT\n"
+    path.write_text(head + "30.12.2017;1;34;1\n31.12.2017;1;34;2\n")
+    house.load_file(spec, str(path))
+    first = f"{house.store.folder(S.BALANCE)}/on_date=2017-12-30"
+    files = house.store._children(first)
+    path.write_text(head + "31.12.2017;1;34;3\n31.12.2017;2;34;4\n")
+    stats = house.load_file(spec, str(path))
+    assert (stats.inserted, stats.updated) == (1, 1)
+    assert house.store._children(first) == files
+    # A job died after preparing 2017-12-31 anew: the next load takes that over first.
+    left = [(day("2017-12-31"), 1, 34, Decimal(9)), (day("2017-12-31"), 2, 34, Decimal(4))]
+    house.store.rewrite(S.BALANCE.twin("ft_balance_f_pending", "work"), frame(S.BALANCE, left))
+    path.write_text(head + "01.01.2018;7;34;7\n")
+    house.load_file(spec, str(path))
+    assert rows(house.store.read(S.BALANCE), "on_date", "account_rk", "balance_out") == sorted(
+        [
+            (day("2017-12-30"), 1, money(1)),
+            (day("2017-12-31"), 1, money(9)),
+            (day("2017-12-31"), 2, money(4)),
+            (day("2018-01-01"), 7, money(7)),
+        ],
+        key=str,
     )
+
+
+def test_balance_repair_job(house, frame):
+    first, second = day("2024-01-01"), day("2024-01-02")
+    sums = [(1, first, Decimal(0), Decimal(10)), (1, second, Decimal(11), Decimal(20))]
+    house.store.replace_dates(S.SOURCE_BALANCE, frame(S.SOURCE_BALANCE, sums), [first, second])
     house.store.rewrite(S.SOURCE_ACCOUNT, frame(S.SOURCE_ACCOUNT, [(1, 1, "1")]))
-    house.correct_balances()
-    house.correct_balances()
+    untouched = house.store._children(f"{house.store.folder(S.SOURCE_BALANCE)}/effective_date=2024-01-01")
+    assert house.correct_balances().updated == 1
+    assert house.correct_balances().updated == 0
+    assert untouched == house.store._children(
+        f"{house.store.folder(S.SOURCE_BALANCE)}/effective_date=2024-01-01"
+    )
     house.reload_balance_turnover()
     assert rows(house.store.read(S.BALANCE_TURNOVER), "account_in_sum", "currency_name") == sorted(
         [(money(0), "-1"), (money(10), "-1")], key=str
