@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
 from ledgerloom.catalog import inputs as I
+from ledgerloom.catalog.loads import RATES, STAGE_SQL
 from ledgerloom.functions.casts import (
     DOTTED_DATE,
     MISSING_TOKENS,
@@ -90,6 +91,11 @@ def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def version_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate periods of seven days from every order day of a customer."""
+    return checks.overlapping_versions(RATES.stage(spark, sf_dir), ["currency_rk"])
+
+
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     holidays = I.holidays(spark, sf_dir)
     return checks.null_profile(holidays, holidays.columns)
@@ -156,6 +162,7 @@ QUERIES = {
     "gap_check": gap_check,
     "gap_check_daily": gap_check_daily,
     "key_violations": key_violations,
+    "version_overlaps": version_overlaps,
     "null_profile": null_profile,
     "scalar_casts": scalar_casts,
     "audit_latest": audit_latest,
@@ -239,6 +246,16 @@ ORACLE = {
     FROM account_day GROUP BY account_rk, effective_date HAVING count(*) > 1""",
         "account_day",
     ),
+    "version_overlaps": I.with_inputs(
+        """SELECT currency_rk, data_actual_date, row_count, reaches FROM (
+      SELECT *, max(last_day) OVER (PARTITION BY currency_rk ORDER BY data_actual_date
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reaches
+      FROM (SELECT currency_rk, data_actual_date, count(*) AS row_count,
+              max(COALESCE(data_actual_end_date, DATE '9999-12-31')) AS last_day
+            FROM stage GROUP BY currency_rk, data_actual_date))
+    WHERE row_count > 1 OR reaches >= data_actual_date""",
+        more={"stage": STAGE_SQL["rate"]},
+    ),
     "null_profile": I.with_inputs(
         " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_rows FROM holiday"

@@ -427,7 +427,7 @@ _BALANCE_ROW = """SELECT DATE '1994-12-31' AS on_date, c_custkey AS account_rk,
     FROM customer WHERE {where}"""
 _PLUS_ONE = "CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 0 END"
 
-_STAGE = {
+STAGE_SQL = {
     "balance": " UNION ALL ".join(
         [
             _BALANCE_ROW.format(plus=_PLUS_ONE, where="TRUE"),
@@ -516,7 +516,7 @@ def _load_ctes(name: str, load: Load, ok: str = "TRUE") -> dict[str, str]:
     order = ", ".join(f"{a} NULLS FIRST" for a in attributes)
     keys = ", ".join(key)
     return {
-        "stage": _STAGE[name],
+        "stage": STAGE_SQL[name],
         "target": _TARGET[name],
         "differing": f"""SELECT s.*, t.{key[0]} IS NULL AS is_new
           FROM (SELECT DISTINCT * FROM stage WHERE {ok}) s

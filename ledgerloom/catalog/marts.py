@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import schemas as S
 from ledgerloom.catalog import inputs as I
-from ledgerloom.functions.casts import typed
+from ledgerloom.functions.casts import empty_columns, typed
 from ledgerloom.plans.balance import balance_for_day, balance_for_period, seed_balance
 from ledgerloom.plans.balance_repair import (
     apply_opening_correction,
@@ -14,12 +17,12 @@ from ledgerloom.plans.balance_repair import (
     correct_closing,
     correct_opening,
 )
+from ledgerloom.plans.jobs import Warehouse
 from ledgerloom.plans.ledger_report import ledger_report
 from ledgerloom.plans.loan_holiday import loan_holiday_info
 from ledgerloom.plans.turnover import account_turnover
-from ledgerloom.schemas import LEDGER_REPORT, LOAN_HOLIDAY_INFO, REPORT_MEASURES
 from ledgerloom.sources.csv_files import Delimited, read_delimited, write_delimited
-from ledgerloom.sources.tables import shared_folder
+from ledgerloom.sources.tables import TableStore, shared_folder
 
 
 def _turnover(spark, sf_dir, first, last=None, real_dates=False) -> DataFrame:
@@ -99,7 +102,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "report_csv")
     write_delimited(ledger_report_month(spark, sf_dir), path, single_file=True)
     return typed(
-        read_delimited(spark, path, LEDGER_REPORT.columns), LEDGER_REPORT
+        read_delimited(spark, path, S.LEDGER_REPORT.columns), S.LEDGER_REPORT
     )
 
 
@@ -118,6 +121,39 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file in a single-byte encoding is recognised and decoded."""
+    part = I.table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS product_rk", "concat('Café ', p_name) AS product_name"
+    )
+    style = Delimited(encodings=("UTF-8", "ISO-8859-1"))
+    path = shared_folder(spark, "encoded_csv")
+    write_delimited(part, path, style, encoding="ISO-8859-1")
+    return read_delimited(spark, path, part.columns, style).select(
+        F.col("product_rk").cast("bigint").alias("product_rk"), "product_name"
+    )
+
+
+def stored_ledger_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report by way of the jobs: every layer written, read and audited."""
+    root = shared_folder(spark, f"month_{uuid.uuid4().hex}")
+    house = Warehouse(TableStore(spark, root))
+    store = house.store
+    store.rewrite(S.POSTING, I.postings(spark, sf_dir))
+    store.rewrite(S.ACCOUNT, I.accounts(spark, sf_dir))
+    store.rewrite(S.EXCHANGE_RATE, I.rates(spark, sf_dir))
+    store.rewrite(
+        S.LEDGER_ACCOUNT,
+        empty_columns(I.ledger_accounts(spark, sf_dir), S.LEDGER_ACCOUNT),
+    )
+    store.replace_dates(S.BALANCE, I.opening_balances(spark, sf_dir), [I.SEED_DAY])
+    house.fill_turnover(I.MONTH_START, I.MONTH_END)
+    house.seed_balances(I.SEED_DAY)
+    house.fill_balances(I.MONTH_START, I.MONTH_END)
+    house.fill_ledger_report(I.REPORT_DAY)
+    return store.read(S.LEDGER_REPORT)
+
+
 def holiday_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loan_holiday_info(
         I.deals(spark, sf_dir), I.holidays(spark, sf_dir), I.products(spark, sf_dir)
@@ -155,6 +191,8 @@ QUERIES = {
     "ledger_report_unmapped": ledger_report_unmapped,
     "csv_roundtrip": csv_roundtrip,
     "csv_text_roundtrip": csv_text_roundtrip,
+    "csv_encoding": csv_encoding,
+    "stored_ledger_report": stored_ledger_report,
     "holiday_mart": holiday_mart,
     "correct_in": correct_in,
     "correct_out": correct_out,
@@ -243,7 +281,7 @@ def _report_sql(ledger: str) -> str:
             f"{_A.format(f'SUM(CASE WHEN {away} THEN {value} ELSE 0 END)')} AS {name}_val",
             f"{_A.format(f'SUM({value})')} AS {name}_total",
         ]
-    twins = [f"{_A.format('NULL')} AS r_{m}" for m in REPORT_MEASURES]
+    twins = [f"{_A.format('NULL')} AS r_{m}" for m in S.REPORT_MEASURES]
     body = f"""SELECT DATE '1995-01-01' AS from_date, DATE '1995-01-31' AS to_date,
       l.chapter AS chapter, substring(a.account_number, 1, 5) AS ledger_account,
       a.char_type AS characteristic, {', '.join(sums + twins)}
@@ -292,6 +330,9 @@ ORACLE = {
     "ledger_report": _report_sql("ledger"),
     "ledger_report_unmapped": _report_sql("ledger_part"),
     "csv_roundtrip": _report_sql("ledger"),
+    "csv_encoding": """SELECT p_partkey AS product_rk, 'Café ' || p_name AS product_name
+    FROM part""",
+    "stored_ledger_report": _report_sql("ledger"),
     "csv_text_roundtrip": """SELECT p_partkey AS product_rk,
       CASE WHEN p_brand = 'Brand#1' THEN NULL
         ELSE 'Счёт; "' || p_name || '", ' || p_type END AS product_name
@@ -305,7 +346,7 @@ ORACLE = {
                 "product_name": "p.product_name",
                 "deal_number": "d.deal_num AS deal_number",
             }.get(c, f"h.{c}" if c.startswith("loan_holiday") else f"d.{c}")
-            for c in LOAN_HOLIDAY_INFO.columns
+            for c in S.LOAN_HOLIDAY_INFO.columns
         )
         + """ FROM deal d
     LEFT JOIN holiday h ON h.deal_rk = d.deal_rk

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,10 @@ from ledgerloom.schemas import TableSpec
 _RUN = 10_000
 
 
+# Fixed value: the day an open-ended version is taken to last to.
+OPEN_END = dt.date(9999, 12, 31)
+
+
 class DataCheckError(ValueError):
     """Stored data would break the definition of its table."""
 
@@ -62,6 +67,35 @@ def require_table(df: DataFrame, spec: TableSpec) -> None:
         require_unique(df, spec.key, spec.name)
 
 
+def overlapping_versions(
+    df: DataFrame,
+    key: Sequence[str],
+    start: str = "data_actual_date",
+    end: str = "data_actual_end_date",
+) -> DataFrame:
+    """Version starts that fall into another version of the same key.
+
+    One row per (key, start) with the number of versions beginning there and
+    ``reaches``, the latest day an earlier version lasts to (an open end counts
+    as the last possible day). Versions are combined per start first, so the
+    window sees each calendar day of a key at most once.
+    """
+    last_day = F.max(F.coalesce(F.col(end), F.lit(OPEN_END)))
+    earlier = (
+        W.partitionBy(*key)
+        .orderBy(start)
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
+    return (
+        df.filter(F.col(start).isNotNull())
+        .groupBy(*key, start)
+        .agg(F.count(F.lit(1)).alias(ROW_COUNT), last_day.alias("_to"))
+        .withColumn("reaches", F.max("_to").over(earlier))
+        .filter((F.col(ROW_COUNT) > 1) | (F.col("reaches") >= F.col(start)))
+        .select(*key, start, ROW_COUNT, "reaches")
+    )
+
+
 def enforce_key(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
     """The same rows; the job reading them fails on a repeated or NULL key.
 

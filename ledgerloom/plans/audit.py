@@ -23,7 +23,7 @@ _COUNTERS = ("input_rows", "inserted_rows", "updated_rows", "skipped_rows")
 
 
 def utc_now() -> dt.datetime:
-    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    return dt.datetime.now(dt.UTC)
 
 
 @dataclass

@@ -236,13 +236,14 @@ class Warehouse:
         """Turnover of a day or of a period, in one job; safe to repeat."""
         last = last or first
         read = self.store.read
+        rates = read(S.EXCHANGE_RATE)
+        endless = rates.filter(F.col("data_actual_end_date").isNull()).count()
+        note = f"; {endless} rate rows without an end date were not used" if endless else ""
         return self._fill(
             S.TURNOVER,
             _days(first, last),
-            lambda: account_turnover(
-                read(S.POSTING), read(S.ACCOUNT), read(S.EXCHANGE_RATE), first, last
-            ),
-            _label(first, last),
+            lambda: account_turnover(read(S.POSTING), read(S.ACCOUNT), rates, first, last),
+            _label(first, last) + note,
         )
 
     def seed_balances(self, as_of: dt.date) -> U.LoadStats:
@@ -316,9 +317,8 @@ class Warehouse:
             text = read_delimited(self.spark, path, table.columns, style)
             rows = typed(text, table, date_pattern)
             if truncate_first:
-                added = self.store.rewrite(table, rows)["rows"]
-            else:
-                added = self.store.append(table, rows)
+                self.store.truncate(table)
+            added = self.store.append(table, rows)
             run.stats = U.LoadStats(added, added, 0, f"{path} -> {table.name}")
             return run.stats
 

@@ -101,7 +101,11 @@ SINGLE_FILE_ROWS = 100_000
 
 
 def write_delimited(
-    df: DataFrame, path: str, style: Delimited | None = None, single_file: bool = False
+    df: DataFrame,
+    path: str,
+    style: Delimited | None = None,
+    single_file: bool = False,
+    encoding: str = UTF8,
 ) -> int:
     """Write a folder of delimited part files with headers; returns the row count.
 
@@ -121,6 +125,7 @@ def write_delimited(
         .option("sep", style.sep)
         .option("nullValue", style.null_text)
         .option("escape", '"')
+        .option("encoding", encoding)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

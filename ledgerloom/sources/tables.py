@@ -161,17 +161,20 @@ class TableStore:
             self.rewrite(spec, self.spark.createDataFrame([], spec.schema))
 
     def append(self, spec: TableSpec, df: DataFrame) -> int:
-        """Add rows to an unkeyed table; returns how many."""
-        watch = Observation()
+        """Add rows without looking at keys; returns how many."""
         current = self._current(spec)
-        if current is None:
+        if current is None and not spec.by_date:
             return self.rewrite(spec, df)["rows"]
-        (
+        folder = self.folder(spec)
+        watch = Observation()
+        writer = (
             df.select(*spec.columns)
             .observe(watch, F.count(F.lit(1)).alias("rows"))
             .write.mode("append")
-            .parquet(f"{self.folder(spec)}/{_VERSION}{current}")
         )
+        if spec.partition_by:
+            writer = writer.partitionBy(spec.partition_by)
+        writer.parquet(folder if spec.by_date else f"{folder}/{_VERSION}{current}")
         return watch.get["rows"]
 
     def replace_dates(

@@ -96,3 +96,29 @@ def test_display_order(spark):
     df = spark.createDataFrame([(None, "a", 1), (2, "a", 1), (1, "b", 1), (1, None, 1)], DDL)
     got = [(r.k, r.v) for r in versions.in_key_order(df, ["k", "v"]).collect()]
     assert got == [(1, "b"), (1, None), (2, "a"), (None, "a")]
+
+
+def test_overlapping_versions(spark):
+    data = [
+        (1, "2018-01-01", "2018-01-31"),
+        (1, "2018-01-05", "2018-01-06"),
+        (1, "2018-01-31", None),
+        (1, "2018-03-01", "2018-03-02"),
+        (2, "2018-01-01", "2018-01-31"),
+        (2, "2018-02-01", None),
+        (3, "2018-01-01", "2018-01-01"),
+        (3, "2018-01-01", "2018-01-01"),
+    ]
+    df = spark.createDataFrame(data, "k int, f string, t string").selectExpr(
+        "k", "CAST(f AS DATE) AS f", "CAST(t AS DATE) AS t"
+    )
+    got = checks.overlapping_versions(df, ["k"], "f", "t")
+    assert rows(got) == sorted(
+        [
+            (1, day("2018-01-05"), 1, day("2018-01-31")),
+            (1, day("2018-01-31"), 1, day("2018-01-31")),
+            (1, day("2018-03-01"), 1, checks.OPEN_END),
+            (3, day("2018-01-01"), 2, None),
+        ],
+        key=str,
+    )

@@ -223,6 +223,24 @@ def test_load_touches_staged_dates_and_finishes_what_was_pending(house, folder,
     )
 
 
+def test_import_into_a_dated_table(house, folder):
+    path = folder / "sums.csv"
+    path.write_text(
+        "account_rk;effective_date;account_in_sum;account_out_sum\n1;2024-01-01;0;10\n1;2024-01-02;10;NULL\n"
+    )
+    for expected in (2, 4):
+        house.import_csv(S.SOURCE_BALANCE, str(path))
+        assert house.store.read(S.SOURCE_BALANCE).count() == expected
+    house.import_csv(S.SOURCE_BALANCE, str(path), truncate_first=True)
+    assert rows(house.store.read(S.SOURCE_BALANCE)) == sorted(
+        [
+            (1, day("2024-01-01"), money(0), money(10)),
+            (1, day("2024-01-02"), money(10), None),
+        ],
+        key=str,
+    )
+
+
 def test_balance_repair_job(house, frame):
     first, second = day("2024-01-01"), day("2024-01-02")
     sums = [(1, first, Decimal(0), Decimal(10)), (1, second, Decimal(11), Decimal(20))]
