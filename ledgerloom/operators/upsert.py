@@ -19,7 +19,8 @@ from ledgerloom.functions.predicates import all_of, any_of, differs
 from ledgerloom.operators.lookup import spread_join
 
 ACTION = "_action"
-KEEP, UPDATE, INSERT = "keep", "update", "insert"
+# Not staged, staged as stored, changed, new.
+KEEP, SAME, UPDATE, INSERT = "keep", "same", "update", "insert"
 REASON = "reject_reason"
 
 
@@ -102,9 +103,7 @@ def merge_rows(
         )
         .withColumn(
             ACTION,
-            F.when(~stored, F.lit(INSERT))
-            .when(F.col("_new").isNotNull(), F.lit(UPDATE))
-            .otherwise(F.lit(KEEP)),
+            F.when(~stored, F.lit(INSERT)).otherwise(_stored_action()),
         )
         .select(*_taking_new(target.columns, attributes), ACTION)
     )
@@ -116,6 +115,14 @@ def _change(attributes: Sequence[str]) -> Column:
     return F.when(same, F.col("_second")).otherwise(F.col("_first"))
 
 
+def _stored_action() -> Column:
+    return (
+        F.when(F.col("_new").isNotNull(), F.lit(UPDATE))
+        .when(F.col("_first").isNotNull(), F.lit(SAME))
+        .otherwise(F.lit(KEEP))
+    )
+
+
 def _taking_new(columns: Sequence[str], attributes: Sequence[str]) -> list[Column]:
     return [
         F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
@@ -139,10 +146,7 @@ def _merge_small(
     matched = (
         target.join(staged, key, "left")
         .withColumn("_new", _change(attributes))
-        .withColumn(
-            ACTION,
-            F.when(F.col("_new").isNotNull(), F.lit(UPDATE)).otherwise(F.lit(KEEP)),
-        )
+        .withColumn(ACTION, _stored_action())
         .select(*_taking_new(target.columns, attributes), ACTION)
     )
     found = target.select(*key).join(staged.select(*key), key, "left_semi")
@@ -169,6 +173,7 @@ def action_counts() -> list[Column]:
     return [
         F.count_if(F.col(ACTION) == INSERT).alias("inserted"),
         F.count_if(F.col(ACTION) == UPDATE).alias("updated"),
+        F.count_if(F.col(ACTION) == SAME).alias("same"),
     ]
 
 

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas as S
 from ledgerloom.functions.casts import DOTTED_DATE, ISO_DATE, typed
 from ledgerloom.functions.messages import FILLED_FOR, lines_summary, mismatch_lines
-from ledgerloom.functions.predicates import valid_currency
+from ledgerloom.functions.predicates import any_of, valid_currency
 from ledgerloom.operators import upsert as U
-from ledgerloom.operators.checks import enforce_key, require_filled
+from ledgerloom.operators.checks import DataCheckError, enforce_key
 from ledgerloom.operators.versions import keep_freshest
 from ledgerloom.plans.audit import AuditLog
 from ledgerloom.plans.balance import balance_for_day, balance_for_period, seed_balance
@@ -59,6 +59,11 @@ class IngestSpec:
     def wanted(self) -> list[str]:
         return list(self.columns or self.table.columns)
 
+    @property
+    def must(self) -> list[str]:
+        """Columns whose NULL stops a load; a NULL in a key only rejects the row."""
+        return [c for c in self.table.required if c not in self.table.key]
+
     @property
     def file_name(self) -> str:
         return f"{self.table.name}.csv"
@@ -87,7 +92,8 @@ def stage_table(spec: IngestSpec) -> TableSpec:
 
 
 def reject_table(spec: IngestSpec) -> TableSpec:
-    fields = [S.T.StructField("line", S.T.StringType())]
+    """All rejected rows of all runs, as the log names them."""
+    fields = [S.T.StructField(c, S.T.StringType()) for c in ("run_id", "line")]
     return TableSpec("logs", f"rejects_{spec.table.name}", S.T.StructType(fields))
 
 
@@ -104,78 +110,95 @@ class Warehouse:
     def load_file(self, spec: IngestSpec, path: str) -> U.LoadStats:
         """Land a file, load it into its table, keep the rejected rows."""
         with self.audit.run(LOAD, spec.table.name) as run:
-            received = self._land_file(spec, path)
-            run.stats = self._load_landed(spec, received)
+            run.stats = self._load_landed(spec, self._land_file(spec, path), run.run_id)
+            return run.stats
+
+    def load_rows(
+        self, spec: IngestSpec, text: DataFrame, process: str = LOAD
+    ) -> U.LoadStats:
+        """The same for all-text rows from elsewhere."""
+        with self.audit.run(process, spec.table.name) as run:
+            run.stats = self._load_landed(spec, self._land(spec, text), run.run_id)
             return run.stats
 
-    def _land_file(self, spec: IngestSpec, path: str) -> int:
+    def _land_file(self, spec: IngestSpec, path: str) -> dict[str, int]:
         """Land a file in the first encoding that decodes all of it.
 
         Undecodable texts are counted while landing, so a file in the expected
         encoding is read once; the last candidate is accepted as it is.
         """
-        *tested, last = spec.style.encodings
-        for encoding in tested:
+        for encoding in spec.style.encodings:
             text = read_delimited(self.spark, path, spec.wanted, spec.style, encoding)
             seen = self._land(spec, text)
             if not seen["undecodable"]:
-                return seen["rows"]
-        text = read_delimited(self.spark, path, spec.wanted, spec.style, last)
-        return self._land(spec, text)["rows"]
+                break
+        return seen
 
     def _land(self, spec: IngestSpec, text: DataFrame) -> dict[str, int]:
+        """Write the typed rows; all that a load asks of them is counted with it."""
         marked = text.withColumn(_BROKEN, undecodable(spec.wanted))
         rows = typed(marked, spec.table, spec.date_pattern, spec.wanted, keep=[_BROKEN])
-        return self.store.rewrite(
-            stage_table(spec),
-            rows,
-            measures=[F.count_if(_BROKEN).alias("undecodable")],
-            drop=[_BROKEN],
-        )
-
-    def _load_landed(self, spec: IngestSpec, received: int) -> U.LoadStats:
-        landing = stage_table(spec)
-        stats = self.load_stage(spec, self.store.read(landing), received)
-        self.store.truncate(landing)
-        return stats
-
-    def load_rows(self, spec: IngestSpec, text: DataFrame) -> U.LoadStats:
-        """Land all-text rows as typed ones, then load them from there."""
-        return self._load_landed(spec, self._land(spec, text)["rows"])
-
-    def load_stage(
-        self, spec: IngestSpec, stage: DataFrame, received: int
+        holes = [F.col(c).isNull() for c in spec.wanted]
+        valid = spec.valid() if spec.valid else F.lit(True)
+        measures = [
+            F.count_if(_BROKEN).alias("undecodable"),
+            F.count_if(any_of(holes)).alias("incomplete"),
+            *[
+                F.count_if(valid & F.col(c).isNull()).alias(f"null {c}")
+                for c in spec.must
+            ],
+        ]
+        return self.store.rewrite(stage_table(spec), rows, measures, drop=[_BROKEN])
+
+    def _load_landed(
+        self, spec: IngestSpec, landed: dict[str, int], run_id: str
     ) -> U.LoadStats:
-        """Load ``received`` staged rows; counters are taken while writing.
+        """Load the landing table; counters are taken while writing.
 
         A NULL in a required column stops the load, except in the key of a keyed
-        table: such a row is rejected instead.
+        table: such a row is rejected instead. Rows that may be rejected are
+        looked for only if the counters leave room for any.
         """
-        table = spec.table
+        table, received = spec.table, landed["rows"]
+        missing = [c for c in spec.must if landed[f"null {c}"]]
+        if missing:
+            raise DataCheckError(
+                f"{table.name}: NULL in required columns: {', '.join(missing)}"
+            )
+        landing = stage_table(spec)
+        stage = self.store.read(landing)
         if table.key:
             named = list(table.key)
-            inserted, updated, rejects = self._merge(spec, stage, received)
+            seen, rejects = self._merge(spec, stage, received)
+            inserted, updated = seen["inserted"], seen["updated"]
+            doubtful = received - inserted - updated - seen["same"]
         else:
             named = table.columns
-            require_filled(stage, table.required, table.name)
             inserted = self.store.rewrite(table, U.replace_with_distinct(stage))["rows"]
-            updated = 0
+            updated, doubtful = 0, landed["incomplete"]
             rejects = U.unmatched_after_replace(stage)
-        held = reject_table(spec)
-        message = None
-        if self.store.rewrite(held, mismatch_lines(rejects, named))["rows"]:
-            message = lines_summary(self.store.read(held)).first()["message"]
+        message = self._keep_rejects(spec, rejects, named, run_id) if doubtful else None
+        self.store.truncate(landing)
         return U.LoadStats(received, inserted, updated, message)
 
+    def _keep_rejects(
+        self, spec: IngestSpec, rejects: DataFrame, named: Sequence[str], run_id: str
+    ) -> str | None:
+        """Store a line per rejected row; returns the text for the audit log."""
+        held, run = reject_table(spec), F.lit(run_id).alias("run_id")
+        lines = mismatch_lines(rejects, named).select(run, "line")
+        if not self.store.append(held, lines):
+            return None
+        mine = self.store.read(held).filter(F.col("run_id") == run_id)
+        return lines_summary(mine.select("line")).first()["message"]
+
     def _merge(
         self, spec: IngestSpec, stage: DataFrame, received: int
-    ) -> tuple[int, int, DataFrame]:
+    ) -> tuple[dict[str, int], DataFrame]:
         """Keyed load. A table kept by date is touched on the staged dates only."""
         table, store = spec.table, self.store
         attributes = [c for c in spec.wanted if c not in table.key]
         valid = spec.valid() if spec.valid else None
-        must = [c for c in table.required if c in attributes]
-        require_filled(stage if valid is None else stage.filter(valid), must, table.name)
         counts, marks = U.action_counts(), [U.ACTION]
 
         def merged(stored: DataFrame) -> DataFrame:
@@ -192,8 +215,7 @@ class Warehouse:
             seen = store.rewrite(table, merged(store.read(table)), counts, marks)
             loaded = store.read(table)
         doubtful = U.contested_rows(stage, table.key, attributes, valid)
-        rejects = U.rejected_rows(loaded, doubtful, table.key, attributes, valid)
-        return seen["inserted"], seen["updated"], rejects
+        return seen, U.rejected_rows(loaded, doubtful, table.key, attributes, valid)
 
     def _finish_pending(self, table: TableSpec) -> None:
         """Move rewritten dates from their pending table into place.

@@ -187,18 +187,24 @@ class TableStore:
         """Replace the partitions of ``dates`` by the rows of ``df``.
 
         A date for which ``df`` has no rows ends up empty: dynamic overwrite
-        leaves such a partition alone, so it is removed afterwards. Every task
+        leaves such a partition alone, so it is removed afterwards. A row of any
+        other date fails the job, as it would wipe out that date. Every task
         writes one file per date it holds, without another shuffle; ``compact``
         gathers the rows by date first, for a result that is small beside the
         number of tasks (Spark splits a date too large for one task).
         """
         column, folder = spec.partition_by, self.folder(spec)
+        day = F.col(column)
+        stray = F.format_string("%s is not a date to replace", day.cast("string"))
+        expected = F.when(day.isin(list(dates)), day).otherwise(
+            F.raise_error(stray).cast("date")
+        )
         places = {d: f"{folder}/{column}={d.isoformat()}" for d in dates}
         before = {d: set(self._children(p)) for d, p in places.items()}
         watch = Observation()
         rows = (
             df.select(*spec.columns)
-            .filter(F.col(column).isin(list(dates)))
+            .withColumn(column, expected)
             .observe(watch, F.count(F.lit(1)).alias("rows"))
         )
         (

@@ -24,10 +24,7 @@ def load_dropped_files(
     """
 
     def load_batch(rows: DataFrame, batch: int) -> None:
-        run_id = f"{spec.table.name}-{batch}"
-        with warehouse.audit.run("file_drop", spec.table.name, run_id) as run:
-            text = null_tokens(rows, spec.style.missing)
-            run.stats = warehouse.load_rows(spec, text)
+        warehouse.load_rows(spec, null_tokens(rows, spec.style.missing), "file_drop")
 
     (
         warehouse.spark.readStream.schema(text_schema(spec.wanted))

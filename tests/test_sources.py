@@ -99,9 +99,12 @@ def test_replace_dates(store, frame, compact):
     first = [(d, rk, D(rk), D(rk)) for d in (d1, d2, d3) for rk in (1, 2)]
     assert store.replace_dates(spec, frame(spec, first), [d1, d2, d3], compact) == 6
     # The table is rewritten from itself; d2 gets no rows and must become empty.
-    again = store.read(spec).filter("account_rk = 1 AND on_date <> '2018-01-02'")
+    again = store.read(spec).filter("account_rk = 1 AND on_date = '2018-01-01'")
     assert store.replace_dates(spec, again, [d1, d2], compact) == 1
     assert rows(store.read(spec), "on_date", "account_rk") == [(d1, 1), (d3, 1), (d3, 2)]
+    with pytest.raises(Exception, match="2018-01-03 is not a date to replace"):
+        store.replace_dates(spec, store.read(spec), [d1])
+    assert store.read(spec).count() == 3
     store.truncate(spec)
     assert store.read(spec).count() == 0
 

@@ -102,7 +102,8 @@ def test_second_load_changes_nothing(spark):
     once = U.snapshot(U.merge_rows(t, s, KEY, ATTRS))
     again = U.merge_rows(once, s, KEY, ATTRS)
     assert rows(U.snapshot(again)) == rows(once)
-    assert again.filter(F.col(U.ACTION) != U.KEEP).isEmpty()
+    assert again.filter(F.col(U.ACTION).isin(U.UPDATE, U.INSERT)).isEmpty()
+    assert again.filter(F.col(U.ACTION) == U.SAME).count() == 2
 
 
 def test_unmatched_rows_after_replacing(spark):
