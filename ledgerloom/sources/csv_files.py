@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from ledgerloom.functions.casts import (
     MISSING_TOKENS,
@@ -70,6 +71,43 @@ def resolve_encoding(spark: SparkSession, path: str, style: Delimited) -> str:
     return last
 
 
+# Holds the text of a row whose number of fields is wrong.
+_MALFORMED = "_malformed"
+
+
+def text_schema(columns: Sequence[str]) -> T.StructType:
+    """All columns as text, and a place for malformed rows."""
+    names = [*columns, _MALFORMED]
+    return T.StructType([T.StructField(c, T.StringType()) for c in names])
+
+
+def strict_options(reader: DataFrameReader | DataStreamReader):
+    """Check the header of every file, and mark rows that do not fit it.
+
+    Fields are only counted when no column is skipped while parsing.
+    """
+    return (
+        reader.option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", _MALFORMED)
+        .option("columnPruning", False)
+    )
+
+
+def clean_text(
+    rows: DataFrame, columns: Sequence[str], missing: Sequence[str]
+) -> DataFrame:
+    """The wanted columns with missing values as NULL.
+
+    A malformed row fails the job: its values would be in the wrong columns.
+    """
+    first, *others = columns
+    problem = F.raise_error(F.concat(F.lit("malformed row: "), F.col(_MALFORMED)))
+    checked = F.when(F.col(_MALFORMED).isNull(), F.col(first)).otherwise(
+        problem.cast("string")
+    )
+    return null_tokens(rows.select(checked.alias(first), *others), missing)
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -85,15 +123,13 @@ def read_delimited(
     """
     style = style or Delimited()
     encoding = encoding or resolve_encoding(spark, path, style)
-    rows = lower_names(_reader(spark, style, encoding).csv(path))
-    lacking = [c for c in columns if c not in rows.columns]
+    header = _reader(spark, style, encoding).csv(path).columns
+    rows = strict_options(_reader(spark, style, encoding)).schema(text_schema(header))
+    named = lower_names(rows.csv(path))
+    lacking = [c for c in columns if c not in named.columns]
     if lacking:
         raise ValueError(f"{path}: no column {', '.join(lacking)} in the header")
-    return null_tokens(rows.select(*columns), style.missing)
-
-
-def text_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return clean_text(named, columns, style.missing)
 
 
 # A report this small is written as a single file when asked for.

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ledgerloom.functions.casts import null_tokens
 from ledgerloom.plans.jobs import IngestSpec, Warehouse
-from ledgerloom.sources.csv_files import UTF8, text_schema
+from ledgerloom.sources.csv_files import (
+    UTF8,
+    clean_text,
+    strict_options,
+    text_schema,
+)
 
 
 def load_dropped_files(
@@ -24,15 +28,16 @@ def load_dropped_files(
     """
 
     def load_batch(rows: DataFrame, batch: int) -> None:
-        warehouse.load_rows(spec, null_tokens(rows, spec.style.missing), "file_drop")
+        text = clean_text(rows, spec.wanted, spec.style.missing)
+        warehouse.load_rows(spec, text, "file_drop")
 
     (
-        warehouse.spark.readStream.schema(text_schema(spec.wanted))
+        strict_options(warehouse.spark.readStream)
+        .schema(text_schema(spec.wanted))
         .option("header", True)
         .option("sep", spec.style.sep)
         .option("escape", '"')
         .option("encoding", encoding)
-        .option("enforceSchema", False)
         .csv(folder)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)

@@ -5,7 +5,6 @@ from decimal import Decimal
 import pytest
 from conftest import day
 
-from ledgerloom.catalog import inputs as I
 from ledgerloom.catalog import checks, loads, marts
 
 DATA = "/root/testdata/sf0.001"

@@ -3,7 +3,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from conftest import day, money, rows
+from conftest import day, rows
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
@@ -26,6 +26,25 @@ def test_columns_by_name_in_any_case_and_order(spark, tmp_path):
         read_delimited(spark, str(path), ["code", "other"])
 
 
+@pytest.mark.parametrize("bad", ["1;a;b;c", "1"])
+def test_rows_with_a_wrong_number_of_fields_fail(spark, tmp_path, bad):
+    path = tmp_path / "a.csv"
+    path.write_text(f'k;v;w\n1;"a;b";c\n{bad}\n')
+    with pytest.raises(Exception, match="malformed row"):
+        read_delimited(spark, str(path), ["k", "v"]).collect()
+    path.write_text('k;v;w\n1;"a;b";c\n')
+    assert rows(read_delimited(spark, str(path), ["w", "v"])) == [("c", "a;b")]
+
+
+def test_files_of_a_folder_must_agree(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1.csv").write_text("k;v\n1;a\n")
+    (folder / "2.csv").write_text("v;k\nb;2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(folder), ["k", "v"]).collect()
+
+
 def test_encoding_is_found(spark, tmp_path):
     style = Delimited(sep=",")
     for encoding, expected in (("utf-8", "UTF-8"), ("cp1251", "windows-1251")):
