@@ -9,12 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.lookup import numbered_copies
 from ledgerloom.operators.versions import ROW_COUNT, repeated_keys
 from ledgerloom.schemas import TableSpec
 
-# A repeated date is written out in runs of at most this many rows at a time.
-_RUN = 10_000
-
 
 # Fixed value: the day an open-ended version is taken to last to.
 OPEN_END = dt.date(9999, 12, 31)
@@ -138,21 +136,17 @@ def date_gaps(
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     next_day = F.lead(day).over(W.partitionBy(entity).orderBy(day))
-    runs = F.sequence(F.lit(1), F.col("_rows"), F.lit(_RUN))
-    run = F.sequence(F.col("_start"), F.least(F.col("_start") + _RUN - 1, F.col("_rows")))
     is_gap = F.coalesce(F.col("next_date") != F.date_add(day, 1), F.lit(False))
+    found = counted.withColumn("next_date", next_day).filter(
+        is_gap | (F.col("_rows") > 1)
+    )
+    # All copies of a day but the last are followed by the same day.
+    follower = F.when(F.col("_copy") < F.col("_rows"), F.col(day)).otherwise(
+        F.col("next_date")
+    )
     return (
-        counted.withColumn("next_date", next_day)
-        .filter(is_gap | (F.col("_rows") > 1))
-        # Two nested explodes keep every generated array short.
-        .withColumn("_start", F.explode(runs))
-        .withColumn("_copy", F.explode(run))
-        .withColumn(
-            "next_date",
-            F.when(F.col("_copy") < F.col("_rows"), F.col(day)).otherwise(
-                F.col("next_date")
-            ),
-        )
+        numbered_copies(found, "_rows", [entity, day])
+        .withColumn("next_date", follower)
         .filter(is_gap)
         .select(entity, day, "next_date", F.datediff("next_date", day).alias("date_diff"))
     )

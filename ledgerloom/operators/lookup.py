@@ -69,3 +69,25 @@ def left_join_many(
         *few.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra]
     )
     return paired.unionByName(alone)
+
+
+# A repeated row is written out in runs of at most this many copies.
+RUN = 10_000
+
+
+def numbered_copies(df: DataFrame, rows: str, by: Sequence[str]) -> DataFrame:
+    """Each row as often as its column ``rows`` says, numbered in ``_copy``.
+
+    The copies are made run by run, and the runs are spread over tasks, so
+    neither an array nor a task ever holds a whole hot group. The number of
+    tasks is given outright: runs are few bytes each, and Spark would otherwise
+    put them together again.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.least(F.col("_start") + RUN - 1, F.col(rows))
+    return (
+        df.withColumn("_start", F.explode(F.sequence(F.lit(1), F.col(rows), F.lit(RUN))))
+        .repartition(tasks, *by, "_start")
+        .withColumn("_copy", F.explode(F.sequence(F.col("_start"), last)))
+        .drop("_start")
+    )

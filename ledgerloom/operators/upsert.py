@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.predicates import all_of, any_of, differs
-from ledgerloom.operators.lookup import spread_join
+from ledgerloom.operators.lookup import numbered_copies, spread_join
 
 ACTION = "_action"
 # Not staged, staged as stored, changed, new.
@@ -260,10 +260,29 @@ def unmatched_rows(stage: DataFrame, stored: DataFrame) -> DataFrame:
     """Staged rows without an equal stored row, column by column.
 
     Plain equality on purpose: a NULL never matches, so rows holding one are
-    reported even when they were stored.
+    reported even when they were stored. Complete rows are counted per content
+    together with the stored ones; copies shrink to one row before the shuffle,
+    and those not stored are written out as often as they were staged.
     """
     every = stage.columns
-    return spread_join(stage, stored.distinct(), every, "left_anti").select(*every)
+    incomplete = any_of(F.col(c).isNull() for c in every)
+    staged = stage.filter(~incomplete).select(
+        *every, F.lit(1).alias("_one"), F.lit(False).alias("_held")
+    )
+    held = stored.select(*every).filter(~incomplete).select(
+        "*", F.lit(0).alias("_one"), F.lit(True).alias("_held")
+    )
+    missing = (
+        staged.unionByName(held)
+        .groupBy(*every)
+        .agg(F.sum("_one").alias("_rows"), F.max("_held").alias("_held"))
+        .filter(~F.col("_held"))
+    )
+    return (
+        numbered_copies(missing, "_rows", every)
+        .select(*every)
+        .unionByName(stage.filter(incomplete))
+    )
 
 
 def unmatched_after_replace(stage: DataFrame) -> DataFrame:

@@ -51,7 +51,7 @@ def test_corrected_rows(spark):
 
 @pytest.mark.parametrize("run", [1, 2, 10_000])
 def test_gaps_with_repeated_days(spark, monkeypatch, run):
-    monkeypatch.setattr(checks, "_RUN", run)
+    monkeypatch.setattr(lookup, "RUN", run)
     rng = random.Random(3)
     data = [
         (rng.randint(1, 4), day(f"2024-01-{rng.randint(1, 20):02d}") if rng.random() > 0.1 else None)

@@ -114,6 +114,14 @@ def test_unmatched_rows_after_replacing(spark):
     assert rows(U.unmatched_after_replace(s)) == rows(U.unmatched_rows(s, stored))
 
 
+def test_unmatched_rows_equal_a_plain_anti_join(spark):
+    rng = random.Random(2)
+    make = lambda: spark.createDataFrame(random_rows(rng, 60, False), DDL)
+    stage, stored = make(), make()
+    expected = stage.join(stored, stage.columns, "left_anti")
+    assert rows(U.unmatched_rows(stage, stored)) == rows(expected)
+
+
 def test_append_distinct_keeps_stored_repeats(spark):
     t = spark.createDataFrame([(1, 1, 1, "x"), (1, 1, 1, "x")], DDL)
     s = spark.createDataFrame([(1, 1, 1, "x"), (2, 2, 2, "y"), (2, 2, 2, "y")], DDL)
