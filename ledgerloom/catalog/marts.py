@@ -22,7 +22,7 @@ from ledgerloom.plans.ledger_report import ledger_report
 from ledgerloom.plans.loan_holiday import loan_holiday_info
 from ledgerloom.plans.turnover import account_turnover
 from ledgerloom.sources.csv_files import Delimited, read_delimited, write_delimited
-from ledgerloom.sources.tables import TableStore, shared_folder
+from ledgerloom.sources.tables import TableStore, shared_folder, written
 
 
 def _turnover(spark, sf_dir, first, last=None, real_dates=False) -> DataFrame:
@@ -75,13 +75,17 @@ def balance_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf_dir: str, complete: bool) -> DataFrame:
-    turnover, seed = turnover_month(spark, sf_dir), balance_seed(spark, sf_dir)
+    # Turnover is needed for the balances and for the report: computed once.
+    turnover = written(turnover_month(spark, sf_dir), "turnover")
+    seed = balance_seed(spark, sf_dir)
     accounts = I.accounts(spark, sf_dir)
-    daily = balance_for_period(accounts, turnover, seed, I.MONTH_START, I.MONTH_END)
+    closing = balance_for_period(
+        accounts, turnover, seed, I.MONTH_START, I.MONTH_END, shown_from=I.MONTH_END
+    )
     return ledger_report(
         accounts,
         I.ledger_accounts(spark, sf_dir, complete),
-        seed.unionByName(daily),
+        seed.unionByName(closing),
         turnover,
         I.REPORT_DAY,
         allow_unmapped=not complete,

@@ -70,9 +70,13 @@ def balance_for_period(
     balances: DataFrame,
     first: dt.date,
     last: dt.date,
+    shown_from: dt.date | None = None,
 ) -> DataFrame:
     """Balances of every day in ``first..last``, equal to chaining single days.
 
+    With ``shown_from`` only the days from then on are made, for example the
+    last day alone; their values are the same.
+
     A balance only changes on days with turnover, so the running sums are built
     over those sparse rows and each is spread over the days it holds at the very
     end. Everything before that is exchanged once, by account, with at most one
@@ -155,7 +159,12 @@ def balance_for_period(
     by_island = f"OVER (PARTITION BY account_rk, island {order} {so_far})"
     # A point holds until the day before the next one of its version; the first
     # point of a version also covers the days before its own turnover.
+    shown = f"DATE'{shown_from or first}'"
     spread = marked.selectExpr(
+        "*",
+        "IF(starts, v_from, moved_on) AS holds_from",
+        "IF(next_from = v_from, date_sub(next_moved, 1), v_to) AS holds_to",
+    ).selectExpr(
         "account_rk",
         "known",
         "moved_on",
@@ -163,11 +172,11 @@ def balance_for_period(
         "change_rub",
         f"sum(step) {by_island} AS after",
         f"sum(step_rub) {by_island} AS after_rub",
-        """IF(overlapping,
+        f"""IF(overlapping,
              raise_error(concat('overlapping versions or turnover rows of account ',
                account_rk)),
-             sequence(IF(starts, v_from, moved_on),
-               IF(next_from = v_from, date_sub(next_moved, 1), v_to))) AS days""",
+             IF(holds_to >= {shown}, sequence(greatest(holds_from, {shown}), holds_to),
+               NULL)) AS days""",
     ).selectExpr("*", "explode(days) AS on_date")
 
     def value(suffix: str) -> str:

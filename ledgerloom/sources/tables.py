@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import lru_cache
 
@@ -42,6 +43,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{context.applicationId}/{name}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, for plans that read it repeatedly."""
+    path = shared_folder(df.sparkSession, f"{name}_{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class TableStore:
     """Reads and writes the tables of one warehouse root."""
 

@@ -66,7 +66,17 @@ def test_period_equals_days_chained(frame, seed):
         FIRST,
         LAST,
     )
-    assert rows(got) == chained(versions, moved, seeds)
+    expected = chained(versions, moved, seeds)
+    assert rows(got) == expected
+    late = balance_for_period(
+        frame(S.ACCOUNT, versions),
+        frame(S.TURNOVER, moved),
+        frame(S.DAILY_BALANCE, seeds),
+        FIRST,
+        LAST,
+        shown_from=DAYS[-3],
+    )
+    assert rows(late) == [r for r in expected if r[0] >= DAYS[-3]]
 
 
 def test_single_days_chain_to_the_period(spark, frame, store):
