@@ -131,7 +131,8 @@ def balance_for_period(
 
     order = "ORDER BY v_from, v_to, moved_on NULLS FIRST"
     by_account = f"OVER (PARTITION BY account_rk {order})"
-    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    so_far = f"""OVER (PARTITION BY account_rk {order}
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
     # A point is a turnover row of a version, or a version without turnover.
     neighbours = points.selectExpr(
         "*",
@@ -151,16 +152,22 @@ def balance_for_period(
              AS breaks""",
         f"IF({opens}, coalesce(seed, 0), 0) + coalesce(change, 0) AS step",
         f"IF({opens}, coalesce(seed_rub, 0), 0) + coalesce(change_rub, 0) AS step_rub",
+    )
+    # Every window has the same keys and order: one sort serves them all. The
+    # balance is what was added since the last break, as a difference of totals.
+    totals = marked.selectExpr(
+        "*",
+        f"sum(step) {so_far} AS total",
+        f"sum(step_rub) {so_far} AS total_rub",
     ).selectExpr(
         "*",
-        f"""sum(CAST(breaks AS INT)) OVER (PARTITION BY account_rk {order} {so_far})
-              AS island""",
+        f"last(IF(breaks, total - step, NULL), TRUE) {so_far} AS base",
+        f"last(IF(breaks, total_rub - step_rub, NULL), TRUE) {so_far} AS base_rub",
     )
-    by_island = f"OVER (PARTITION BY account_rk, island {order} {so_far})"
     # A point holds until the day before the next one of its version; the first
     # point of a version also covers the days before its own turnover.
     shown = f"DATE'{shown_from or first}'"
-    spread = marked.selectExpr(
+    spread = totals.selectExpr(
         "*",
         "IF(starts, v_from, moved_on) AS holds_from",
         "IF(next_from = v_from, date_sub(next_moved, 1), v_to) AS holds_to",
@@ -170,8 +177,8 @@ def balance_for_period(
         "moved_on",
         "change",
         "change_rub",
-        f"sum(step) {by_island} AS after",
-        f"sum(step_rub) {by_island} AS after_rub",
+        "total - base AS after",
+        "total_rub - base_rub AS after_rub",
         f"""IF(overlapping,
              raise_error(concat('overlapping versions or turnover rows of account ',
                account_rk)),
