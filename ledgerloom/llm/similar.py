@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -191,16 +192,14 @@ def _shared(batches):
         )
 
 
-def _set_rows(size: int):
-    def run(batches):
-        for batch in batches:
-            sets = sets_of(W.texts_of(batch.column("text")), size)
-            values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), W.lists(values, np.array([len(s) for s in sets], np.int64))], ["doc", "tokens"]
-            )
-
-    return run
+def _packed(batches):
+    """Texts compressed for the shuffles: a third of the size of their sets."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        texts = W.texts_of(batch.column("text"))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([pack(t or b"") for t in texts], pa.binary())], ["doc", "packed"]
+        )
 
 
 def common(a: np.ndarray, b: np.ndarray) -> int:
@@ -238,22 +237,21 @@ class Group:
         return None
 
 
-def _open_groups(percent: int):
+def _open_groups(size: int, percent: int):
     """Rows sorted by (grp, salt, role): members, then queries; yields links."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         at, group = None, Group()
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             a, b = [], []
-            offsets = batch.column("tokens").offsets.to_numpy()
-            values = batch.column("tokens").values.to_numpy()
+            sets = sets_of([unpack(x) for x in batch.column("packed").to_pylist()], size)
             columns = [batch.column(c).to_pylist() for c in ("grp", "salt", "role", "doc")]
-            for i, (grp, salt, role, doc) in enumerate(zip(*columns, strict=True)):
-                own = values[offsets[i]: offsets[i + 1]]
+            for grp, salt, role, doc, own in zip(*columns, sets, strict=True):
                 if at != (grp, salt):
                     at, group = (grp, salt), Group()
                 if role == 0:
-                    group.members.append((doc, own.copy()))
+                    group.members.append((doc, own))
                 elif (member := group.linked(own, percent)) is not None:
                     a.append(doc), b.append(member)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -261,7 +259,9 @@ def _open_groups(percent: int):
     return run
 
 
-def _links(work: Work, asked: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _links(
+    work: Work, asked: DataFrame, members: DataFrame, texts: DataFrame, size: int, percent: int
+) -> DataFrame:
     """Links that queries ``asked`` (grp, doc) have in groups ``members`` (grp, doc)."""
     load = asked.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TASK_ROWS).cast("int").alias("salts"))
     load = work.keep(load, "load")
@@ -271,12 +271,12 @@ def _links(work: Work, asked: DataFrame, members: DataFrame, sets: DataFrame, pe
     copies = members.join(load, "grp").select(
         "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), "doc"
     )
-    rows = spread_join(queries.unionByName(copies), sets, ["doc"], "inner")
+    rows = spread_join(queries.unionByName(copies), texts, ["doc"], "inner")
     parts = shuffle_partitions(work.spark)
     return (
         rows.repartition(parts, "grp", "salt")
         .sortWithinPartitions("grp", "salt", "role")
-        .mapInArrow(_open_groups(percent), "a long, b long")
+        .mapInArrow(_open_groups(size, percent), "a long, b long")
     )
 
 
@@ -318,7 +318,9 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
         "met",
     )
     own = reps.filter("doc_id = rep").select(F.col("doc_id").alias("doc")).distinct()
-    met = work.keep(spread_join(met, own, ["doc"], "left_semi"), "met")
+    all_met, met = met, work.keep(spread_join(met, own, ["doc"], "left_semi"), "met")
+    counts = work.keep(profile.select("doc_id", "n"), "counts")
+    work.drop(all_met, profile)
 
     # 3. Each document with the least one it shares most of its tokens with.
     shares = met.filter("doc <> lead").groupBy("doc", "lead").count()
@@ -328,14 +330,10 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     across = spread_join(salted, leads, ["token"], "inner").filter("lead <> grp").select(F.col("lead").alias("doc"), "grp")
     asked = work.keep(best.select("doc", "grp").unionByName(across).distinct(), "asked")
     wanted = met.select("doc").distinct()
-    sets = work.keep(
-        docs.join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi").mapInArrow(
-            _set_rows(size), "doc long, tokens array<long>"
-        ),
-        "sets",
-    )
+    packed = docs.filter("doc_id IS NOT NULL").mapInArrow(_packed, "doc long, packed binary")
+    texts = work.keep(packed.join(wanted, "doc", "left_semi"), "texts")
     alone = asked.select("grp").distinct().select("grp", F.col("grp").alias("doc"))
-    links = work.keep(_links(work, asked, alone, sets, percent), "links")
+    links = work.keep(_links(work, asked, alone, texts, size, percent), "links")
     roots = work.keep(components(work, links), "roots")
 
     # 4. Tokens that join different components: the matrix.
@@ -369,7 +367,7 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     )
     asked = work.keep(asked, "asked")
     members = between.select("grp", "doc").distinct()
-    more = work.keep(_links(work, asked, members, sets, percent), "links")
+    more = work.keep(_links(work, asked, members, texts, size, percent), "links")
     if not more.isEmpty():
         links = links.unionByName(more)
         roots = work.keep(components(work, links), "roots")
@@ -383,15 +381,11 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
         .groupBy("doc_id")
         .agg(F.min(F.coalesce("root", "rep")).alias("reached"), F.max("links").alias("links"))
     )
-    return (
-        profile.select("doc_id", "n")
-        .join(work.keep(of_doc, "of_doc"), "doc_id", "left")
-        .select(
-            "doc_id",
-            F.col("n").alias("n_shingles"),
-            F.coalesce("reached", "doc_id").alias("component_id"),
-            F.coalesce("links", F.lit(0)).alias("n_links"),
-        )
+    return counts.join(work.keep(of_doc, "of_doc"), "doc_id", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("reached", "doc_id").alias("component_id"),
+        F.coalesce("links", F.lit(0)).alias("n_links"),
     )
 
 
