@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm.decontaminate import op5_decontaminate
+from ledgerloom.llm.quality_rules import op9_quality_rules
 from ledgerloom.llm.similar import op3_similar
+from ledgerloom.llm.toxicity import op6_toxicity
+from ledgerloom.llm.weak_quality import op7_quality_classifier
 
 
 def _over(operator: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,6 +25,9 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard": _over(op3_similar, "documents"),
     "op5_decontaminate": _over(op5_decontaminate, "documents", "benchmark"),
+    "op6_toxicity": _over(op6_toxicity, "documents", "labels"),
+    "op7_quality_classifier": _over(op7_quality_classifier, "documents"),
+    "op9_quality_rules": _over(op9_quality_rules, "documents", "labels"),
 }
 
 ORACLE: dict[str, str] = {}
