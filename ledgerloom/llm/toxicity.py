@@ -247,8 +247,10 @@ def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tu
 
     counted = rows.mapInArrow(_stem_counts, "stem binary, clean long, toxic long")
     summed = counted.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    best = summed.filter("toxic >= 3 AND toxic > clean OR stem = X''").orderBy(
-        F.length("stem") > 0, F.desc(F.col("toxic") - F.col("clean")), "stem"
+    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    often = F.col("toxic") * sizes.get(0, 0) >= LEAST_RATIO / 2 * F.col("clean") * sizes.get(1, 0)
+    best = summed.filter((F.length("stem") == 0) | ((F.col("toxic") >= 3) & often)).orderBy(
+        F.length("stem") > 0, F.desc("toxic"), "stem"
     )
     top = {bytes(r["stem"]): (r["clean"], r["toxic"]) for r in best.limit(MOST_CANDIDATES + 1).collect()}
     clean_words, toxic_words = top.pop(b"", (0, 0))
