@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.llm.bpe import op10_bpe
 from ledgerloom.llm.decontaminate import op5_decontaminate
 from ledgerloom.llm.quality_rules import op9_quality_rules
 from ledgerloom.llm.similar import op3_similar
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": _over(op6_toxicity, "documents", "labels"),
     "op7_quality_classifier": _over(op7_quality_classifier, "documents"),
     "op9_quality_rules": _over(op9_quality_rules, "documents", "labels"),
+    "op10_bpe": _over(op10_bpe, "documents"),
 }
 
 ORACLE: dict[str, str] = {}
