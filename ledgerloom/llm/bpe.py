@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a transducer lexicon.
 
-Spark counts the pre-tokens of all documents; the ``lexicon`` most frequent are
-merged once and compiled into a minimal acyclic transducer with their ids as
+Spark counts the pre-tokens of all documents; the most frequent, ``lexicon`` at
+most, are merged once and compiled into a minimal acyclic transducer with their ids as
 outputs (``automaton``). Transducer, merge table and token bytes lie in one file
 of flat arrays that Spark hands to every executor, where it is mapped into
 memory. Inside Arrow batches the distinct pre-tokens of a few megabytes of text
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import automaton
 from ledgerloom.llm import words as W
 from ledgerloom.llm.pretokens import Pretokens
-from ledgerloom.llm.work import ship_code
+from ledgerloom.llm.work import Work, ship_code
 
 LEXICON = 32_768
 #: Longer pre-tokens are neither in the lexicon nor merged side by side.
@@ -293,14 +293,30 @@ def _count_pretokens(specials: dict[bytes, int]):
     return run
 
 
+def _least(totals: DataFrame, lexicon: int) -> int:
+    """A count that at most ``lexicon`` pre-tokens reach, to an eighth of an
+    octave, from a histogram of a few hundred rows."""
+    step = F.floor(8 * F.log2("n")).alias("step")
+    sizes = totals.groupBy(step).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"))
+    least, seen = 1 << 62, 0
+    for row in sorted(sizes.collect(), key=lambda r: -r["step"]):
+        seen += row["words"]
+        if seen > lexicon:
+            break
+        least = row["least"]
+    return least
+
+
 def compiled(documents: DataFrame, path: str, lexicon: int = LEXICON) -> Codec:
     """The tokenizer at ``path`` with the lexicon of ``documents``."""
     spark = documents.sparkSession
     ship_code(spark)
     vocabulary = Vocabulary.read(path)
     counted = documents.select("text").mapInArrow(_count_pretokens(vocabulary.specials), "word binary, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(lexicon)
-    words = sorted(bytes(r["word"]) for r in top.select("word").collect())
+    work = Work(spark, "bpe")
+    totals = work.keep(counted.groupBy("word").agg(F.sum("n").alias("n")), "pretokens")
+    words = sorted(bytes(r["word"]) for r in totals.filter(F.col("n") >= _least(totals, lexicon)).select("word").collect())
+    work.drop(totals)
     sizes = np.array([len(w) for w in words], np.int64)
     ends = np.cumsum(sizes)
     ids, counts = vocabulary.merged(np.frombuffer(b"".join(words), np.uint8), ends - sizes, ends)
