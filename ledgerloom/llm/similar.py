@@ -15,7 +15,8 @@ the least document reachable over links.
 4. What is left are tokens that join documents of different components. There
    the members of a component form groups of about ``GROUP`` documents; the
    matrix says for each token which groups hold it in a member's first tokens.
-   A query asks the groups of larger components that its first tokens name. The
+   A query asks the groups of larger components that its first tokens name, if
+   what follows the token in both is enough for the overlap. The
    overlap with the union of a group's tokens bounds the overlap with every
    member; only groups that reach the needed overlap are opened and compared
    member by member.
@@ -159,36 +160,33 @@ def _profile(size: int, percent: int, cells):
 def _shared(batches):
     """Of rows sorted by (token, salt, doc), those of tokens with two documents,
     each with the least document; rows of salted tokens always."""
-    last_token, last_salt, lead, lead_n, pending, lead_doc = None, None, 0, 0, False, 0
+    before, pending, lead = None, False, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        token = batch.column("token").to_numpy(zero_copy_only=False)
-        salt = batch.column("salt").to_numpy(zero_copy_only=False)
-        doc = batch.column("doc").to_numpy(zero_copy_only=False)
-        n = batch.column("n").to_numpy(zero_copy_only=False)
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "salt", "doc", "n", "rest")]
+        token, salt, doc = columns[:3]
         start = np.ones(len(token), bool)
         start[1:] = (token[1:] != token[:-1]) | (salt[1:] != salt[:-1])
-        goes_on = last_token is not None and token[0] == last_token and salt[0] == last_salt
+        goes_on = before is not None and (token[0], salt[0]) == before[:2]
         group = np.cumsum(start) - 1
         leads = doc[start].copy()
         if goes_on:
-            leads[0] = lead_doc
+            leads[0] = lead
         sizes = np.bincount(group)
         several = sizes > 1
         if goes_on:
             several[0] = True
         use = several[group] | (salt > 0)
-        out = [token[use], salt[use], doc[use], n[use], leads[group[use]]]
+        out = [*(c[use] for c in columns), leads[group[use]]]
         if goes_on and pending:
             # The first row of this group was the last of the batch before.
-            out = [np.concatenate(([x], y)) for x, y in zip((last_token, last_salt, lead_doc, lead_n, lead_doc), out, strict=True)]
+            out = [np.concatenate(([x], y)) for x, y in zip((*before, lead), out, strict=True)]
         pending = bool(sizes[-1] == 1 and not (goes_on and group[-1] == 0) and salt[-1] == 0)
-        last_token, last_salt, lead_doc = token[-1], salt[-1], leads[-1]
-        lead_n = n[-1]
+        before, lead = tuple(c[-1] for c in columns), leads[-1]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
-            ["token", "salt", "doc", "n", "lead"],
+            [pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["token", "salt", "doc", "n", "rest", "lead"]
         )
 
 
@@ -308,13 +306,14 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     )
 
     # 2. Tokens that several documents have among their first.
-    tokens = same.select(F.col("doc_id").alias("doc"), "n", F.explode("firsts").alias("token"))
-    tokens = tokens.mapInArrow(_salted(cells, mean), "doc long, n long, token long, salt int")
+    tokens = same.select(F.col("doc_id").alias("doc"), "n", F.posexplode("firsts").alias("pos", "token"))
+    tokens = tokens.select("doc", "n", (F.col("n") - F.col("pos")).alias("rest"), "token")
+    tokens = tokens.mapInArrow(_salted(cells, mean), "doc long, n long, rest long, token long, salt int")
     parts = shuffle_partitions(spark)
     met = work.keep(
         tokens.repartition(parts, "token", "salt")
         .sortWithinPartitions("token", "salt", "doc")
-        .mapInArrow(_shared, "token long, salt int, doc long, n long, lead long"),
+        .mapInArrow(_shared, "token long, salt int, doc long, n long, rest long, lead long"),
         "met",
     )
     own = reps.filter("doc_id = rep").select(F.col("doc_id").alias("doc")).distinct()
@@ -340,8 +339,8 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     known = spread_join(roots, sizes, ["root"], "inner").select(F.col("node").alias("doc"), "root", "members")
     placed = work.keep(
-        spread_join(met.select("token", "doc", "n"), known, ["doc"], "left").select(
-            "token", "doc", "n", F.coalesce("root", "doc").alias("root"), F.coalesce("members", F.lit(1)).alias("members")
+        spread_join(met.select("token", "doc", "n", "rest"), known, ["doc"], "left").select(
+            "token", "doc", "n", "rest", F.coalesce("root", "doc").alias("root"), F.coalesce("members", F.lit(1)).alias("members")
         ),
         "placed",
     )
@@ -349,8 +348,10 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     between = spread_join(placed, mixed.select("token"), ["token"], "left_semi")
     chunk = F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / GROUP))
     between = work.keep(between.withColumn("grp", F.xxhash64("root", chunk)), "between")
-    matrix = between.groupBy("token", "grp", "root", "members").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    queries = between.select("token", "doc", "n", "root", "members")
+    matrix = between.groupBy("token", "grp", "root", "members").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest")
+    )
+    queries = between.select("token", "doc", "n", "rest", "root", "members")
     m = {c: F.col(f"m.{c}") for c in matrix.columns}
     q = {c: F.col(f"q.{c}") for c in queries.columns}
     asked = (
@@ -401,8 +402,8 @@ def _salted(cells, mean: float):
             many = salts[_cells(token)]
             salt = (W.mixed(doc.view(np.uint64)) % many.astype(np.uint64)).astype(np.int64) + (many > 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("n"), batch.column("token"), pa.array(salt, pa.int32())],
-                ["doc", "n", "token", "salt"],
+                [*(batch.column(c) for c in ("doc", "n", "rest", "token")), pa.array(salt, pa.int32())],
+                ["doc", "n", "rest", "token", "salt"],
             )
 
     return run
