@@ -1,9 +1,9 @@
 """Quality rules: fixed counts, and a calibrated classifier for the rest.
 
 The classifier is a logistic regression on hashed word and character n-grams,
-fitted on labelled quality rows: of each label the ``sample`` rows whose ids
-hash lowest (all, if there are fewer). The labels are sampled before they meet
-the texts, so the join has a side of at most ``2 * sample`` small rows. A fifth
+fitted on labelled quality rows: of each label about ``sample`` rows, chosen by
+the hash of their ids (all, if there are fewer). The labels are sampled before
+they meet the texts, so the join has a side of about ``2 * sample`` small rows. A fifth
 of the sample is kept out of the fit and calibrates the probability. All
 documents are scored in Arrow batches. A document is kept unless a base rule
 fails or its probability of good quality is below ``KEEP_AT``.
@@ -32,11 +32,22 @@ KEEP_AT = 0.3
 LEAST_WORDS, MOST_REPEATED = 10, 20
 
 
+_SPAN = 1 << 30
+
+
+def by_hash(rows: DataFrame, count: int, sample: int) -> DataFrame:
+    """About ``sample`` of ``count`` rows, chosen by the hash of their doc_id; all
+    of them if there are no more. Every task decides for itself."""
+    if count <= sample:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(_SPAN)) < int(_SPAN * (sample / count)))
+
+
 def sampled_labels(labels: DataFrame, label: str, sample: int) -> DataFrame:
-    """``sample`` rows of each label at most: doc_id, label."""
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("doc_id IS NOT NULL")
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    parts = [known.filter(F.col("label") == v).orderBy(*order).limit(sample) for v in (0, 1)]
+    """About ``sample`` rows of each label at most: doc_id, label."""
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter("doc_id IS NOT NULL").distinct()
+    sizes = known.select([F.count_if(F.col("label") == v) for v in (0, 1)]).first()
+    parts = [by_hash(known.filter(F.col("label") == v), sizes[v], sample) for v in (0, 1)]
     return parts[0].unionByName(parts[1])
 
 

@@ -14,7 +14,7 @@ more that come much more often in rows of label 1, after many different words
 weight is the logarithm of how much more often. Of stems that begin with each
 other the shorter stays unless the longer weighs clearly more. Threats, targets,
 negations and words of reporting are fixed lists. At most ``sample`` rows of each
-label are used, those whose ids hash lowest, and none whose crc32(doc_id as
+label are used, chosen by the hash of their ids, and none whose crc32(doc_id as
 text) mod 4 is 2.
 
 Defined cases: NULL is an empty text, which matches nothing and gets the score
@@ -44,7 +44,6 @@ STEM_BYTES = range(3, 11)
 #: A stem must be so many times as frequent in toxic rows, with a likelihood
 #: ratio statistic of so much, and add so much to the weight of a shorter one.
 LEAST_RATIO, LEAST_PROOF, LEAST_GAIN = 8.0, 40.0, 2.0
-MOST_CANDIDATES = 20_000
 
 THREATS = "kill murder destroy strangle stab shoot beat töten umbringen schlagen tuer tuerai frapper matar mataré golpear"
 TARGETS = "you your yours youre u they them he she him her du dich dir euch ihr tu toi vous te ti usted ustedes vosotros"
@@ -243,17 +242,23 @@ def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tu
     ship_code(spark)
     usable = labels.filter(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2)
     chosen = F.broadcast(sampled_labels(usable, "toxic", sample))
-    rows = Work(spark, "toxicity").keep(documents.select("doc_id", "text").join(chosen, "doc_id"), "rows")
+    work = Work(spark, "toxicity")
+    rows = work.keep(documents.select("doc_id", "text").join(chosen, "doc_id"), "rows")
 
     counted = rows.mapInArrow(_stem_counts, "stem binary, clean long, toxic long")
-    summed = counted.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    often = F.col("toxic") * sizes.get(0, 0) >= LEAST_RATIO / 2 * F.col("clean") * sizes.get(1, 0)
-    best = summed.filter((F.length("stem") == 0) | ((F.col("toxic") >= 3) & often)).orderBy(
-        F.length("stem") > 0, F.desc("toxic"), "stem"
+    summed = work.keep(
+        counted.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "stems"
     )
-    top = {bytes(r["stem"]): (r["clean"], r["toxic"]) for r in best.limit(MOST_CANDIDATES + 1).collect()}
-    clean_words, toxic_words = top.pop(b"", (0, 0))
+    words = summed.filter(F.length("stem") == 0).first()
+    clean_words, toxic_words = (words["clean"], words["toxic"]) if words else (0, 0)
+    # Contexts are no more than occurrences, so what fails here fails later.
+    c, t = F.col("clean"), F.col("toxic")
+    share = toxic_words / max(toxic_words + clean_words, 1)
+    ratio = (t + 0.5) / (toxic_words + 1) / ((c + 0.5) / (clean_words + 1))
+    shown = 2 * (t * F.log(t / ((t + c) * share)) + F.when(c > 0, c * F.log(c / ((t + c) * (1 - share)))).otherwise(0))
+    likely = (F.length("stem") > 0) & (t > 0) & (ratio >= LEAST_RATIO)
+    best = summed.filter(likely).filter(shown >= LEAST_PROOF).collect() if toxic_words and clean_words else []
+    top = {bytes(r["stem"]): (r["clean"], r["toxic"]) for r in best}
     shared = spark.sparkContext.broadcast(set(top))
     contexts = (
         rows.filter("label = 1")

@@ -6,7 +6,7 @@ rows, which is a fixed bound. Expectation-maximisation on the counted patterns
 estimates for each labeller how often it votes what, given the true class, and
 the posterior of each pattern. The posteriors are the targets of a linear
 scorer on hashed word and character n-grams, fitted on documents chosen by the
-hash of their id: the ``sample`` lowest of those that lean to each class. All
+hash of their id: about ``sample`` of those that lean to each class. All
 documents are scored by that scorer in Arrow batches; rejected are those whose
 calibrated probability of good quality is below ``KEEP_AT``.
 
@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import hashed
 from ledgerloom.llm import words as W
-from ledgerloom.llm.quality_rules import collected
+from ledgerloom.llm.quality_rules import by_hash, collected
 from ledgerloom.llm.textstats import stats
 from ledgerloom.llm.work import ship_code
 
 SAMPLE = 1_500
-KEEP_AT = 0.3
+KEEP_AT = 0.1
 ROUNDS = 100
 
 LABELLERS = ("symbols", "repetition", "shouting", "separators", "short words", "length", "sentences")
@@ -146,7 +146,6 @@ def learned(documents: DataFrame, sample: int = SAMPLE) -> tuple[tuple, Accuraci
     ship_code(documents.sparkSession)
     docs = documents.select("doc_id", "text")
     voted = docs.mapInArrow(_vote_rows, "doc_id long, votes long")
-    order = [F.xxhash64("doc_id"), "doc_id"]
     patterns = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").toPandas()
     codes, counts = patterns["votes"].to_numpy(np.int64), patterns["n"].to_numpy(np.float64)
     accuracies = learn_accuracies(codes, counts)
@@ -155,7 +154,8 @@ def learned(documents: DataFrame, sample: int = SAMPLE) -> tuple[tuple, Accuraci
     judged = voted.filter("doc_id IS NOT NULL").select("doc_id", target[F.col("votes")].alias("label")) if len(codes) else (
         voted.select("doc_id", F.lit(0.5).alias("label"))
     )
-    parts = [judged.filter(side).orderBy(*order).limit(sample) for side in (F.col("label") < 0.5, F.col("label") >= 0.5)]
+    sides = ((F.col("label") < 0.5, post < 0.5), (F.col("label") >= 0.5, post >= 0.5))
+    parts = [by_hash(judged.filter(side), int(counts[which].sum()), sample) for side, which in sides]
     chosen = F.broadcast(parts[0].unionByName(parts[1]).groupBy("doc_id").agg(F.avg("label").alias("label")))
     rows, wanted = collected(docs.join(chosen, "doc_id").select("doc_id", "text", "label"))
     held = np.arange(len(rows)) % 5 == 4
