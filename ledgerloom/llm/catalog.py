@@ -10,6 +10,7 @@ from ledgerloom.llm.bpe import op10_bpe
 from ledgerloom.llm.decontaminate import op5_decontaminate
 from ledgerloom.llm.quality_rules import op9_quality_rules
 from ledgerloom.llm.similar import op3_similar
+from ledgerloom.llm.suffix_dedup import op1_suffix_dedup
 from ledgerloom.llm.toxicity import op6_toxicity
 from ledgerloom.llm.weak_quality import op7_quality_classifier
 
@@ -24,6 +25,7 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": _over(op1_suffix_dedup, "documents"),
     "op3_ngram_jaccard": _over(op3_similar, "documents"),
     "op5_decontaminate": _over(op5_decontaminate, "documents", "benchmark"),
     "op6_toxicity": _over(op6_toxicity, "documents", "labels"),
