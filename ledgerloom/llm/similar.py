@@ -12,10 +12,11 @@ the least document reachable over links.
 3. Documents are partitioned into groups by the least document that shares a
    token with them, and linked to it where they are similar. Most copies are
    then in one component, and are never compared with each other.
-4. What is left are tokens that join documents of different components. There
-   the members of a component form groups of about ``GROUP`` documents; the
-   matrix says for each token which groups hold it in a member's first tokens.
-   A query asks the groups of larger components that its first tokens name, if
+4. What is left are tokens that join documents of different components. Large
+   components are cut into groups of about ``GROUP`` documents, and small ones
+   form groups with others that had the same least document in step 3. The matrix
+   says for each token which groups hold it in a member's first tokens.
+   A query asks the groups with larger components that its first tokens name, if
    what follows the token in both is enough for the overlap. The
    overlap with the union of a group's tokens bounds the overlap with every
    member; only groups that reach the needed overlap are opened and compared
@@ -218,28 +219,33 @@ class Group:
         self.members: list[tuple[int, np.ndarray]] = []
         self.union: np.ndarray | None = None
 
-    def linked(self, own: np.ndarray, percent: int) -> int | None:
-        """A member that is linked with the set, if the group has to be opened."""
+    def linked(self, doc: int, own: np.ndarray, percent: int, every: bool) -> list[int]:
+        """Members linked with the set (the first, or ``every``), if the group has
+        to be opened."""
         if self.union is None:
             self.union = np.unique(np.concatenate([s for _, s in self.members])) if self.members else own[:0]
         n = len(own)
+        found: list[int] = []
         if common(own, self.union) < needed(n, percent):
-            return None
+            return found
         for member, theirs in self.members:
             small, large = sorted((n, len(theirs)))
-            if small < needed(large, percent):
+            if member == doc or small < needed(large, percent):
                 continue
             both = common(own, theirs)
             if 100 * both >= percent * (n + len(theirs) - both):
-                return member
-        return None
+                found.append(member)
+                if not every:
+                    break
+        return found
 
 
 def _open_groups(size: int, percent: int):
-    """Rows sorted by (grp, salt, role): members, then queries; yields links."""
+    """Rows sorted by (grp, salt, role): members (-1 in a group of several
+    components, else 0), then queries (1); yields links."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        at, group = None, Group()
+        at, group, several = None, Group(), False
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             a, b = [], []
@@ -247,10 +253,11 @@ def _open_groups(size: int, percent: int):
             columns = [batch.column(c).to_pylist() for c in ("grp", "salt", "role", "doc")]
             for grp, salt, role, doc, own in zip(*columns, sets, strict=True):
                 if at != (grp, salt):
-                    at, group = (grp, salt), Group()
-                if role == 0:
+                    at, group, several = (grp, salt), Group(), role < 0
+                if role < 1:
                     group.members.append((doc, own))
-                elif (member := group.linked(own, percent)) is not None:
+                    continue
+                for member in group.linked(doc, own, percent, several):
                     a.append(doc), b.append(member)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -260,14 +267,14 @@ def _open_groups(size: int, percent: int):
 def _links(
     work: Work, asked: DataFrame, members: DataFrame, texts: DataFrame, size: int, percent: int
 ) -> DataFrame:
-    """Links that queries ``asked`` (grp, doc) have in groups ``members`` (grp, doc)."""
+    """Links that queries ``asked`` (grp, doc) have in groups ``members`` (grp, doc, role)."""
     load = asked.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / TASK_ROWS).cast("int").alias("salts"))
     load = work.keep(load, "load")
     queries = spread_join(asked, load, ["grp"], "inner").select(
         "grp", F.pmod(F.xxhash64("doc"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"), "doc"
     )
     copies = members.join(load, "grp").select(
-        "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), "doc"
+        "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "role", "doc"
     )
     rows = spread_join(queries.unionByName(copies), texts, ["doc"], "inner")
     parts = shuffle_partitions(work.spark)
@@ -327,11 +334,12 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     salted = met.filter("salt > 0").select("token", "lead").distinct()
     leads = salted.groupBy("token").agg(F.min("lead").alias("grp"))
     across = spread_join(salted, leads, ["token"], "inner").filter("lead <> grp").select(F.col("lead").alias("doc"), "grp")
+    best = work.keep(best, "best")
     asked = work.keep(best.select("doc", "grp").unionByName(across).distinct(), "asked")
     wanted = met.select("doc").distinct()
     packed = docs.filter("doc_id IS NOT NULL").mapInArrow(_packed, "doc long, packed binary")
     texts = work.keep(packed.join(wanted, "doc", "left_semi"), "texts")
-    alone = asked.select("grp").distinct().select("grp", F.col("grp").alias("doc"))
+    alone = asked.select("grp").distinct().select("grp", F.col("grp").alias("doc"), F.lit(0).alias("role"))
     links = work.keep(_links(work, asked, alone, texts, size, percent), "links")
     roots = work.keep(components(work, links), "roots")
 
@@ -346,10 +354,27 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     )
     mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     between = spread_join(placed, mixed.select("token"), ["token"], "left_semi")
-    chunk = F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / GROUP))
-    between = work.keep(between.withColumn("grp", F.xxhash64("root", chunk)), "between")
-    matrix = between.groupBy("token", "grp", "root", "members").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest")
+    between = work.keep(between, "between")
+    # Large components are cut into groups; small ones join those with their lead.
+    found = between.select("doc", "root", "members").distinct()
+    led = spread_join(found, best.select("doc", F.col("grp").alias("led")), ["doc"], "left")
+    small = F.col("members") < GROUP
+    led = led.withColumn("kind", F.when(small, F.coalesce("led", "root")).otherwise(F.col("root")))
+    led = work.keep(led.select("doc", "root", "members", small.alias("small"), "kind"), "led")
+    chunks = led.groupBy("small", "kind").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("doc"), F.col("chunks"))
+    groups = work.keep(
+        spread_join(led, chunks, ["small", "kind"], "inner").select(
+            "doc", F.xxhash64("small", "kind", chunk).alias("grp"), F.when(F.col("small"), -1).otherwise(0).alias("role")
+        ),
+        "groups",
+    )
+    placed = spread_join(between, groups.select("doc", "grp"), ["doc"], "inner")
+    matrix = placed.groupBy("token", "grp").agg(
+        F.max(F.struct("members", "root")).alias("top"),
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.max("rest").alias("rest"),
     )
     queries = between.select("token", "doc", "n", "rest", "root", "members")
     m = {c: F.col(f"m.{c}") for c in matrix.columns}
@@ -359,7 +384,7 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
         .join(
             matrix.alias("m"),
             (q["token"] == m["token"])
-            & (F.struct(q["members"], q["root"]) < F.struct(m["members"], m["root"]))
+            & (F.struct(q["members"], q["root"]) < m["top"])
             & (100 * m["most"] >= percent * q["n"])
             & (percent * m["least"] <= 100 * q["n"]),
         )
@@ -367,8 +392,7 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
         .distinct()
     )
     asked = work.keep(asked, "asked")
-    members = between.select("grp", "doc").distinct()
-    more = work.keep(_links(work, asked, members, texts, size, percent), "links")
+    more = work.keep(_links(work, asked, groups, texts, size, percent), "links")
     if not more.isEmpty():
         links = links.unionByName(more)
         roots = work.keep(components(work, links), "roots")
