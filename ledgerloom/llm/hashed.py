@@ -75,16 +75,16 @@ class Rows:
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
         self.sizes = np.array([len(a) for a, _ in rows], np.int64)
-        self.row = np.repeat(np.arange(len(rows)), self.sizes)
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), self.sizes)
         self.at = np.concatenate([a for a, _ in rows]) if rows else np.zeros(0, np.int32)
         self.value = np.concatenate([v for _, v in rows]) if rows else np.zeros(0, np.float32)
         self.n = len(rows)
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * weights[self.at], self.n)
+        return np.bincount(self.row, self.value * weights.astype(np.float32)[self.at], self.n)
 
     def back(self, errors: np.ndarray) -> np.ndarray:
-        return np.bincount(self.at, self.value * errors[self.row], KINDS * BUCKETS)
+        return np.bincount(self.at, self.value * errors.astype(np.float32)[self.row], KINDS * BUCKETS)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

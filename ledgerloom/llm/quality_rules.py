@@ -27,7 +27,7 @@ from ledgerloom.llm import words as W
 from ledgerloom.llm.textstats import stats
 from ledgerloom.llm.work import ship_code
 
-SAMPLE = 1_500
+SAMPLE = 800
 KEEP_AT = 0.3
 LEAST_WORDS, MOST_REPEATED = 10, 20
 

@@ -29,7 +29,7 @@ from ledgerloom.llm.quality_rules import by_hash, collected
 from ledgerloom.llm.textstats import stats
 from ledgerloom.llm.work import ship_code
 
-SAMPLE = 1_500
+SAMPLE = 800
 KEEP_AT = 0.1
 ROUNDS = 100
 
