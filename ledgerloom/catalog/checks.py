@@ -148,7 +148,18 @@ def audit_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_states(log)
 
 
+def dup_rows_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows in key order, as a person would read them."""
+    return versions.in_key_order(dup_rows(spark, sf_dir), S.PRODUCT.key)
+
+
+def product_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.names_by_key(I.product_file(spark, sf_dir), ["product_rk"], "product_name")
+
+
 QUERIES = {
+    "dup_rows_listed": dup_rows_listed,
+    "product_names": product_names,
     "dedupe_latest": dedupe_latest,
     "dup_keys": dup_keys,
     "distinct_keys": distinct_keys,
@@ -174,17 +185,26 @@ _BOTH = ("product_table", "product_file")
 
 
 def _gap_sql(source: str) -> str:
+    """Days in order as a list per account, and each day with its successor."""
     return I.with_inputs(
-        f"""SELECT account_rk, effective_date, next_date,
-      CAST(next_date - effective_date AS INTEGER) AS date_diff
-    FROM (SELECT account_rk, effective_date, lead(effective_date) OVER (
-            PARTITION BY account_rk ORDER BY effective_date NULLS LAST) AS next_date
-          FROM {source})
-    WHERE next_date - 1 <> effective_date""",
+        f"""SELECT account_rk, days[i] AS effective_date, days[i + 1] AS next_date,
+      CAST(days[i + 1] - days[i] AS INTEGER) AS date_diff
+    FROM (SELECT account_rk, days, unnest(range(1, len(days))) AS i FROM (
+      SELECT account_rk, list(effective_date ORDER BY effective_date)
+        FILTER (effective_date IS NOT NULL) AS days FROM {source} GROUP BY account_rk))
+    WHERE days[i + 1] <> days[i] + 1""",
         source,
     )
 
 
+_DUP_ROWS_SQL = I.with_inputs(
+    """SELECT * EXCLUDE (copies) FROM (SELECT *, count(*) OVER (
+      PARTITION BY product_rk, effective_from_date) AS copies FROM product_file
+      WHERE product_rk IS NOT NULL AND effective_from_date IS NOT NULL)
+    WHERE copies > 1""",
+    "product_file",
+)
+
 _HOLIDAY_COLUMNS = S.LOAN_HOLIDAY.columns
 
 ORACLE = {
@@ -206,11 +226,11 @@ ORACLE = {
     GROUP BY client_rk, effective_from_date""",
         "client",
     ),
-    "dup_rows": I.with_inputs(
-        """SELECT p.* FROM product_file p JOIN (
-      SELECT product_rk, effective_from_date FROM product_file
-      GROUP BY product_rk, effective_from_date HAVING count(*) > 1) d
-    USING (product_rk, effective_from_date)""",
+    "dup_rows": _DUP_ROWS_SQL,
+    "dup_rows_listed": _DUP_ROWS_SQL,
+    "product_names": I.with_inputs(
+        """SELECT product_rk, COALESCE(string_agg(product_name, '; ' ORDER BY product_name), '') AS names
+    FROM (SELECT DISTINCT product_rk, product_name FROM product_file) GROUP BY product_rk""",
         "product_file",
     ),
     "version_profile": I.with_inputs(

@@ -50,24 +50,24 @@ class Load:
             self.stage_text(spark, sf_dir), self.spec, self.date_pattern, self.wanted
         )
 
-    def merged(
-        self, spark: SparkSession, sf_dir: str, stage_rows: int | None = None
-    ) -> DataFrame:
-        return U.merge_rows(
+    def _by(self, way: Callable[..., DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+        return way(
             self.target(spark, sf_dir),
             self.stage(spark, sf_dir),
             self.spec.key,
             self.attributes,
             self.valid() if self.valid else None,
-            stage_rows,
         )
 
+    def merged(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        return self._by(U.merge_rows, spark, sf_dir)
+
     def snapshot(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return U.snapshot(self.merged(spark, sf_dir))
 
     def probed(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        """The snapshot by the way chosen for a stage counted as small."""
-        return U.snapshot(self.merged(spark, sf_dir, stage_rows=0))
+        """The snapshot by the form that leaves the target where it is."""
+        return U.snapshot(self._by(U.merge_rows_by_probing, spark, sf_dir))
 
     def counters(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         return U.load_counters(
@@ -75,13 +75,7 @@ class Load:
         )
 
     def rejects(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        valid = self.valid() if self.valid else None
-        doubtful = U.contested_rows(
-            self.stage(spark, sf_dir), self.spec.key, self.attributes, valid
-        )
-        return U.rejected_rows(
-            self.snapshot(spark, sf_dir), doubtful, self.spec.key, self.attributes, valid
-        )
+        return self._by(U.rejects_of_load, spark, sf_dir)
 
 
 # --- opening balances ------------------------------------------------------
@@ -209,7 +203,9 @@ def rate_stage_text(spark: SparkSession, sf_dir: str) -> DataFrame:
              ELSE CAST(date_add(CAST(o_orderdate AS DATE), 6) AS STRING) END
              AS data_actual_end_date""",
         "CAST(o_custkey AS STRING) AS currency_rk",
-        "concat('1.', lpad(CAST(o_orderkey AS STRING), 8, '0')) AS reduced_cource",
+        # From 1 to 2 in steps of 1e-8; orders 10^8 apart share a rate.
+        """CAST(CAST(1 + CAST(o_orderkey % 100000000 AS DECIMAL(9,0)) / 100000000
+             AS DECIMAL(12,8)) AS STRING) AS reduced_cource""",
         "substring(o_orderpriority, 1, 5) AS code_iso_num",
     )
 
@@ -279,35 +275,47 @@ LEDGER = Load(
 # --- keyless tables --------------------------------------------------------
 
 
-def posting_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posting_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as postings; partial ones lack an amount, final ones repeat."""
 
     def rows(df: DataFrame) -> DataFrame:
-        return typed(
-            df.selectExpr(
-                "CAST(CAST(o_orderdate AS DATE) AS STRING) AS oper_date",
-                "CAST(o_custkey AS STRING) AS credit_account_rk",
-                "CAST(o_orderkey div 10 AS STRING) AS debet_account_rk",
-                """CASE WHEN o_orderstatus = 'P' THEN NULL
-                     ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END
-                     AS credit_amount""",
-                "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS debet_amount",
-            ),
-            S.POSTING,
-            ISO_DATE,
+        return df.selectExpr(
+            "CAST(CAST(o_orderdate AS DATE) AS STRING) AS oper_date",
+            "CAST(o_custkey AS STRING) AS credit_account_rk",
+            "CAST(o_orderkey div 10 AS STRING) AS debet_account_rk",
+            """CASE WHEN o_orderstatus = 'P' THEN NULL
+                 ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END
+                 AS credit_amount""",
+            "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS debet_amount",
         )
 
     orders = I.table(spark, sf_dir, "orders")
     return rows(orders).unionByName(rows(orders.filter("o_orderstatus = 'F'")))
 
 
+def posting_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return typed(posting_text(spark, sf_dir), S.POSTING, ISO_DATE)
+
+
 def load_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.replace_with_distinct(posting_stage(spark, sf_dir))
 
 
 def posting_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stage = posting_stage(spark, sf_dir)
-    return U.unmatched_rows(stage, U.replace_with_distinct(stage))
+    """Against a table loaded before the postings of final orders existed."""
+    stored = I.table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'")
+    held = typed(
+        stored.selectExpr(
+            "CAST(CAST(o_orderdate AS DATE) AS STRING) AS oper_date",
+            "CAST(o_custkey AS STRING) AS credit_account_rk",
+            "CAST(o_orderkey div 10 AS STRING) AS debet_account_rk",
+            "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS credit_amount",
+            "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) AS debet_amount",
+        ),
+        S.POSTING,
+        ISO_DATE,
+    )
+    return U.unmatched_rows(posting_stage(spark, sf_dir), held)
 
 
 def replace_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,9 +350,7 @@ def posting_reject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fresh_warehouse(spark: SparkSession, name: str) -> tuple[Warehouse, str]:
-    import uuid
-
-    root = shared_folder(spark, f"{name}_{uuid.uuid4().hex}")
+    root = shared_folder(spark, name)
     store = TableStore(spark, f"{root}/tables")
     return Warehouse(store, AuditLog(store)), root
 
@@ -375,6 +381,56 @@ def file_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def month_of_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same postings, each on that day of one month."""
+    return posting_text(spark, sf_dir).withColumn(
+        "oper_date", F.concat(F.lit("1995-01-"), F.right("oper_date", F.lit(2)))
+    )
+
+
+def _day_of_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """The six files of a day, as folders of parts."""
+    texts = {
+        S.BALANCE: balance_stage_text,
+        S.POSTING: month_of_postings,
+        S.ACCOUNT: account_stage_text,
+        S.CURRENCY: currency_stage_text,
+        S.EXCHANGE_RATE: rate_stage_text,
+        S.LEDGER_ACCOUNT: ledger_stage_text,
+    }
+    for spec, text in texts.items():
+        write_delimited(text(spark, sf_dir), f"{root}/in/{spec.name}.csv")
+    return f"{root}/in"
+
+
+_COUNTED = ("input", "inserted", "updated", "skipped")
+
+
+def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six files into empty detail tables; the audit log of the day."""
+    house, root = _fresh_warehouse(spark, "daily_load")
+    house.load_detail(_day_of_files(spark, sf_dir, root), ISO_DATE)
+    return house.audit.latest().select(
+        "table_name", "status", *[F.col(f"{c}_rows").alias(f"{c}_count") for c in _COUNTED]
+    )
+
+
+def import_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files for one import, one of them without a needed column."""
+    house, root = _fresh_warehouse(spark, "import_audit")
+    rates = RATES.stage(spark, sf_dir)
+    write_delimited(rates, f"{root}/good.csv")
+    write_delimited(rates.drop("currency_rk"), f"{root}/bad.csv")
+    try:
+        house.import_many({f"{root}/bad.csv": S.CURRENCY, f"{root}/good.csv": S.EXCHANGE_RATE})
+    except ExceptionGroup as problems:
+        if len(problems.exceptions) != 1:
+            raise
+    return house.audit.latest().select(
+        "process", "table_name", "status", F.col("inserted_rows").alias("inserted_count")
+    )
+
+
 def dropped_files_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same load as a stream over a folder of dropped files."""
     house, root = _fresh_warehouse(spark, "file_drop")
@@ -411,6 +467,8 @@ QUERIES = {
     "file_load": file_load,
     "file_load_audit": file_load_audit,
     "dropped_files_load": dropped_files_load,
+    "daily_load": daily_load,
+    "import_audit": import_audit,
 }
 
 # --- independent SQL -------------------------------------------------------
@@ -455,7 +513,7 @@ STAGE_SQL = {
       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) + 6 END
         AS data_actual_end_date,
       o_custkey AS currency_rk,
-      CAST('1.' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS DECIMAL(12,8))
+      CAST((100000000 + o_orderkey % 100000000) * CAST(0.00000001 AS DECIMAL(9,8)) AS DECIMAL(12,8))
         AS reduced_cource,
       left(o_orderpriority, 3) AS code_iso_num
     FROM orders""",
@@ -607,6 +665,30 @@ def _ledger_sql() -> str:
 
 _DEAL_COLUMNS = ", ".join(S.DEAL.columns)
 
+
+def _day_sql() -> str:
+    """Into an empty table goes one row per key that some acceptable row has."""
+    keyed = {
+        "ft_balance_f": ("balance", BALANCES, "TRUE"),
+        "md_account_d": ("account", ACCOUNTS, "TRUE"),
+        "md_currency_d": ("currency", CURRENCIES, _CURRENCY_OK),
+        "md_exchange_rate_d": ("rate", RATES, "TRUE"),
+        "md_ledger_account_s": ("ledger", LEDGER, "TRUE"),
+    }
+    parts = [
+        f"""SELECT '{table}' AS table_name, count(*) AS input_count,
+      count(DISTINCT ({', '.join(load.spec.key)})) FILTER ({ok}) AS inserted_count
+    FROM ({STAGE_SQL[name]})"""
+        for table, (name, load, ok) in keyed.items()
+    ]
+    parts.append(
+        f"""SELECT 'ft_posting_f', count(*), count(DISTINCT s) FROM (SELECT * REPLACE (
+        make_date(1995, 1, day(oper_date)) AS oper_date) FROM ({_POSTINGS['stage']})) s"""
+    )
+    return f"""SELECT table_name, 'SUCCESS' AS status, input_count, inserted_count,
+      CAST(0 AS BIGINT) AS updated_count, input_count - inserted_count AS skipped_count
+    FROM ({' UNION ALL '.join(parts)})"""
+
 ORACLE = {
     "upsert_snapshot": _snapshot_sql("balance", BALANCES),
     "upsert_snapshot_probed": _snapshot_sql("balance", BALANCES),
@@ -623,7 +705,10 @@ ORACLE = {
     "load_ledger_accounts": _ledger_sql(),
     "load_ledger_accounts_counters": _counters_sql("ledger", LEDGER),
     "load_postings": I.with_inputs("SELECT * FROM stored", more=_POSTINGS),
-    "posting_unmatched": I.with_inputs("SELECT * FROM unmatched", more=_POSTINGS),
+    "posting_unmatched": f"""WITH stage AS ({_POSTINGS['stage']})
+    SELECT * FROM stage s WHERE credit_amount IS NULL OR NOT EXISTS (
+      SELECT 1 FROM ({_POSTING_ROW} WHERE o_orderstatus = 'O') d
+      WHERE d = s)""",
     "posting_reject_lines": I.with_inputs(
         """SELECT 'Несоответствие данных - oper_date: ' || CAST(oper_date AS VARCHAR)
       || ', credit_account_rk: ' || CAST(credit_account_rk AS VARCHAR)
@@ -645,9 +730,9 @@ ORACLE = {
         f"SELECT {_LINE} AS line FROM rejected", more=_reject_ctes("balance", BALANCES)
     ),
     "reject_message": I.with_inputs(
-        """SELECT (SELECT count(*) FROM rejected) AS rejected_rows,
-      string_agg(line, '; ' ORDER BY line) AS message
-    FROM (SELECT line FROM lines ORDER BY line LIMIT 20)""",
+        """SELECT count(*) AS rejected_rows,
+      CASE WHEN count(DISTINCT line) > 1 THEN count(*) || ': ' || min(line) || ' .. ' || max(line)
+        ELSE count(*) || ': ' || min(line) END AS message FROM lines""",
         more=_reject_ctes("balance", BALANCES)
         | {"lines": f"SELECT {_LINE} AS line FROM rejected"},
     ),
@@ -658,4 +743,8 @@ ORACLE = {
         more=_load_ctes("balance", BALANCES),
     ),
     "dropped_files_load": _snapshot_sql("balance", BALANCES),
+    "daily_load": _day_sql(),
+    "import_audit": """SELECT 'Import_from_CSV' AS process, 'md_currency_d' AS table_name,
+      'FAILED' AS status, CAST(0 AS BIGINT) AS inserted_count
+    UNION ALL SELECT 'Import_from_CSV', 'md_exchange_rate_d', 'SUCCESS', count(*) FROM orders""",
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +20,7 @@ from ledgerloom.plans.ledger_report import ledger_report
 from ledgerloom.plans.loan_holiday import loan_holiday_info
 from ledgerloom.plans.turnover import account_turnover
 from ledgerloom.sources.csv_files import Delimited, read_delimited, write_delimited
-from ledgerloom.sources.tables import TableStore, shared_folder, written
+from ledgerloom.sources.tables import TableStore, shared_folder
 
 
 def _turnover(spark, sf_dir, first, last=None, real_dates=False) -> DataFrame:
@@ -75,8 +73,8 @@ def balance_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf_dir: str, complete: bool) -> DataFrame:
-    # Turnover is needed for the balances and for the report: computed once.
-    turnover = written(turnover_month(spark, sf_dir), "turnover")
+    # Needed for the balances and for the report: both read one exchange.
+    turnover = turnover_month(spark, sf_dir)
     seed = balance_seed(spark, sf_dir)
     accounts = I.accounts(spark, sf_dir)
     closing = balance_for_period(
@@ -104,7 +102,7 @@ def ledger_report_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report written as a delimited file with NULL texts and read back."""
     path = shared_folder(spark, "report_csv")
-    write_delimited(ledger_report_month(spark, sf_dir), path, single_file=True)
+    write_delimited(ledger_report_month(spark, sf_dir), path)
     return typed(
         read_delimited(spark, path, S.LEDGER_REPORT.columns), S.LEDGER_REPORT
     )
@@ -126,13 +124,13 @@ def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file in a single-byte encoding is recognised and decoded."""
+    """A file in a single-byte Cyrillic code page is recognised and decoded."""
     part = I.table(spark, sf_dir, "part").selectExpr(
-        "CAST(p_partkey AS STRING) AS product_rk", "concat('Café ', p_name) AS product_name"
+        "CAST(p_partkey AS STRING) AS product_rk", "concat('Счёт ', p_name) AS product_name"
     )
-    style = Delimited(encodings=("UTF-8", "ISO-8859-1"))
+    style = Delimited()
     path = shared_folder(spark, "encoded_csv")
-    write_delimited(part, path, style, encoding="ISO-8859-1")
+    write_delimited(part, path, style, encoding="windows-1251")
     return read_delimited(spark, path, part.columns, style).select(
         F.col("product_rk").cast("bigint").alias("product_rk"), "product_name"
     )
@@ -140,7 +138,7 @@ def csv_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_ledger_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report by way of the jobs: every layer written, read and audited."""
-    root = shared_folder(spark, f"month_{uuid.uuid4().hex}")
+    root = shared_folder(spark, "month")
     house = Warehouse(TableStore(spark, root))
     store = house.store
     store.rewrite(S.POSTING, I.postings(spark, sf_dir))
@@ -158,6 +156,13 @@ def stored_ledger_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read(S.LEDGER_REPORT)
 
 
+def mart_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One account's row of one day of the stored balance mart."""
+    store = TableStore(spark, shared_folder(spark, "lookup"))
+    store.replace_dates(S.DAILY_BALANCE, balance_seed(spark, sf_dir), [I.SEED_DAY])
+    return store.look_up(S.DAILY_BALANCE, on_date=I.SEED_DAY, account_rk=1)
+
+
 def holiday_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loan_holiday_info(
         I.deals(spark, sf_dir), I.holidays(spark, sf_dir), I.products(spark, sf_dir)
@@ -197,6 +202,7 @@ QUERIES = {
     "csv_text_roundtrip": csv_text_roundtrip,
     "csv_encoding": csv_encoding,
     "stored_ledger_report": stored_ledger_report,
+    "mart_lookup": mart_lookup,
     "holiday_mart": holiday_mart,
     "correct_in": correct_in,
     "correct_out": correct_out,
@@ -209,30 +215,37 @@ QUERIES = {
 _A = "CAST({0} AS DECIMAL(23,8))"
 
 
+# A rate for each currency and day it holds on; several if periods overlap.
+_PRICE = """SELECT currency_rk, reduced_cource AS price,
+      CAST(unnest(generate_series(data_actual_date, data_actual_end_date, INTERVAL 1 DAY)) AS DATE) AS day
+    FROM rate"""
+
+
 def _turnover_sql(posting: str, first, last) -> str:
-    period = f"oper_date BETWEEN DATE '{first}' AND DATE '{last}'"
-    rate = "COALESCE(r.reduced_cource, CAST(1 AS DECIMAL(12,8)))"
-    return f"""SELECT o.oper_date AS on_date, o.account_rk,
-      {_A.format('SUM(o.credit)')} AS credit_amount,
-      {_A.format(f'SUM(o.credit * {rate})')} AS credit_amount_rub,
-      {_A.format('SUM(o.debet)')} AS debet_amount,
-      {_A.format(f'SUM(o.debet * {rate})')} AS debet_amount_rub
-    FROM (SELECT oper_date, credit_account_rk AS account_rk, credit_amount AS credit,
-            CAST(0 AS DECIMAL(23,8)) AS debet FROM {posting} WHERE {period}
-          UNION ALL
-          SELECT oper_date, debet_account_rk, CAST(0 AS DECIMAL(23,8)), debet_amount
-          FROM {posting} WHERE {period}) o
-    LEFT JOIN account a ON a.account_rk = o.account_rk
-    LEFT JOIN rate r ON r.currency_rk = a.currency_rk
-      AND o.oper_date BETWEEN r.data_actual_date AND r.data_actual_end_date
-    GROUP BY o.oper_date, o.account_rk, r.reduced_cource"""
-
-
-_SEED_SQL = f"""SELECT DATE '{I.SEED_DAY}' AS on_date, b.account_rk, b.balance_out,
-      {_A.format('b.balance_out * COALESCE(r.reduced_cource, CAST(1 AS DECIMAL(12,8)))')}
-        AS balance_out_rub
-    FROM opening b LEFT JOIN rate r ON r.currency_rk = b.currency_rk
-      AND DATE '{I.SEED_DAY}' BETWEEN r.data_actual_date AND r.data_actual_end_date"""
+    """Each side summed by itself; the sides meet per account and day."""
+
+    def side(name: str) -> str:
+        return f"""SELECT oper_date AS day, {name}_account_rk AS account_rk,
+          CAST(sum({name}_amount) AS DECIMAL(20,8)) AS {name}
+        FROM {posting} WHERE oper_date >= DATE '{first}' AND oper_date <= DATE '{last}' GROUP BY ALL"""
+
+    amounts = ", ".join(
+        f"""{_A.format(name)} AS {name}_amount, {_A.format(f'{name} * unit')} AS {name}_amount_rub"""
+        for name in ("credit", "debet")
+    )
+    return f"""SELECT day AS on_date, account_rk, {amounts} FROM (
+      SELECT day, account_rk, COALESCE(credit, CAST(0 AS DECIMAL(20,8))) AS credit,
+        COALESCE(debet, CAST(0 AS DECIMAL(20,8))) AS debet,
+        COALESCE(price, CAST(1 AS DECIMAL(12,8))) AS unit
+      FROM (SELECT * FROM ({side('credit')}) FULL JOIN ({side('debet')}) USING (day, account_rk))
+      LEFT JOIN (SELECT account_rk, currency_rk FROM account) USING (account_rk)
+      LEFT JOIN ({_PRICE}) USING (currency_rk, day))"""
+
+
+_SEED_SQL = f"""SELECT DATE '{I.SEED_DAY}' AS on_date, o.account_rk, o.balance_out,
+      {_A.format('o.balance_out * COALESCE(p.price, CAST(1 AS DECIMAL(12,8)))')} AS balance_out_rub
+    FROM (SELECT * FROM ({_PRICE}) WHERE day = DATE '{I.SEED_DAY}') p
+    RIGHT JOIN opening o USING (currency_rk)"""
 
 
 def _signed_sql(before: str, suffix: str) -> str:
@@ -270,39 +283,39 @@ _LEDGER_INPUTS = ("account", "posting", "rate", "opening")
 
 
 def _report_sql(ledger: str) -> str:
-    sources = {
-        "balance_in": "b1.balance_out_rub",
-        "turn_deb": "t.debet",
-        "turn_cre": "t.credit",
-        "balance_out": "b2.balance_out_rub",
+    """Figures per account as rows of (measure, amount), then a cross table."""
+    figures = {
+        "balance_in": ("balance_out_rub", f"balance WHERE on_date = DATE '{I.SEED_DAY}'"),
+        "balance_out": ("balance_out_rub", f"balance WHERE on_date = DATE '{I.MONTH_END}'"),
+        "turn_deb": ("debet_amount_rub", "turnover"),
+        "turn_cre": ("credit_amount_rub", "turnover"),
     }
-    home = "a.currency_code IN ('810', '643')"
-    away = "a.currency_code NOT IN ('810', '643')"
-    sums = []
-    for name, value in sources.items():
-        sums += [
-            f"{_A.format(f'SUM(CASE WHEN {home} THEN {value} ELSE 0 END)')} AS {name}_rub",
-            f"{_A.format(f'SUM(CASE WHEN {away} THEN {value} ELSE 0 END)')} AS {name}_val",
-            f"{_A.format(f'SUM({value})')} AS {name}_total",
-        ]
+    rows = " UNION ALL ".join(
+        f"SELECT account_rk, '{name}' AS measure, {value} AS amount FROM {source}"
+        for name, (value, source) in figures.items()
+    )
+    cells = []
+    for name in figures:
+        total = f"sum(amount) FILTER (measure = '{name}')"
+        for scope, here, others in (("rub", "home", "abroad"), ("val", "abroad", "home")):
+            part = f"sum(amount) FILTER (measure = '{name}' AND class = '{here}')"
+            # Accounts of the other class count as nothing, which is not NULL.
+            cells.append(
+                f"""{_A.format(f"CASE WHEN bool_or(class = '{others}') THEN COALESCE({part}, 0) ELSE {part} END")}
+        AS {name}_{scope}"""
+            )
+        cells.append(f"{_A.format(total)} AS {name}_total")
     twins = [f"{_A.format('NULL')} AS r_{m}" for m in S.REPORT_MEASURES]
-    body = f"""SELECT DATE '1995-01-01' AS from_date, DATE '1995-01-31' AS to_date,
-      l.chapter AS chapter, substring(a.account_number, 1, 5) AS ledger_account,
-      a.char_type AS characteristic, {', '.join(sums + twins)}
-    FROM account a
-    LEFT JOIN {ledger} l
-      ON CAST(substring(a.account_number, 1, 5) AS INTEGER) = l.ledger_account
-    LEFT JOIN balance b1
-      ON b1.account_rk = a.account_rk AND b1.on_date = DATE '1994-12-31'
-    LEFT JOIN (SELECT account_rk, SUM(debet_amount_rub) AS debet,
-                 SUM(credit_amount_rub) AS credit
-               FROM turnover WHERE on_date BETWEEN DATE '1995-01-01' AND DATE '1995-01-31'
-               GROUP BY account_rk) t ON t.account_rk = a.account_rk
-    LEFT JOIN balance b2
-      ON b2.account_rk = a.account_rk AND b2.on_date = DATE '1995-01-31'
-    WHERE a.data_actual_date <= DATE '1995-01-31'
-      AND (a.data_actual_end_date IS NULL OR a.data_actual_end_date >= DATE '1995-01-01')
-    GROUP BY l.chapter, substring(a.account_number, 1, 5), a.char_type"""
+    body = f"""SELECT DATE '{I.MONTH_START}' AS from_date, DATE '{I.MONTH_END}' AS to_date,
+      (SELECT any_value(c.chapter) FROM {ledger} c WHERE c.ledger_account = CAST(prefix AS INTEGER)) AS chapter,
+      prefix AS ledger_account, kind AS characteristic, {', '.join(cells + twins)}
+    FROM (SELECT account_rk, left(account_number, 5) AS prefix, char_type AS kind,
+            CASE currency_code WHEN '810' THEN 'home' WHEN '643' THEN 'home' ELSE 'abroad' END AS class
+          FROM account
+          WHERE NOT (data_actual_date > DATE '{I.MONTH_END}'
+            OR COALESCE(data_actual_end_date < DATE '{I.MONTH_START}', FALSE)))
+    LEFT JOIN ({rows}) USING (account_rk)
+    GROUP BY prefix, kind"""
     return _recursive(body, *_LEDGER_INPUTS, ledger)
 
 
@@ -311,9 +324,21 @@ def _recursive(body: str, *names: str) -> str:
     return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-_NEIGHBOURS = """FROM daily_sum b JOIN daily_sum n ON n.account_rk = b.account_rk
-      AND b.effective_date = n.effective_date - 1
-    WHERE n.account_in_sum <> b.account_out_sum"""
+# For each day, the sums on the other side of midnight.
+_EVENINGS = """evening AS (SELECT account_rk, effective_date + 1 AS effective_date,
+      list(account_out_sum) AS sums FROM daily_sum GROUP BY ALL)"""
+_MORNINGS = """morning AS (SELECT account_rk, effective_date - 1 AS effective_date,
+      list(account_in_sum) AS sums FROM daily_sum GROUP BY ALL)"""
+
+
+def _mended_sql(columns: str, known: str, others: str, body: str) -> str:
+    """``fixes``: of the sums over midnight, those that are not the known one."""
+    sql = I.with_inputs(body, "daily_sum")
+    fixes = f"""fixed AS (SELECT d.*, list_filter(m.sums, lambda x: x <> d.{known}) AS fixes
+      FROM daily_sum d LEFT JOIN {columns} m USING (account_rk, effective_date))"""
+    head, _, tail = sql.rpartition(body)
+    return f"{head.rstrip()}, {others}, {fixes} {body}{tail}"
+
 
 ORACLE = {
     "turnover_day": I.with_inputs(
@@ -334,7 +359,7 @@ ORACLE = {
     "ledger_report": _report_sql("ledger"),
     "ledger_report_unmapped": _report_sql("ledger_part"),
     "csv_roundtrip": _report_sql("ledger"),
-    "csv_encoding": """SELECT p_partkey AS product_rk, 'Café ' || p_name AS product_name
+    "csv_encoding": """SELECT p_partkey AS product_rk, 'Счёт ' || p_name AS product_name
     FROM part""",
     "stored_ledger_report": _report_sql("ledger"),
     "csv_text_roundtrip": """SELECT p_partkey AS product_rk,
@@ -361,31 +386,35 @@ ORACLE = {
         "holiday",
         "product",
     ),
-    "correct_in": I.with_inputs(
-        f"""SELECT n.account_rk, n.effective_date,
-      b.account_out_sum AS correct_account_in_sum {_NEIGHBOURS}""",
-        "daily_sum",
+    "correct_in": _mended_sql(
+        "evening",
+        "account_in_sum",
+        _EVENINGS,
+        "SELECT account_rk, effective_date, unnest(fixes) AS correct_account_in_sum FROM fixed",
     ),
-    "correct_out": I.with_inputs(
-        f"""SELECT b.account_rk, b.effective_date,
-      n.account_in_sum AS correct_account_out_sum {_NEIGHBOURS}""",
-        "daily_sum",
+    "correct_out": _mended_sql(
+        "morning",
+        "account_out_sum",
+        _MORNINGS,
+        "SELECT account_rk, effective_date, unnest(fixes) AS correct_account_out_sum FROM fixed",
     ),
-    "apply_correction": I.with_inputs(
-        f"""SELECT d.account_rk, d.effective_date,
-      COALESCE(f.correct, d.account_in_sum) AS account_in_sum, d.account_out_sum
-    FROM daily_sum d LEFT JOIN (SELECT n.account_rk, n.effective_date,
-      b.account_out_sum AS correct {_NEIGHBOURS}) f
-      ON f.account_rk = d.account_rk AND f.effective_date = d.effective_date""",
-        "daily_sum",
+    "apply_correction": _mended_sql(
+        "evening",
+        "account_in_sum",
+        _EVENINGS,
+        """SELECT account_rk, effective_date, account_out_sum,
+      CASE WHEN len(fixes) > 0 THEN fixes[1] ELSE account_in_sum END AS account_in_sum FROM fixed""",
     ),
     "balance_turnover_mart": I.with_inputs(
-        """SELECT a.account_rk, COALESCE(c.currency_name, '-1') AS currency_name,
-      a.department_rk, b.effective_date, b.account_in_sum, b.account_out_sum
-    FROM source_account a LEFT JOIN daily_sum b ON b.account_rk = a.account_rk
-    LEFT JOIN currency_name c ON c.currency_cd = a.currency_cd""",
+        """SELECT account_rk, COALESCE((SELECT any_value(n.currency_name) FROM currency_name n
+        WHERE n.currency_cd = s.currency_cd), '-1') AS currency_name,
+      s.department_rk, effective_date, account_in_sum, account_out_sum
+    FROM daily_sum RIGHT JOIN source_account s USING (account_rk)""",
         "source_account",
         "daily_sum",
         "currency_name",
     ),
+    "mart_lookup": I.with_inputs(
+        f"SELECT * FROM ({_SEED_SQL}) WHERE account_rk = 1", "opening", "rate"
+    ),
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 MISMATCH = "Несоответствие данных - "
 FILLED_FOR = "Добавлены данные за "
 STARTED_TEXT = "Data load started"
-SEPARATOR = "; "
+TO = " .. "
 
 
 def mismatch_line(columns: Sequence[str]) -> Column:
@@ -27,21 +27,30 @@ def mismatch_lines(rejects: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rejects.select(mismatch_line(columns).alias("line"))
 
 
-def lines_summary(lines: DataFrame, first: int = 20) -> DataFrame:
-    """One row: how many lines there are and the text of the first of them.
+LINE = "line"
 
-    The audit record shows only the first lines in text order. The complete list
-    is ``lines`` itself, which a load writes out as a table of its own, so the
-    log text never has to hold an unbounded group.
+
+def summary_measures(line: str = LINE) -> list[Column]:
+    """Aggregates over all reject lines: how many, the least and the greatest."""
+    return [
+        F.count(F.lit(1)).alias("rejected_rows"),
+        F.min(line).alias("least"),
+        F.max(line).alias("greatest"),
+    ]
+
+
+def summary_text(total: Column, least: Column, greatest: Column) -> Column:
+    """The log text of these aggregates; NULL if there are no rejects."""
+    one = F.concat(total.cast("string"), F.lit(": "), least)
+    return F.when(total == 0, None).when(least == greatest, one).otherwise(F.concat(one, F.lit(TO), greatest))
+
+
+def lines_summary(lines: DataFrame) -> DataFrame:
+    """One row about all of ``lines``: their number, and a text that names the
+    first and the last in text order.
+
+    The list itself stays a table, which a load writes out by run, so neither
+    the log text nor a task has to hold it.
     """
-    text = (
-        lines.orderBy("line")
-        .limit(first)
-        .agg(
-            F.expr(
-                f"string_agg(line, '{SEPARATOR}') WITHIN GROUP (ORDER BY line)"
-            ).alias("message")
-        )
-    )
-    total = lines.agg(F.count(F.lit(1))).scalar()
-    return text.select(total.alias("rejected_rows"), "message")
+    columns = [F.col(c) for c in ("rejected_rows", "least", "greatest")]
+    return lines.agg(*summary_measures()).select("rejected_rows", summary_text(*columns).alias("message"))

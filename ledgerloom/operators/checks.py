@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookup import numbered_copies
 from ledgerloom.operators.versions import ROW_COUNT, repeated_keys
-from ledgerloom.schemas import TableSpec
 
 
 # Fixed value: the day an open-ended version is taken to last to.
@@ -39,32 +38,6 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted.select(F.inline(pairs))
 
 
-def require_unique(df: DataFrame, key: Sequence[str], name: str) -> None:
-    sample = key_violations(df, key).limit(5).collect()
-    if sample:
-        shown = "; ".join(
-            ", ".join(f"{k}={row[k]}" for k in key) + f" ({row[ROW_COUNT]} rows)"
-            for row in sample
-        )
-        raise DataCheckError(f"{name}: key is not unique: {shown}")
-
-
-def require_filled(df: DataFrame, columns: Sequence[str], name: str) -> None:
-    if not columns:
-        return
-    holes = null_profile(df, columns).filter("null_rows > 0").collect()
-    if holes:
-        shown = ", ".join(f"{r.column_name} ({r.null_rows} rows)" for r in holes)
-        raise DataCheckError(f"{name}: NULL in required columns: {shown}")
-
-
-def require_table(df: DataFrame, spec: TableSpec) -> None:
-    """Both checks of a table definition."""
-    require_filled(df, spec.required, spec.name)
-    if spec.key:
-        require_unique(df, spec.key, spec.name)
-
-
 def overlapping_versions(
     df: DataFrame,
     key: Sequence[str],

@@ -68,32 +68,20 @@ def _candidates(
     )
 
 
-# Up to this many staged rows the target is probed instead of shuffled.
-SMALL_STAGE_ROWS = 1_000_000
-
-
 def merge_rows(
     target: DataFrame,
     stage: DataFrame,
     key: Sequence[str],
     attributes: Sequence[str],
     valid: Column | None = None,
-    stage_rows: int | None = None,
 ) -> DataFrame:
     """The table after the load, each row marked in ``_action``.
 
-    By default one full outer join on the key: target and stage are each read
-    and shuffled once. When the stage has been counted and is small, the target
-    is left where it is and only probed (``_merge_small``).
+    One full outer join on the key: target and stage are each read and shuffled
+    once. A target kept by date is given by its staged dates only.
     """
     attributes = list(attributes)
-    usable = stage.filter(_has_key(key))
-    if valid is not None:
-        usable = usable.filter(valid)
-    staged = _candidates(usable, key, attributes)
-    if stage_rows is not None and stage_rows <= SMALL_STAGE_ROWS:
-        return _merge_small(target, staged, list(key), attributes)
-
+    staged = _candidates(_usable(stage, key, valid), key, attributes)
     stored = F.col("_stored").isNotNull()
     return (
         target.withColumn("_stored", F.lit(True))
@@ -134,15 +122,27 @@ def _taking_new(columns: Sequence[str], attributes: Sequence[str]) -> list[Colum
     ]
 
 
-def _merge_small(
-    target: DataFrame, staged: DataFrame, key: list[str], attributes: list[str]
+def _usable(stage: DataFrame, key: Sequence[str], valid: Column | None) -> DataFrame:
+    usable = stage.filter(_has_key(key))
+    return usable if valid is None else usable.filter(valid)
+
+
+def merge_rows_by_probing(
+    target: DataFrame,
+    stage: DataFrame,
+    key: Sequence[str],
+    attributes: Sequence[str],
+    valid: Column | None = None,
 ) -> DataFrame:
-    """Probe the target with few staged keys.
+    """``merge_rows`` in a form for a target that should not be shuffled.
 
-    The left join and the semi join have the small side on the right, where the
-    planner broadcasts it if its size allows, so a huge target is scanned but
-    not shuffled. New keys are those not among the target keys found.
+    The left join and the semi join have the staged keys on the right, where the
+    planner broadcasts them if their size allows. New keys are those not among
+    the target keys found. It reads both sides more often than ``merge_rows``,
+    so it is for the caller to ask for; no job chooses it.
     """
+    key, attributes = list(key), list(attributes)
+    staged = _candidates(_usable(stage, key, valid), key, attributes)
     matched = (
         target.join(staged, key, "left")
         .withColumn("_new", _change(attributes))
@@ -194,6 +194,38 @@ def load_counters(merged: DataFrame, stage: DataFrame) -> DataFrame:
     )
 
 
+_SPREAD = "_spread"
+
+
+def _without_match(key: Sequence[str], others: Sequence[str]) -> Column:
+    """A second join key: rows without a key match nothing and are dealt out by
+    their other columns, so they do not meet in one task."""
+    return F.when(_has_key(key), F.xxhash64(*key)).otherwise(F.xxhash64(*others))
+
+
+def _compared(
+    stage: DataFrame, stored: DataFrame, key: list[str], attributes: list[str], valid: Column | None
+) -> DataFrame:
+    """Staged rows that differ from ``stored`` (key, _stored) or are not there."""
+    found = F.col("_stored").isNotNull()
+    changed = any_of(differs(F.col(a), F.col(f"_stored.{a}")) for a in attributes)
+    refused = F.lit(False) if valid is None else ~valid
+    left = stage.withColumn(_SPREAD, _without_match(key, stage.columns))
+    right = stored.withColumn(_SPREAD, F.xxhash64(*key))
+    return (
+        left.join(right, [*key, _SPREAD], "left")
+        .filter(~found | changed)
+        .select(
+            *stage.columns,
+            F.when(~_has_key(key), "null_key")
+            .when(refused, "invalid")
+            .when(~found, "missing")
+            .otherwise("other_version")
+            .alias(REASON),
+        )
+    )
+
+
 def rejected_rows(
     loaded: DataFrame,
     stage: DataFrame,
@@ -203,29 +235,44 @@ def rejected_rows(
 ) -> DataFrame:
     """Every staged row the loaded table lacks or holds with other attributes."""
     key, attributes = list(key), list(attributes)
-    staged_keys = stage.filter(_has_key(key)).select(*key).distinct()
-    stored = loaded.join(staged_keys, key, "left_semi").select(
-        *key,
-        F.struct(*attributes).alias("_stored"),
-        F.lit(True).alias("_found"),
+    stored = loaded.select(*key, F.struct(*attributes).alias("_stored"))
+    return _compared(stage, stored, key, attributes, valid)
+
+
+def rejects_of_load(
+    target: DataFrame,
+    stage: DataFrame,
+    key: Sequence[str],
+    attributes: Sequence[str],
+    valid: Column | None = None,
+) -> DataFrame:
+    """``rejected_rows`` of a load that need not have run: no merged table.
+
+    What a staged key holds after the load follows from its stored row and its
+    two first valid versions. So the target is read once and the stage twice:
+    for the versions by key, and to be compared with the outcome.
+    """
+    key, attributes = list(key), list(attributes)
+    refused = F.lit(False) if valid is None else ~valid
+    ok = stage.filter(_has_key(key)).select(*key, *attributes, (~refused).alias("_ok"))
+    by_key = W.partitionBy(*key).orderBy(
+        F.col("_ok").desc(), *[F.col(a).asc_nulls_first() for a in attributes]
     )
-    missing = F.col("_found").isNull()
-    changed = any_of(
-        differs(F.col(a), F.col(f"_stored.{a}")) for a in attributes
+    version = F.when(F.col("_ok"), F.struct(*attributes))
+    staged = (
+        ok.distinct()
+        .withColumn("_rank", F.row_number().over(by_key))
+        .filter(F.col("_rank") <= 2)
+        .select(*key, "_rank", version.alias("_first"), F.lead(version).over(by_key).alias("_second"))
+        .filter(F.col("_rank") == 1)
     )
-    refused = F.lit(False) if valid is None else ~valid
-    return (
-        spread_join(stage, stored, key, "left")
-        .filter(missing | changed)
-        .select(
-            *stage.columns,
-            F.when(~_has_key(key), "null_key")
-            .when(refused, "invalid")
-            .when(missing, "missing")
-            .otherwise("other_version")
-            .alias(REASON),
-        )
+    held = target.select(*key, F.struct(*attributes).alias("_held"))
+    same = F.col("_held").eqNullSafe(F.col("_first"))
+    taken = F.when(same, F.col("_second")).otherwise(F.col("_first"))
+    outcome = spread_join(staged, held, key, "left").select(
+        *key, F.coalesce(taken, F.col("_held")).alias("_stored")
     )
+    return _compared(stage, outcome, key, attributes, valid)
 
 
 def contested_rows(

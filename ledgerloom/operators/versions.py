@@ -55,6 +55,15 @@ def in_key_order(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.orderBy(*[F.col(k).asc_nulls_last() for k in key])
 
 
+def names_by_key(df: DataFrame, key: Sequence[str], name: str, between: str = "; ") -> DataFrame:
+    """Per key the distinct names of its versions, in order, as one text.
+
+    For keys whose versions are bounded by nature, such as one per calendar day.
+    """
+    names = F.array_sort(F.collect_set(name))
+    return df.groupBy(*key).agg(F.array_join(names, between).alias("names"))
+
+
 def version_profile(
     df: DataFrame,
     start: str = "effective_from_date",

@@ -32,6 +32,8 @@ class Run:
 
     run_id: str
     stats: LoadStats = field(default_factory=LoadStats)
+    # What a job shows of its table: types and first rows; not stored.
+    preview: str | None = None
 
 
 class AuditLog:
@@ -69,7 +71,7 @@ class AuditLog:
             yield run
         except Exception as problem:
             run.stats = LoadStats()
-            self._event(run, process, table, FAILED, str(problem)[:2000])
+            self._event(run, process, table, FAILED, str(problem))
             raise
         self._event(run, process, table, SUCCESS, run.stats.message)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.lookup import left_join_many
 from ledgerloom.operators.upsert import update_from
 from ledgerloom.schemas import BALANCE_TURNOVER
 
@@ -102,4 +101,5 @@ def balance_turnover(
         currencies.select("currency_cd", "currency_name"), "currency_cd", "left"
     ).select("account_rk", "department_rk", name.alias("currency_name"))
     sums = balances.select(*_KEY, "account_in_sum", "account_out_sum")
-    return left_join_many(named, sums, ["account_rk"]).select(*BALANCE_TURNOVER.columns)
+    # Sums have one row per account and day: no account outgrows the calendar.
+    return named.join(sums, "account_rk", "left").select(*BALANCE_TURNOVER.columns)

@@ -9,13 +9,19 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
 from ledgerloom.functions.casts import DOTTED_DATE, ISO_DATE, typed
-from ledgerloom.functions.messages import FILLED_FOR, lines_summary, mismatch_lines
+from ledgerloom.functions.messages import (
+    FILLED_FOR,
+    mismatch_lines,
+    summary_measures,
+    summary_text,
+)
 from ledgerloom.functions.predicates import any_of, valid_currency
 from ledgerloom.operators import upsert as U
 from ledgerloom.operators.checks import DataCheckError, enforce_key
@@ -29,6 +35,7 @@ from ledgerloom.plans.turnover import account_turnover
 from ledgerloom.schemas import TableSpec
 from ledgerloom.sources.csv_files import (
     Delimited,
+    EncodingError,
     read_delimited,
     undecodable,
     write_delimited,
@@ -38,7 +45,7 @@ from ledgerloom.sources.tables import TableStore
 # Process names in the audit log.
 LOAD, MART, EXPORT, IMPORT = "ETL_DS_Load", "data_mart_load", "Export_to_CSV", "Import_from_CSV"
 
-_BROKEN = "_undecodable"
+_BROKEN, _DATES = "_undecodable", "dates"
 
 
 @dataclass(frozen=True)
@@ -111,6 +118,7 @@ class Warehouse:
         """Land a file, load it into its table, keep the rejected rows."""
         with self.audit.run(LOAD, spec.table.name) as run:
             run.stats = self._load_landed(spec, self._land_file(spec, path), run.run_id)
+            run.preview = self.store.preview(spec.table)
             return run.stats
 
     def load_rows(
@@ -118,23 +126,35 @@ class Warehouse:
     ) -> U.LoadStats:
         """The same for all-text rows from elsewhere."""
         with self.audit.run(process, spec.table.name) as run:
-            run.stats = self._load_landed(spec, self._land(spec, text), run.run_id)
+            landed = self._land(spec, text)
+            if landed["undecodable"]:
+                raise EncodingError(f"{spec.table.name}: {landed['undecodable']} undecodable rows")
+            run.stats = self._load_landed(spec, landed, run.run_id)
             return run.stats
 
-    def _land_file(self, spec: IngestSpec, path: str) -> dict[str, int]:
+    def _land_file(self, spec: IngestSpec, path: str) -> dict[str, Any]:
         """Land a file in the first encoding that decodes all of it.
 
         Undecodable texts are counted while landing, so a file in the expected
-        encoding is read once; the last candidate is accepted as it is.
+        encoding is read once. A file that no candidate decodes is not loaded.
         """
+        lacking = None
         for encoding in spec.style.encodings:
-            text = read_delimited(self.spark, path, spec.wanted, spec.style, encoding)
+            try:
+                text = read_delimited(self.spark, path, spec.wanted, spec.style, encoding)
+            except LookupError as problem:
+                # Header names may be what the encoding does not fit.
+                lacking = problem
+                continue
             seen = self._land(spec, text)
             if not seen["undecodable"]:
-                break
-        return seen
+                return seen
+            lacking = None
+        if lacking is not None:
+            raise lacking
+        raise EncodingError(f"{path} is in none of {', '.join(spec.style.encodings)}")
 
-    def _land(self, spec: IngestSpec, text: DataFrame) -> dict[str, int]:
+    def _land(self, spec: IngestSpec, text: DataFrame) -> dict[str, Any]:
         """Write the typed rows; all that a load asks of them is counted with it."""
         marked = text.withColumn(_BROKEN, undecodable(spec.wanted))
         rows = typed(marked, spec.table, spec.date_pattern, spec.wanted, keep=[_BROKEN])
@@ -148,10 +168,13 @@ class Warehouse:
                 for c in spec.must
             ],
         ]
+        if spec.table.by_date:
+            # At most one per calendar day.
+            measures.append(F.collect_set(spec.table.partition_by).alias(_DATES))
         return self.store.rewrite(stage_table(spec), rows, measures, drop=[_BROKEN])
 
     def _load_landed(
-        self, spec: IngestSpec, landed: dict[str, int], run_id: str
+        self, spec: IngestSpec, landed: dict[str, Any], run_id: str
     ) -> U.LoadStats:
         """Load the landing table; counters are taken while writing.
 
@@ -169,7 +192,7 @@ class Warehouse:
         stage = self.store.read(landing)
         if table.key:
             named = list(table.key)
-            seen, rejects = self._merge(spec, stage, received)
+            seen, rejects = self._merge(spec, stage, sorted(landed.get(_DATES, ())))
             inserted, updated = seen["inserted"], seen["updated"]
             doubtful = received - inserted - updated - seen["same"]
         else:
@@ -187,13 +210,14 @@ class Warehouse:
         """Store a line per rejected row; returns the text for the audit log."""
         held, run = reject_table(spec), F.lit(run_id).alias("run_id")
         lines = mismatch_lines(rejects, named).select(run, "line")
-        if not self.store.append(held, lines):
+        seen = self.store.append_measured(held, lines, summary_measures())
+        if not seen["rows"]:
             return None
-        mine = self.store.read(held).filter(F.col("run_id") == run_id)
-        return lines_summary(mine.select("line")).first()["message"]
+        found = summary_text(*[F.lit(seen[c]) for c in ("rejected_rows", "least", "greatest")])
+        return self.spark.range(1).select(found.alias("text")).first()["text"]
 
     def _merge(
-        self, spec: IngestSpec, stage: DataFrame, received: int
+        self, spec: IngestSpec, stage: DataFrame, dates: Sequence[dt.date]
     ) -> tuple[dict[str, int], DataFrame]:
         """Keyed load. A table kept by date is touched on the staged dates only."""
         table, store = spec.table, self.store
@@ -202,14 +226,13 @@ class Warehouse:
         counts, marks = U.action_counts(), [U.ACTION]
 
         def merged(stored: DataFrame) -> DataFrame:
-            return U.merge_rows(stored, stage, table.key, attributes, valid, received)
+            return U.merge_rows(stored, stage, table.key, attributes, valid)
 
         if table.by_date:
             self._finish_pending(table)
-            dates = _dates_of(stage, table.partition_by)
             new = merged(store.read_dates(table, dates))
             seen = store.rewrite(_pending(table), new, counts, marks)
-            self._finish_pending(table)
+            self._finish_pending(table, dates)
             loaded = store.read_dates(table, dates)
         else:
             seen = store.rewrite(table, merged(store.read(table)), counts, marks)
@@ -217,7 +240,7 @@ class Warehouse:
         doubtful = U.contested_rows(stage, table.key, attributes, valid)
         return seen, U.rejected_rows(loaded, doubtful, table.key, attributes, valid)
 
-    def _finish_pending(self, table: TableSpec) -> None:
+    def _finish_pending(self, table: TableSpec, dates: Sequence[dt.date] | None = None) -> None:
         """Move rewritten dates from their pending table into place.
 
         The pending table is complete before the first date is replaced, so if
@@ -225,7 +248,8 @@ class Warehouse:
         """
         pending = _pending(table)
         rows = self.store.read(pending)
-        dates = _dates_of(rows, table.partition_by)
+        if dates is None:
+            dates = _dates_of(rows, table.partition_by)
         if dates:
             self.store.replace_dates(table, rows, dates)
             self.store.truncate(pending)
@@ -319,10 +343,11 @@ class Warehouse:
     # --- CSV exchange ------------------------------------------------------
 
     def export_csv(
-        self, table: TableSpec, path: str, style: Delimited | None = None, single_file: bool = False
+        self, table: TableSpec, path: str, style: Delimited | None = None
     ) -> U.LoadStats:
+        """A folder of part files, which ``import_csv`` reads."""
         with self.audit.run(EXPORT, table.name) as run:
-            rows = write_delimited(self.store.read(table), path, style, single_file)
+            rows = write_delimited(self.store.read(table), path, style)
             run.stats = U.LoadStats(rows, message=f"{table.name} -> {path}")
             return run.stats
 
@@ -334,16 +359,28 @@ class Warehouse:
         truncate_first: bool = False,
         date_pattern: str = ISO_DATE,
     ) -> U.LoadStats:
-        """Append a file to a table, or make it the only content; keys unchecked."""
+        """Append a file to a table, or make it the only content; keys unchecked.
+
+        A file that cannot be read changes nothing. Appending is the one load
+        that must not be repeated: it would add the rows again.
+        """
         with self.audit.run(IMPORT, table.name) as run:
             text = read_delimited(self.spark, path, table.columns, style)
             rows = typed(text, table, date_pattern)
-            if truncate_first:
-                self.store.truncate(table)
-            added = self.store.append(table, rows)
+            added = self._replace_all(table, rows) if truncate_first else self.store.append(table, rows)
             run.stats = U.LoadStats(added, added, 0, f"{path} -> {table.name}")
             return run.stats
 
+    def _replace_all(self, table: TableSpec, rows: DataFrame) -> int:
+        """The rows as only content, written completely before any old one goes."""
+        if not table.by_date:
+            return self.store.rewrite(table, rows)["rows"]
+        dates = F.collect_set(table.partition_by).alias(_DATES)
+        seen = self.store.rewrite(_pending(table), rows, [dates])
+        held = self.store.dates(table)
+        self._finish_pending(table, sorted({*seen[_DATES], *held}))
+        return seen["rows"]
+
     def import_many(
         self, files: Mapping[str, TableSpec], style: Delimited | None = None
     ) -> dict[str, U.LoadStats]:
@@ -367,6 +404,7 @@ class Warehouse:
             return run.stats
 
     def append_file_rows(self, table: TableSpec, extra: TableSpec) -> U.LoadStats:
+        """Add the distinct rows of a file; not to be repeated."""
         read = self.store.read
         return self._reload(table, lambda: U.append_distinct(read(table), read(extra)))
 

@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Single-byte Cyrillic code pages in delimited files need this at run time.
-    "spark.sql.legacy.javaCharsets": "true",
 }
 
 

@@ -34,8 +34,55 @@ class Delimited:
     encodings: Sequence[str] = ENCODINGS
 
 
+class ColumnError(ValueError, LookupError):
+    """A wanted column is not in the header."""
+
+
 class EncodingError(ValueError):
-    pass
+    """No candidate encoding decodes all of a file."""
+
+
+# Bytes read one by one: every byte becomes the character of its number.
+_BYTES = "ISO-8859-1"
+_BUILT_IN = ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32")
+
+
+def reading(encoding: str) -> str:
+    """The encoding a file is read in; single-byte code pages are read as bytes
+    and decoded by ``decoded``, as Spark knows only a few by name."""
+    return encoding if encoding.upper() in _BUILT_IN else _BYTES
+
+
+def _code_page(encoding: str) -> tuple[str, str]:
+    """The upper half of a code page: bytes as characters, and what they mean."""
+    upper = bytes(range(0x80, 0x100))
+    meant = upper.decode(encoding, "replace")
+    if len(meant) != len(upper):
+        raise EncodingError(f"{encoding} is not a single-byte code page")
+    return upper.decode(_BYTES), meant
+
+
+def decoded(rows: DataFrame, encoding: str) -> DataFrame:
+    """Text columns read as bytes, in the characters of their code page; a byte
+    without meaning there becomes the replacement character."""
+    if reading(encoding) == encoding:
+        return rows
+    found, meant = _code_page(encoding)
+    texts = {f.name for f in rows.schema if isinstance(f.dataType, T.StringType)}
+    return rows.select(
+        *[
+            F.translate(F.col(f"`{c}`"), found, meant).alias(c) if c in texts else F.col(f"`{c}`")
+            for c in rows.columns
+        ]
+    )
+
+
+def _named(rows: DataFrame, encoding: str) -> DataFrame:
+    """Header names in the characters of the code page."""
+    if reading(encoding) == encoding:
+        return rows
+    table = str.maketrans(*_code_page(encoding))
+    return rows.toDF(*[c.translate(table) for c in rows.columns])
 
 
 def _reader(spark: SparkSession, style: Delimited, encoding: str):
@@ -43,7 +90,7 @@ def _reader(spark: SparkSession, style: Delimited, encoding: str):
         spark.read.option("header", True)
         .option("sep", style.sep)
         .option("escape", '"')
-        .option("encoding", encoding)
+        .option("encoding", reading(encoding))
         .option("multiLine", style.multi_line)
         .option("inferSchema", False)
     )
@@ -58,17 +105,15 @@ def undecodable(columns: Sequence[str]) -> Column:
 def resolve_encoding(spark: SparkSession, path: str, style: Delimited) -> str:
     """The first candidate encoding that decodes the whole file.
 
-    Each try is a distributed scan that stops at the first undecodable text.
-    The last candidate is taken without a test: single-byte code pages accept
-    any byte.
+    Each try is a distributed scan that stops at the first undecodable text. A
+    file that no candidate decodes is an error.
     """
-    *tested, last = style.encodings
-    for encoding in tested:
-        rows = _reader(spark, style, encoding).csv(path)
+    for encoding in style.encodings:
+        rows = _named(_reader(spark, style, encoding).csv(path), encoding)
         names_ok = not any(REPLACEMENT_CHARACTER in c for c in rows.columns)
-        if names_ok and rows.filter(undecodable(rows.columns)).isEmpty():
+        if names_ok and decoded(rows, encoding).filter(undecodable(rows.columns)).isEmpty():
             return encoding
-    return last
+    raise EncodingError(f"{path} is in none of {', '.join(style.encodings)}")
 
 
 # Holds the text of a row whose number of fields is wrong.
@@ -125,47 +170,39 @@ def read_delimited(
     encoding = encoding or resolve_encoding(spark, path, style)
     header = _reader(spark, style, encoding).csv(path).columns
     rows = strict_options(_reader(spark, style, encoding)).schema(text_schema(header))
-    named = lower_names(rows.csv(path))
+    named = lower_names(_named(decoded(rows.csv(path), encoding), encoding))
     lacking = [c for c in columns if c not in named.columns]
     if lacking:
-        raise ValueError(f"{path}: no column {', '.join(lacking)} in the header")
+        raise ColumnError(f"{path}: no column {', '.join(lacking)} in the header")
     return clean_text(named, columns, style.missing)
 
 
-# A report this small is written as a single file when asked for.
-SINGLE_FILE_ROWS = 100_000
-
-
 def write_delimited(
-    df: DataFrame,
-    path: str,
-    style: Delimited | None = None,
-    single_file: bool = False,
-    encoding: str = UTF8,
+    df: DataFrame, path: str, style: Delimited | None = None, encoding: str = UTF8
 ) -> int:
-    """Write a folder of delimited part files with headers; returns the row count.
-
-    ``single_file`` gives one part if the result is shown to be small; a bigger
-    result keeps its parallel parts, so no task ever receives it whole.
-    """
+    """Write a folder of delimited part files with headers; returns the row count."""
     style = style or Delimited()
-    kept = df.persist() if single_file else df
-    out = kept
-    if single_file and kept.count() <= SINGLE_FILE_ROWS:
-        out = kept.coalesce(1)
     watch = Observation()
+    if reading(encoding) != encoding:
+        found, meant = _code_page(encoding)
+        df = df.select(
+            *[
+                F.translate(F.col(f"`{f.name}`"), meant, found).alias(f.name)
+                if isinstance(f.dataType, T.StringType)
+                else F.col(f"`{f.name}`")
+                for f in df.schema
+            ]
+        )
     (
-        out.observe(watch, F.count(F.lit(1)).alias("rows"))
+        df.observe(watch, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("header", True)
         .option("sep", style.sep)
         .option("nullValue", style.null_text)
         .option("escape", '"')
-        .option("encoding", encoding)
+        .option("encoding", reading(encoding))
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    if single_file:
-        kept.unpersist()
     return watch.get["rows"]

@@ -9,10 +9,8 @@ their date and replaced date by date.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,31 +21,19 @@ _VERSION = "version="
 _DONE = "_SUCCESS"
 
 
-@lru_cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"ledgerloom-{application}-")
-
-
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A folder every executor can reach, for tables that outlive one job.
+    """A new folder every executor can reach, for tables that outlive one job.
 
-    The cluster names it in ``spark.checkpoint.dir``; only a local session
-    without that setting gets a temporary folder of its own.
+    It lies where ``spark.checkpoint.dir`` says, and is deleted by the file
+    system when the application ends.
     """
-    context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        base = _local_folder(context.applicationId)
-    return f"{base.rstrip('/')}/{context.applicationId}/{name}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, for plans that read it repeatedly."""
-    path = shared_folder(df.sparkSession, f"{name}_{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not base:
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+    folder = f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}_{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 class TableStore:
@@ -121,6 +107,20 @@ class TableStore:
         shown = "\n".join(str(tuple(r)) for r in df.limit(rows).collect())
         return f"{spec.name} ({types})\n{shown}"
 
+    def dates(self, spec: TableSpec) -> list[dt.date]:
+        """The dates a dated table has partitions of."""
+        mark = f"{spec.partition_by}="
+        found = [n[len(mark):] for n in self._children(self.folder(spec)) if n.startswith(mark)]
+        return sorted(dt.date.fromisoformat(d) for d in found)
+
+    def look_up(self, spec: TableSpec, **values) -> DataFrame:
+        """Rows with these column values; a date reads its partition only, and
+        row groups without the value are skipped by their statistics."""
+        rows = self.read(spec)
+        for name, value in values.items():
+            rows = rows.filter(F.col(name) == F.lit(value))
+        return rows
+
     def read_dates(self, spec: TableSpec, dates: Sequence[dt.date]) -> DataFrame:
         """Only the partitions of ``dates``."""
         return self.read(spec).filter(F.col(spec.partition_by).isin(list(dates)))
@@ -170,20 +170,26 @@ class TableStore:
 
     def append(self, spec: TableSpec, df: DataFrame) -> int:
         """Add rows without looking at keys; returns how many."""
+        return self.append_measured(spec, df)["rows"]
+
+    def append_measured(
+        self, spec: TableSpec, df: DataFrame, measures: Sequence[Column] = ()
+    ) -> dict[str, int]:
+        """``append`` that takes ``measures`` of the added rows in the same pass."""
         current = self._current(spec)
         if current is None and not spec.by_date:
-            return self.rewrite(spec, df)["rows"]
+            return self.rewrite(spec, df, measures)
         folder = self.folder(spec)
         watch = Observation()
         writer = (
             df.select(*spec.columns)
-            .observe(watch, F.count(F.lit(1)).alias("rows"))
+            .observe(watch, F.count(F.lit(1)).alias("rows"), *measures)
             .write.mode("append")
         )
         if spec.partition_by:
             writer = writer.partitionBy(spec.partition_by)
         writer.parquet(folder if spec.by_date else f"{folder}/{_VERSION}{current}")
-        return watch.get["rows"]
+        return dict(watch.get)
 
     def replace_dates(
         self,

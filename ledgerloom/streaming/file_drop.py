@@ -8,6 +8,8 @@ from ledgerloom.plans.jobs import IngestSpec, Warehouse
 from ledgerloom.sources.csv_files import (
     UTF8,
     clean_text,
+    decoded,
+    reading,
     strict_options,
     text_schema,
 )
@@ -24,11 +26,12 @@ def load_dropped_files(
 
     The checkpoint remembers finished files. A batch repeated after a failure
     does no harm: loading the same rows again changes nothing. Headers are
-    checked against the expected columns, in order.
+    checked against the expected columns, in order. A batch with texts that the
+    encoding does not decode fails the stream and is not loaded.
     """
 
     def load_batch(rows: DataFrame, batch: int) -> None:
-        text = clean_text(rows, spec.wanted, spec.style.missing)
+        text = clean_text(decoded(rows, encoding), spec.wanted, spec.style.missing)
         warehouse.load_rows(spec, text, "file_drop")
 
     (
@@ -37,7 +40,7 @@ def load_dropped_files(
         .option("header", True)
         .option("sep", spec.style.sep)
         .option("escape", '"')
-        .option("encoding", encoding)
+        .option("encoding", reading(encoding))
         .csv(folder)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)

@@ -4,6 +4,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark import SparkConf
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -14,13 +15,16 @@ from ledgerloom.sources.tables import TableStore
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    # Set only where the session's environment does not name a shared folder.
+    shared = SparkConf().get("spark.checkpoint.dir") or str(tmp_path_factory.mktemp("shared"))
     session = build_session(
         "ledgerloom-tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=shared,
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -67,16 +67,6 @@ def test_gaps_with_repeated_days(spark, monkeypatch, run):
     assert Counter(tuple(r) for r in checks.date_gaps(df).collect()) == expected
 
 
-def test_requirements(spark):
-    df = spark.createDataFrame([(1, None, 1), (1, "a", 2)], DDL)
-    with pytest.raises(checks.DataCheckError, match="k=1"):
-        checks.require_unique(df, ["k"], "t")
-    with pytest.raises(checks.DataCheckError, match=r"v \(1 rows\)"):
-        checks.require_filled(df, ["k", "v"], "t")
-    checks.require_unique(df, ["k", "n"], "t")
-    checks.require_filled(df, ["k", "n"], "t")
-
-
 def test_left_join_many_equals_left_join(spark):
     few = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
     many = spark.createDataFrame([(1, i) for i in range(50)] + [(None, 7)], "k int, n int")

@@ -7,7 +7,7 @@ from conftest import day, money, rows
 from ledgerloom import schemas as S
 from ledgerloom.functions.casts import DOTTED_DATE
 from ledgerloom.plans.jobs import IngestSpec, detail_specs, reject_table
-from ledgerloom.sources.csv_files import Delimited
+from ledgerloom.sources.csv_files import Delimited, EncodingError
 from ledgerloom.streaming.file_drop import load_dropped_files
 
 FILES = {
@@ -74,7 +74,7 @@ def test_whole_month(house, folder):
         "md_ledger_account_s": (2, 2, 0, 0),
     }
     assert stats["md_currency_d"].message == (
-        "Несоответствие данных - currency_rk: 36, data_actual_date: 2018-01-01; "
+        "2: Несоответствие данных - currency_rk: 36, data_actual_date: 2018-01-01 .. "
         "Несоответствие данных - currency_rk: 37, data_actual_date: 2018-01-01"
     )
     assert stats["ft_posting_f"].message.endswith("credit_amount: , debet_amount: 1.00000000")
@@ -129,7 +129,7 @@ def test_whole_month(house, folder):
     # Export, import into a twin, compare.
     path = str(folder / "report_out")
     twin = S.LEDGER_REPORT.twin("dm_f101_round_f_v2")
-    assert house.export_csv(S.LEDGER_REPORT, path, single_file=True).input == 2
+    assert house.export_csv(S.LEDGER_REPORT, path).input == 2
     for _ in range(2):
         assert house.import_csv(twin, path, truncate_first=True).inserted == 2
     assert rows(read(twin)) == before[S.LEDGER_REPORT.name]
@@ -283,3 +283,38 @@ def test_dropped_files_are_loaded_once(house, tmp_path):
     )
     states = rows(house.audit.latest(), "input_rows", "inserted_rows", "updated_rows")
     assert states == [(1, 0, 1), (2, 2, 0)]
+
+
+def test_undecodable_file_is_not_loaded(house, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes("CURRENCY_CD;CURRENCY_NAME\n1;Рубль\n".encode("cp1251"))
+    spec = IngestSpec(S.CURRENCY_NAME, "yyyy-MM-dd", style=Delimited(encodings=("UTF-8",)))
+    with pytest.raises(EncodingError):
+        house.load_file(spec, str(path))
+    assert house.store.read(S.CURRENCY_NAME).count() == 0
+    assert [r.status for r in house.audit.latest().collect()] == ["FAILED"]
+
+
+def test_long_failure_text_is_kept_whole(house):
+    text = "x" * 5000
+    with pytest.raises(ValueError), house.audit.run("job", "t"):
+        raise ValueError(text)
+    assert house.audit.latest().first().message == text
+
+
+def test_message_covers_all_rejects(house, tmp_path):
+    lines = [f"{k};2018-01-01;;999;XXX" for k in range(100, 150)]
+    path = tmp_path / "c.csv"
+    head = "CURRENCY_RK;DATA_ACTUAL_DATE;DATA_ACTUAL_END_DATE;CURRENCY_CODE;CODE_ISO_CHAR"
+    path.write_text("\n".join([head, *lines]) + "\n")
+    stats = house.load_file(detail_specs(POSTING_DATES)[3], str(path))
+    assert stats.message.startswith("50: ") and "currency_rk: 149" in stats.message
+
+
+def test_malformed_import_leaves_the_table(house, tmp_path, frame):
+    house.store.rewrite(S.CURRENCY_NAME, frame(S.CURRENCY_NAME, [("1", "a")]))
+    path = tmp_path / "bad.csv"
+    path.write_text("currency_cd;currency_name\n1;b;c\n")
+    with pytest.raises(Exception, match="malformed"):
+        house.import_csv(S.CURRENCY_NAME, str(path), truncate_first=True)
+    assert rows(house.store.read(S.CURRENCY_NAME)) == [("1", "a")]

@@ -48,6 +48,25 @@ def test_comparison_is_one_aggregation(spark):
     assert text.count("Exchange") == 1 and "Join" not in text
 
 
+def test_rejects_read_the_stage_twice_and_the_target_once(spark, no_broadcast):
+    made = loads.BALANCES
+    parts = made.stage_text(spark, DATA)._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    text = plan(made.rejects(spark, DATA))
+    assert text.count("FileScan") == 2 * parts + 1
+
+
+def test_report_is_one_lazy_plan(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda *a, **k: pytest.fail("wrote a table"))
+    plan(marts.ledger_report_month(spark, DATA))
+
+
+def test_daily_sums_are_read_and_shuffled_once(spark, no_broadcast):
+    text = plan(marts.balance_turnover_mart(spark, DATA))
+    assert text.count("orders.parquet") <= 1
+
+
 def test_no_cross_joins_and_no_python(spark):
     names = ("turnover_day", "balance_period", "ledger_report", "holiday_mart", "apply_correction", "upsert_snapshot")
     from ledgerloom.catalog import QUERIES

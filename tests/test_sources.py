@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas as S
 from ledgerloom.sources.csv_files import (
     Delimited,
+    EncodingError,
     read_delimited,
     resolve_encoding,
     write_delimited,
@@ -57,6 +58,23 @@ def test_encoding_is_found(spark, tmp_path):
         ]
 
 
+def test_no_candidate_decodes_the_file(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes("k;name\n1;Рубль\n".encode("cp1251"))
+    with pytest.raises(EncodingError):
+        read_delimited(spark, str(path), ["k", "name"], Delimited(encodings=("UTF-8",)))
+    # 98 has no meaning in this code page.
+    path.write_bytes(b"k;name\n1;\x98\n")
+    with pytest.raises(EncodingError):
+        read_delimited(spark, str(path), ["k", "name"])
+
+
+def test_code_page_in_the_header_too(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_bytes("код;имя\n1;Рубль\n".encode("cp1251"))
+    assert rows(read_delimited(spark, str(path), ["код", "имя"])) == [("1", "Рубль")]
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_delimited(spark, str(tmp_path / "none.csv"), ["a"])
@@ -66,10 +84,9 @@ def test_round_trip_of_awkward_texts(spark, tmp_path):
     data = [("1", 'a"b'), ("2", "a;b"), ("3", None), ("4", " pad ")]
     df = spark.createDataFrame(data, "k string, v string")
     path = str(tmp_path / "out")
-    assert write_delimited(df, path, single_file=True) == 4
-    parts = list(Path(path).glob("part-*.csv"))
-    assert len(parts) == 1
-    assert "3;NULL" in parts[0].read_text()
+    assert write_delimited(df, path) == 4
+    parts = [p.read_text() for p in Path(path).glob("part-*.csv")]
+    assert any("3;NULL" in p for p in parts)
     assert rows(read_delimited(spark, path, ["k", "v"])) == sorted(data, key=str)
 
 

@@ -44,14 +44,17 @@ def random_rows(rng, n, unique):
     return list(out.values())
 
 
-@pytest.mark.parametrize("stage_rows", [None, 0])
+WAYS = [U.merge_rows, U.merge_rows_by_probing]
+
+
+@pytest.mark.parametrize("merge", WAYS)
 @pytest.mark.parametrize("seed", range(4))
-def test_load_equals_the_rule(spark, seed, stage_rows):
+def test_load_equals_the_rule(spark, seed, merge):
     rng = random.Random(seed)
     target, stage = random_rows(rng, 25, True), random_rows(rng, 80, False)
     t, s = spark.createDataFrame(target, DDL), spark.createDataFrame(stage, DDL)
     valid = F.coalesce(F.col("a") != 3, F.lit(True))
-    merged = U.merge_rows(t, s, KEY, ATTRS, valid, stage_rows)
+    merged = merge(t, s, KEY, ATTRS, valid)
     table, inserted, updated, rejects = by_hand(target, stage, lambda r: r[2] != 3)
     assert rows(U.snapshot(merged)) == table
     counts = U.load_counters(merged, s).first()
@@ -66,22 +69,24 @@ def test_load_equals_the_rule(spark, seed, stage_rows):
     doubtful = U.contested_rows(s, KEY, ATTRS, valid)
     again = U.rejected_rows(U.snapshot(merged), doubtful, KEY, ATTRS, valid)
     assert rows(again.drop(U.REASON)) == rejects
+    ahead = U.rejects_of_load(t, s, KEY, ATTRS, valid)
+    assert rows(ahead) == rows(got)
 
 
 def test_changed_version_wins_over_the_equal_one(spark):
     """Of two staged versions, one equal to the stored row, the other is taken."""
     t = spark.createDataFrame([(1, 1, 1, "x")], DDL)
     s = spark.createDataFrame([(1, 1, 1, "x"), (1, 1, 2, "x")], DDL)
-    for small in (None, 0):
-        assert rows(U.snapshot(U.merge_rows(t, s, KEY, ATTRS, stage_rows=small))) == [(1, 1, 2, "x")]
+    for merge in WAYS:
+        assert rows(U.snapshot(merge(t, s, KEY, ATTRS))) == [(1, 1, 2, "x")]
 
 
 def test_columns_outside_the_load(spark):
     """They keep their value on update and are NULL on insert."""
     t = spark.createDataFrame([(1, 1, 1, "x", 9)], DDL + ", extra int")
     s = spark.createDataFrame([(1, 1, 2, "x"), (2, 2, 5, "z")], DDL)
-    for small in (None, 0):
-        got = U.snapshot(U.merge_rows(t, s, KEY, ATTRS, stage_rows=small))
+    for merge in WAYS:
+        got = U.snapshot(merge(t, s, KEY, ATTRS))
         assert rows(got) == [(1, 1, 2, "x", 9), (2, 2, 5, "z", None)]
 
 
