@@ -228,12 +228,17 @@ def _crowded_spans(work: Work, contexts: DataFrame, length: int) -> DataFrame:
         cut = open_blocks.select("anchor", "low", "high", "from", "to", "gram", "before", "after")
         blocks = work.keep(cut.mapInArrow(_blocks(length, step), wide), f"blocks{step}")
         cores = blocks.groupBy("core").agg(F.count(F.lit(1)).alias("cores")).filter("cores > 1")
-        hulls = blocks.filter("whole").groupBy("core", "hull").agg(F.count(F.lit(1)).alias("hulls"))
+        hulls = blocks.filter("whole").groupBy("core", "hull").agg(
+            F.count(F.lit(1)).alias("hulls"), F.min("anchor").alias("witness")
+        )
         live = spread_join(blocks, cores, ["core"], "inner")
         live = work.keep(spread_join(live, hulls, ["core", "hull"], "left"), f"live{step}")
         done = live.filter("hulls > 1").select("anchor", "first", "last")
         found = done if found is None else found.unionByName(done)
-        rest = live.filter("hulls IS NULL OR hulls < 2").select("anchor", F.col("first").alias("from"), F.col("last").alias("to"))
+        # One of those that are settled stays, as others may share a part with it.
+        rest = live.filter("hulls IS NULL OR hulls < 2 OR anchor = witness").select(
+            "anchor", F.col("first").alias("from"), F.col("last").alias("to")
+        )
         open_blocks = spread_join(rest, own, ["anchor"], "inner")
     return spread_join(found, own.filter("NOT settled").select("anchor", "_id", "_row", "at"), ["anchor"], "inner").select(
         "_id", "_row", (F.col("at") - F.col("last")).alias("first"), (F.col("at") - F.col("first") + length).alias("last")
