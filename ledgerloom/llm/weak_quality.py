@@ -30,7 +30,7 @@ from ledgerloom.llm.textstats import stats
 from ledgerloom.llm.work import ship_code
 
 SAMPLE = 800
-KEEP_AT = 0.1
+KEEP_AT = 0.2
 ROUNDS = 100
 
 LABELLERS = ("symbols", "repetition", "shouting", "separators", "short words", "length", "sentences")
