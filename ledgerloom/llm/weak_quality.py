@@ -27,7 +27,7 @@ from ledgerloom.llm import hashed
 from ledgerloom.llm import words as W
 from ledgerloom.llm.quality_rules import by_hash, collected
 from ledgerloom.llm.textstats import stats
-from ledgerloom.llm.work import ship_code
+from ledgerloom.llm.work import Work
 
 SAMPLE = 800
 KEEP_AT = 0.2
@@ -143,9 +143,10 @@ def _scores(model):
 
 def learned(documents: DataFrame, sample: int = SAMPLE) -> tuple[tuple, Accuracies]:
     """The scorer's parameters, and the accuracies behind its targets."""
-    ship_code(documents.sparkSession)
     docs = documents.select("doc_id", "text")
-    voted = docs.mapInArrow(_vote_rows, "doc_id long, votes long")
+    voted = Work(docs.sparkSession, "weak_quality").keep(
+        docs.mapInArrow(_vote_rows, "doc_id long, votes long"), "votes"
+    )
     patterns = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").toPandas()
     codes, counts = patterns["votes"].to_numpy(np.int64), patterns["n"].to_numpy(np.float64)
     accuracies = learn_accuracies(codes, counts)
