@@ -4,7 +4,8 @@ A text is its frequencies of n-grams relative to their number plus ``PRIOR``,
 one block of ``BUCKETS`` for each kind of n-gram. A score is then a sum of means
 of weights and needs one pass over the bytes, and a text of few n-grams stays
 near the bias. The weights are fitted by logistic regression on a bounded sample of
-rows; a held-out fifth of it calibrates the scores to probabilities.
+rows; a held-out fifth of it calibrates the scores to probabilities. There is no
+constant term: a text without evidence has the odds of all rows.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ BUCKETS = 1 << 14
 KINDS = 4
 PRIOR = 16
 _SHIFT = np.uint64(64 - 14)
+_TWICE = np.uint64(2)
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -34,6 +36,9 @@ def grams(found: W.Words) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndar
     """For each kind: its number, buckets of all n-grams, and each text's range."""
     for kind, size in enumerate((1, 2)):
         hashes, _ = W.windows(found.hashes, found.doc, size)
+        if size == 2:
+            # A word twice is one and the same bigram, whichever word it is.
+            hashes[found.hashes[1:] == found.hashes[:-1]] = _TWICE
         last = np.maximum(found.bounds[1:] - size + 1, found.bounds[:-1])
         yield kind, hashes, found.bounds[:-1], np.minimum(last, len(hashes))
     for kind, size in enumerate((3, 5), 2):
@@ -46,8 +51,8 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return ((hashes * _MULTIPLY) >> _SHIFT).astype(np.int32)
 
 
-def logits(found: W.Words, weights: np.ndarray, bias: float) -> np.ndarray:
-    out = np.full(len(found.counts), bias)
+def logits(found: W.Words, weights: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(found.counts))
     for kind, hashes, first, last in grams(found):
         own = weights[kind * BUCKETS: (kind + 1) * BUCKETS][_bucket(hashes)]
         total = np.zeros(len(own) + 1)
@@ -93,47 +98,40 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit(
     rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, steps: int = 60, rate: float = 0.3, decay: float = 1e-5
-) -> tuple[np.ndarray, float]:
-    """Weights and bias; ``target`` may be a probability. Both classes weigh
-    alike. Without any row the weights are zero."""
-    weights, bias = np.zeros(KINDS * BUCKETS), 0.0
+) -> np.ndarray:
+    """Weights; ``target`` may be a probability. Both classes weigh alike.
+    Without any row the weights are zero."""
+    weights = np.zeros(KINDS * BUCKETS)
     if not rows:
-        return weights, bias
+        return weights
     data = Rows(rows)
     up = max(target.sum(), 1e-9)
     down = max((1 - target).sum(), 1e-9)
     each = target / up + (1 - target) / down
     each /= each.sum()
-    m, v = np.zeros(KINDS * BUCKETS + 1), np.zeros(KINDS * BUCKETS + 1)
+    m, v = np.zeros(KINDS * BUCKETS), np.zeros(KINDS * BUCKETS)
     for step in range(1, steps + 1):
-        error = (sigmoid(data.dot(weights) + bias) - target) * each
-        g = np.append(data.back(error) + decay * weights, error.sum())
+        g = data.back((sigmoid(data.dot(weights)) - target) * each) + decay * weights
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
-        move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-        weights -= move[:-1]
-        bias -= move[-1]
-    return weights, float(bias)
+        weights -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+    return weights
 
 
-def calibrate(scores: np.ndarray, target: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of Platt's sigmoid, with his smoothed targets."""
+def calibrate(scores: np.ndarray, target: np.ndarray, moved: bool = True) -> tuple[float, float]:
+    """Slope and offset of Platt's sigmoid, with his smoothed targets; the offset
+    is 0 unless the sigmoid may be ``moved``."""
     up, down = target.sum(), (1 - target).sum()
     if not up or not down:
         return 1.0, 0.0
     goal = np.where(target > 0.5, (up + 1) / (up + 2), 1 / (down + 2))
-    a, b = 1.0, 0.0
+    out, inputs = np.array([1.0, 0.0]), np.stack([scores, np.full(len(scores), float(moved))], axis=1)
     for _ in range(50):
-        p = sigmoid(a * scores + b)
-        w = np.maximum(p * (1 - p), 1e-6)
-        ga, gb = ((p - goal) * scores).sum() + 1e-3 * (a - 1), (p - goal).sum()
-        haa, hab, hbb = (w * scores * scores).sum() + 1e-3, (w * scores).sum(), w.sum() + 1e-6
-        det = haa * hbb - hab * hab
-        if det <= 0:
-            break
-        da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
-        a, b = a - float(np.clip(da, -2, 2)), b - float(np.clip(db, -5, 5))
-    return (a, b) if a > 0 else (1.0, 0.0)
+        p = sigmoid(inputs @ out)
+        curve = (inputs * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ inputs + np.diag([1e-3, 1e-6])
+        slope = inputs.T @ (p - goal) + np.array([1e-3 * (out[0] - 1), 0.0])
+        out = out - np.clip(np.linalg.solve(curve, slope), -2, 2)
+    return (float(out[0]), float(out[1])) if out[0] > 0 else (1.0, 0.0)
 
 
 def prior_shift(target: np.ndarray, good: float, bad: float) -> float:

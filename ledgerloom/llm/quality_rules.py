@@ -78,17 +78,17 @@ def collected(rows: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.
     return features, table.column("label").to_numpy()
 
 
-def fitted(documents: DataFrame, labels: DataFrame, sample: int) -> tuple[np.ndarray, float, float, float]:
-    """Weights, bias, and slope and offset of the calibration."""
+def fitted(documents: DataFrame, labels: DataFrame, sample: int) -> tuple[np.ndarray, float, float]:
+    """Weights, and slope and offset of the calibration."""
     chosen = F.broadcast(sampled_labels(labels, "quality", sample))
     rows, target = collected(documents.join(chosen, "doc_id").select("doc_id", "text", "label"))
     held = np.arange(len(rows)) % 5 == 4
-    weights, bias = hashed.fit([r for r, h in zip(rows, held, strict=True) if not h], target[~held])
+    weights = hashed.fit([r for r, h in zip(rows, held, strict=True) if not h], target[~held])
     rest = hashed.Rows([r for r, h in zip(rows, held, strict=True) if h])
-    slope, offset = hashed.calibrate(rest.dot(weights) + bias, target[held])
+    slope, offset = hashed.calibrate(rest.dot(weights), target[held], moved=False)
     sizes = labels.select([F.count_if(F.col("quality") == v) for v in (1, 0)]).first()
     offset += hashed.prior_shift(target, *sizes)
-    return weights, bias, slope, offset
+    return weights, slope, offset
 
 
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -96,12 +96,12 @@ COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 def _judge(model):
     def run(batches):
-        weights, bias, slope, offset = model.value
+        weights, slope, offset = model.value
         for batch in batches:
             texts = W.texts_of(batch.column("text"))
             for a, b in W.slices(texts):
                 found, own = stats(texts[a:b])
-                good = hashed.sigmoid(slope * hashed.logits(found, weights, bias) + offset)
+                good = hashed.sigmoid(slope * hashed.logits(found, weights) + offset)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, b - a), *(pa.array(own[c]) for c in COLUMNS), pa.array(good)],
                     ["doc_id", *COLUMNS, "p_good"],

@@ -30,7 +30,7 @@ from ledgerloom.llm.textstats import stats
 from ledgerloom.llm.work import Work
 
 SAMPLE = 800
-KEEP_AT = 0.2
+KEEP_AT = 0.3
 ROUNDS = 100
 
 LABELLERS = ("symbols", "repetition", "shouting", "separators", "short words", "length", "sentences")
@@ -128,12 +128,12 @@ def _vote_rows(batches):
 
 def _scores(model):
     def run(batches):
-        weights, bias, slope, offset = model.value
+        weights, slope, offset = model.value
         for batch in batches:
             texts = W.texts_of(batch.column("text"))
             for a, b in W.slices(texts):
                 found = W.Words(texts[a:b], W.NOT_SPACE, lower=False)
-                good = hashed.sigmoid(slope * hashed.logits(found, weights, bias) + offset)
+                good = hashed.sigmoid(slope * hashed.logits(found, weights) + offset)
                 good[found.counts == 0] = 0.0
                 rest = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns)]
                 yield pa.RecordBatch.from_arrays([*rest, pa.array(good)], [*batch.schema.names, "_p_good"])
@@ -160,12 +160,12 @@ def learned(documents: DataFrame, sample: int = SAMPLE) -> tuple[tuple, Accuraci
     chosen = F.broadcast(parts[0].unionByName(parts[1]).groupBy("doc_id").agg(F.avg("label").alias("label")))
     rows, wanted = collected(docs.join(chosen, "doc_id").select("doc_id", "text", "label"))
     held = np.arange(len(rows)) % 5 == 4
-    weights, bias = hashed.fit([r for r, h in zip(rows, held, strict=True) if not h], wanted[~held])
+    weights = hashed.fit([r for r, h in zip(rows, held, strict=True) if not h], wanted[~held])
     rest = hashed.Rows([r for r, h in zip(rows, held, strict=True) if h])
-    slope, offset = hashed.calibrate(rest.dot(weights) + bias, (wanted[held] > 0.5).astype(float))
+    slope, offset = hashed.calibrate(rest.dot(weights), (wanted[held] > 0.5).astype(float), moved=False)
     # The sample has both classes alike; all documents have them as EM found.
     offset += hashed.prior_shift(wanted, accuracies.good, 1 - accuracies.good)
-    return (weights, bias, slope, offset), accuracies
+    return (weights, slope, offset), accuracies
 
 
 def scored(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
