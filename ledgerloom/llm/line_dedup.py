@@ -53,8 +53,9 @@ def later_copies(work: Work, keyed: DataFrame, min_lines: int, long_line: int) -
         F.xxhash64(F.lit("again"), F.reverse("line")).alias("d2"),
         (F.regexp_count("line", F.lit(_WORD)) >= long_line).alias("long"),
     )
-    places = places.dropDuplicates(list(PLACE))
+    places = work.keep(places.dropDuplicates(list(PLACE)), "places")
     named = work.keep(_named(places, ["d1", "d2"]).select(*PLACE, *NAME, "long"), "lines")
+    work.drop(places)
     is_later = F.struct(*PLACE) != F.struct(*NAME)
     alone = named.filter("long").filter(is_later).select(*PLACE)
     size = 1
@@ -107,7 +108,8 @@ def deduplicated(documents: DataFrame, min_lines: int = MIN_LINES, long_line: in
     keyed = documents.select("*", *row_key())
     deleted = later_copies(work, keyed.select("_id", "_row", "text"), min_lines, long_line)
     listed = work.keep(deleted.groupBy("_id", "_row").agg(F.collect_list("k").alias("_deleted")), "deleted")
-    rows = keyed.join(listed, ["_id", "_row"], "left").select(*documents.columns, F.col("text").alias("_text"), "_deleted")
+    # The list grows with the corpus; it is never broadcast, at no size.
+    rows = keyed.join(listed.hint("merge"), ["_id", "_row"], "left").select(*documents.columns, F.col("text").alias("_text"), "_deleted")
     schema = ", ".join(f"`{n}` {t}" for n, t in documents.dtypes) + ", _kept string, _n_deleted long"
     return rows.mapInArrow(_cut, schema)
 
