@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm.bpe import op10_bpe
 from ledgerloom.llm.decontaminate import op5_decontaminate
-from ledgerloom.llm.line_dedup import OP2_SQL, op2_line_dedup
+from ledgerloom.llm.line_dedup import OP2_RUNS_SQL, OP2_SQL, op2_line_dedup, op2_line_runs
 from ledgerloom.llm.quality_rules import op9_quality_rules
 from ledgerloom.llm.sharding import OP4_SQL, op4_sharding
 from ledgerloom.llm.similar import op3_similar
@@ -30,6 +30,7 @@ def _over(operator: Callable[..., DataFrame], *tables: str) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": _over(op1_suffix_dedup, "documents"),
     "op2_line_dedup": _over(op2_line_dedup, "documents"),
+    "op2_line_runs": _over(op2_line_runs, "documents"),
     "op3_ngram_jaccard": _over(op3_similar, "documents"),
     "op4_sharding": _over(op4_sharding, "documents"),
     "op5_decontaminate": _over(op5_decontaminate, "documents", "benchmark"),
@@ -42,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op2_line_runs": OP2_RUNS_SQL,
     "op4_sharding": OP4_SQL,
     "op8_substring_dedup": OP8_SQL,
 }

@@ -7,11 +7,14 @@ lines from a place is the pair of names of the runs of m lines from there and
 from m lines on. The name of a run is the least place where it occurs, which
 orders nothing but tells runs apart exactly, and at once says where the first
 copy is. Places whose run occurs once drop out in each round, so the rounds soon
-work on repeated text only. Places that share a name of ``min_lines`` lines form
-an interval of suffixes with a common prefix of that length; neighbouring ones
-join up to maximal repeated runs. A line is deleted if a later copy (any but the
-one at the least place) of a run of ``min_lines`` lines covers it, or if it has
-``long_line`` words or more and is a later copy by itself.
+work on repeated text only. Later copies (any but the one at the least place) of
+runs of ``min_lines`` lines overlap to cover all longer ones. A line is deleted if
+a later copy of a run covers it that has ``min_lines`` lines or more, or
+``long_line`` words or more in all, whatever its number of lines: a part of a
+copied run is copied too, so it is enough to look at runs of ``min_lines`` lines
+and at shorter ones with the words. For the words, names grow by one line a round
+and each length is judged; without ``by_words`` (as in OP2_SQL) only single lines
+are judged by words.
 
 Places are ordered by doc_id, then by line. Defined cases: NULL stays NULL; a
 text with nothing to delete is unchanged; rows that are equal in id and text are
@@ -44,35 +47,41 @@ def _named(places: DataFrame, key: list[str]) -> DataFrame:
     return spread_join(places, classes.select(*key, *names), key, "inner")
 
 
-def later_copies(work: Work, keyed: DataFrame, min_lines: int, long_line: int) -> DataFrame:
+def later_copies(work: Work, keyed: DataFrame, min_lines: int, long_line: int, by_words: bool) -> DataFrame:
     """Lines to delete: _id, _row, k (number among lines with a word)."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(_WORD))
     places = keyed.select("_id", "_row", F.posexplode(lines).alias("k", "line")).select(
         *PLACE,
         F.xxhash64("line").alias("d1"),
         F.xxhash64(F.lit("again"), F.reverse("line")).alias("d2"),
-        (F.regexp_count("line", F.lit(_WORD)) >= long_line).alias("long"),
+        F.regexp_count("line", F.lit(_WORD)).alias("words"),
     )
     places = work.keep(places.dropDuplicates(list(PLACE)), "places")
-    named = work.keep(_named(places, ["d1", "d2"]).select(*PLACE, *NAME, "long"), "lines")
+    named = work.keep(_named(places, ["d1", "d2"]).select(*PLACE, *NAME, "words", F.col("words").alias("last")), "lines")
     work.drop(places)
     is_later = F.struct(*PLACE) != F.struct(*NAME)
-    alone = named.filter("long").filter(is_later).select(*PLACE)
-    size = 1
+
+    def lines_of(runs: DataFrame, size: int) -> DataFrame:
+        return runs.filter(is_later).select("_id", "_row", F.explode(F.sequence(F.col("k"), F.col("k") + size - 1)).alias("k"))
+
+    found = lines_of(named.filter(F.col("words") >= long_line), 1)
+    size, words = 1, ("words", "last") if by_words else ()
     while size < min_lines:
-        step = min(size, min_lines - size)
-        on = named.select("_id", "_row", (F.col("k") - step).alias("k"), *(F.col(n).alias(f"b{n[1:]}") for n in NAME))
-        pairs = named.select(*PLACE, *NAME).join(on, list(PLACE))
+        step = 1 if by_words else min(size, min_lines - size)
+        ends = [F.col(n).alias(f"b{n[1:]}") for n in NAME] + [F.col(n).alias(f"b_{n}") for n in words[1:]]
+        on = named.select("_id", "_row", (F.col("k") - step).alias("k"), *ends)
+        pairs = named.select(*PLACE, *NAME, *words[:1]).join(on, list(PLACE))
         pairs = work.keep(pairs, "pairs")
         key = [f"{side}{n[1:]}" for side in ("l", "r") for n in NAME]
+        both = ((F.col("words") + F.col("b_last")).alias("words"), F.col("b_last").alias("last")) if by_words else ()
         renamed = pairs.select(
-            *PLACE, *(F.col(n).alias(f"l{n[1:]}") for n in NAME), *(F.col(f"b{n[1:]}").alias(f"r{n[1:]}") for n in NAME)
+            *PLACE, *(F.col(n).alias(f"l{n[1:]}") for n in NAME), *(F.col(f"b{n[1:]}").alias(f"r{n[1:]}") for n in NAME), *both
         )
-        named = work.keep(_named(renamed, key).select(*PLACE, *NAME), "runs")
+        named = work.keep(_named(renamed, key).select(*PLACE, *NAME, *words), "runs")
         size += step
-    covered = F.explode(F.sequence(F.col("k"), F.col("k") + min_lines - 1)).alias("k")
-    runs = named.filter(is_later).select("_id", "_row", covered)
-    return runs.unionByName(alone).distinct()
+        if by_words and size < min_lines:
+            found = found.unionByName(lines_of(named.filter(F.col("words") >= long_line), size))
+    return lines_of(named, min_lines).unionByName(found).distinct()
 
 
 def _cut(batches):
@@ -100,13 +109,15 @@ def _cut(batches):
         )
 
 
-def deduplicated(documents: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
+def deduplicated(
+    documents: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE, by_words: bool = True
+) -> DataFrame:
     """``documents`` with the columns _kept (the text that is left) and
     _n_deleted (lines) in addition."""
     spark = documents.sparkSession
     work = Work(spark, "line_dedup")
     keyed = documents.select("*", *row_key())
-    deleted = later_copies(work, keyed.select("_id", "_row", "text"), min_lines, long_line)
+    deleted = later_copies(work, keyed.select("_id", "_row", "text"), min_lines, long_line, by_words)
     listed = work.keep(deleted.groupBy("_id", "_row").agg(F.collect_list("k").alias("_deleted")), "deleted")
     # The list grows with the corpus; it is never broadcast, at no size.
     rows = keyed.join(listed.hint("merge"), ["_id", "_row"], "left").select(*documents.columns, F.col("text").alias("_text"), "_deleted")
@@ -114,13 +125,24 @@ def deduplicated(documents: DataFrame, min_lines: int = MIN_LINES, long_line: in
     return rows.mapInArrow(_cut, schema)
 
 
-def op2_line_dedup(documents: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_deleted, kept_sha256."""
-    return deduplicated(documents.select("doc_id", "text")).select(
+def _digests(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "doc_id", F.col("_n_deleted").alias("n_deleted"), F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256")
     )
 
 
+def op2_line_dedup(documents: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_deleted, kept_sha256. By the rule of OP2_SQL, which
+    judges runs of fewer than three lines one line at a time."""
+    return _digests(deduplicated(documents.select("doc_id", "text"), by_words=False))
+
+
+def op2_line_runs(documents: DataFrame) -> DataFrame:
+    """The same by the whole rule, as in the pipeline: runs of three lines or of 50
+    words in all."""
+    return _digests(deduplicated(documents.select("doc_id", "text")))
+
+
 OP2_SQL = f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
@@ -153,3 +175,35 @@ WITH lines AS (
 SELECT d.doc_id, coalesce(k.n_deleted, 0) AS n_deleted, sha256(coalesce(k.text, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
+
+OP2_RUNS_SQL = f"""
+WITH marked AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS i,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents
+), numbered AS (
+  SELECT *, len(regexp_extract_all(line, '[^ \\t\\n\\x0B\\f\\r]+')) AS words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM marked WHERE regexp_matches(line, '[^ \\t\\n\\x0B\\f\\r]')
+), runs AS (
+  SELECT a.doc_id, a.k, n.n, list(b.line ORDER BY b.k) AS run
+  FROM numbered a, range(1, {MIN_LINES + 1}) AS n(n), numbered b
+  WHERE b.doc_id = a.doc_id AND b.k BETWEEN a.k AND a.k + n.n - 1
+  GROUP BY a.doc_id, a.k, n.n
+  HAVING count(*) = n.n AND (n.n = {MIN_LINES} OR sum(b.words) >= {LONG_LINE})
+), firsts AS (
+  SELECT run, min((doc_id, k)) AS first FROM runs GROUP BY run
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS k
+  FROM runs JOIN firsts USING (run) WHERE (doc_id, k) <> first
+), rest AS (
+  SELECT m.doc_id, count(g.k) AS n_deleted,
+    string_agg(m.line, chr(10) ORDER BY m.i) FILTER (WHERE g.k IS NULL) AS text
+  FROM marked m
+  LEFT JOIN numbered n ON n.doc_id = m.doc_id AND n.i = m.i
+  LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.k = n.k
+  GROUP BY m.doc_id
+)
+SELECT d.doc_id, coalesce(r.n_deleted, 0) AS n_deleted, sha256(coalesce(r.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN rest r USING (doc_id)
+"""
