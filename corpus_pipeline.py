@@ -34,7 +34,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the least id."""
-    others = similar_documents(docs).filter("component_id <> doc_id").select("doc_id").distinct()
+    others = similar_documents(docs, count_links=False).filter("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
 

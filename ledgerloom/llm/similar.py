@@ -22,8 +22,12 @@ the least document reachable over links.
    member; only groups that reach the needed overlap are opened and compared
    member by member.
 
-So every pair of sets is either compared, known not to reach the threshold, or
-already in one component. A token of many documents is dealt out by salt; a
+5. Links are counted inside the components, where all of them are: each set meets
+   every other set of its component that shares a token with it, in groups of
+   about ``TASK_TOKENS`` shingles.
+
+For the components, every pair of sets is either compared, known not to reach the threshold, or
+already in one component; for the count, every pair is compared. A token of many documents is dealt out by salt; a
 group with many queries is copied to several tasks.
 
 Defined cases: a NULL text or one without words has an empty set and is linked
@@ -52,6 +56,8 @@ CELLS, BLOCK = 1 << 18, 1 << 10
 GROUP = 64
 #: Rows of one token, or queries of one group, that one task gets.
 TASK_ROWS = 2_000
+#: Shingles of the sets that one task holds to count links.
+TASK_TOKENS = 1 << 18
 
 
 def sets_of(texts: list[bytes | None], size: int) -> list[np.ndarray]:
@@ -147,12 +153,13 @@ def _profile(size: int, percent: int, cells):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("mark"),
                     pa.array(n),
                     pa.array(digest),
                     pa.array(total),
                     W.lists(values, np.array([len(f) for f in firsts], np.int64)),
                 ],
-                ["doc_id", "n", "d1", "d2", "firsts"],
+                ["doc_id", "mark", "n", "d1", "d2", "firsts"],
             )
 
     return run
@@ -197,7 +204,8 @@ def _packed(batches):
     for batch in batches:
         texts = W.texts_of(batch.column("text"))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([pack(t or b"") for t in texts], pa.binary())], ["doc", "packed"]
+            [batch.column("doc_id"), batch.column("mark"), pa.array([pack(t or b"") for t in texts], pa.binary())],
+            ["doc", "mark", "packed"],
         )
 
 
@@ -276,7 +284,7 @@ def _links(
     copies = members.join(load, "grp").select(
         "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "role", "doc"
     )
-    rows = spread_join(queries.unionByName(copies), texts, ["doc"], "inner")
+    rows = spread_join(queries.unionByName(copies), texts.select("doc", "packed"), ["doc"], "inner")
     parts = shuffle_partitions(work.spark)
     return (
         rows.repartition(parts, "grp", "salt")
@@ -285,30 +293,145 @@ def _links(
     )
 
 
-def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+class Overlaps:
+    """Members by shingle, so that a set meets only those that share one with it."""
+
+    def __init__(self, sets: list[np.ndarray], copies: list[int]):
+        self.sizes, self.copies = np.array([len(s) for s in sets], np.int64), np.array(copies, np.int64)
+        tokens = np.concatenate(sets)
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, starts = np.unique(tokens[order], return_index=True)
+        self.starts = np.append(starts, len(tokens))
+        self.owners = np.repeat(np.arange(len(sets)), self.sizes)[order]
+
+    def linked(self, own: np.ndarray, percent: int, but: int | None = None) -> int:
+        """Copies of the members linked with a set, other than member ``but``."""
+        at = np.searchsorted(self.tokens, own)
+        at[at == len(self.tokens)] = 0
+        at = at[self.tokens[at] == own]
+        first, many = self.starts[at], self.starts[at + 1] - self.starts[at]
+        each = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        both = np.bincount(self.owners[each], minlength=len(self.sizes))
+        is_linked = 100 * both >= percent * (len(own) + self.sizes - both)
+        if but is not None:
+            is_linked[but] = False
+        return int(self.copies[is_linked].sum())
+
+
+def _count_links(size: int, percent: int):
+    """Rows sorted by (root, chunk, salt, not member, doc, mark); yields how many
+    documents are linked with each set that asks."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        at, last, index, members = None, None, None, []
+        unpack = zstandard.ZstdDecompressor().decompress
+        found: list[tuple[int, int, int]] = []
+
+        def build():
+            made = Overlaps([m[2] for m in members], [m[3] for m in members])
+            found.extend((m[0], m[1], made.linked(m[2], percent, i)) for i, m in enumerate(members) if m[4])
+            return made
+
+        def batch_of():
+            columns = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)] if found else [pa.array([], pa.int64())] * 3
+            found.clear()
+            return pa.RecordBatch.from_arrays(columns, ["doc", "mark", "linked"])
+
+        # A few rows at a time: unpacked texts are several times their size.
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
+            sets = sets_of([unpack(x) for x in batch.column("packed").to_pylist()], size)
+            names = ("root", "chunk", "salt", "doc", "mark", "copies", "member", "asks")
+            columns = [batch.column(c).to_pylist() for c in names]
+            for root, chunk, salt, doc, mark, copies, member, asks, own in zip(*columns, sets, strict=True):
+                if at != (root, chunk, salt):
+                    if members and index is None:
+                        build()
+                    at, last, index, members = (root, chunk, salt), None, None, []
+                if last == (doc, mark):  # A repeated row.
+                    continue
+                last = (doc, mark)
+                if member:
+                    members.append((doc, mark, own, copies, asks))
+                elif members:
+                    index = index or build()
+                    found.append((doc, mark, index.linked(own, percent)))
+            yield batch_of()
+        if members and index is None:
+            build()
+        yield batch_of()
+
+    return run
+
+
+def _link_counts(work: Work, sets: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """How many documents are linked with each set (doc, mark) by another set;
+    ``sets`` has (doc, mark, n, copies, root)."""
+    load = sets.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens")).filter("members > 1")
+    load = load.select(
+        "root",
+        F.ceil(F.col("tokens") / TASK_TOKENS).cast("int").alias("chunks"),
+        F.ceil(F.col("members") / TASK_ROWS).cast("int").alias("salts"),
+    )
+    home = spread_join(sets, load, ["root"], "inner").select(
+        "*",
+        F.pmod(F.xxhash64("doc", "mark"), F.col("chunks")).cast("int").alias("own"),
+        F.pmod(F.xxhash64("mark", "doc"), F.col("salts")).cast("int").alias("dealt"),
+    )
+
+    def place(chunk, salt, member, asks):
+        return F.struct(chunk.alias("chunk"), salt.alias("salt"), member.alias("member"), asks.alias("asks"))
+
+    # A set asks each chunk once, and is a member of its own in every salt.
+    yes, no = F.lit(True), F.lit(False)
+    asking = F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: place(c, F.col("dealt"), c == F.col("own"), yes)
+    )
+    copied = F.transform(
+        F.filter(F.sequence(F.lit(0), F.col("salts") - 1), lambda s: s != F.col("dealt")),
+        lambda s: place(F.col("own"), s, yes, no),
+    )
+    placed = home.select("root", "doc", "mark", "copies", F.explode(F.concat(asking, copied)).alias("p"))
+    placed = placed.select("root", "doc", "mark", "copies", "p.*")
+    rows = spread_join(placed, texts, ["doc", "mark"], "inner")
+    parts = shuffle_partitions(work.spark)
+    return (
+        rows.repartition(parts, "root", "chunk", "salt")
+        .sortWithinPartitions("root", "chunk", "salt", ~F.col("member"), "doc", "mark")
+        .mapInArrow(_count_links(size, percent), "doc long, mark long, linked long")
+        .groupBy("doc", "mark")
+        .agg(F.sum("linked").alias("linked"))
+    )
+
+
+def similar_documents(
+    documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT, count_links: bool = True
+) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, n_links.
 
-    ``n_links`` counts the links found on the way to the component that touch
-    the document's set; links inside a component that was already known are not
-    searched, so it is no degree.
+    ``n_links`` is the number of other documents linked with this one, those with
+    the same set included. Of documents with several texts under one id, each
+    set counts as one. Without ``count_links`` there is no such column.
     """
     spark = documents.sparkSession
     work = Work(spark, "similar")
-    docs = documents.select("doc_id", "text")
+    # Tells texts under one id apart, for the count of links.
+    mark = F.xxhash64("text") if count_links else F.lit(0).cast("long")
+    docs = documents.select("doc_id", "text", mark.alias("mark"))
     cells = spark.sparkContext.broadcast(token_cells(docs, size))
     mean = float(cells.value.sum()) / CELLS
     profile = work.keep(
         docs.mapInArrow(
-            _profile(size, percent, cells), "doc_id long, n long, d1 long, d2 long, firsts array<long>"
+            _profile(size, percent, cells), "doc_id long, mark long, n long, d1 long, d2 long, firsts array<long>"
         ),
         "profile",
     )
 
     # 1. One document for each set.
     same = profile.filter("doc_id IS NOT NULL AND n > 0")
-    rep = same.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"))
+    first = F.min(F.struct("doc_id", "mark")).alias("first")
+    rep = same.groupBy("n", "d1", "d2").agg(first).select("n", "d1", "d2", F.col("first.doc_id").alias("rep"), F.col("first.mark").alias("mark"))
     reps = work.keep(
-        spread_join(same.select("doc_id", "n", "d1", "d2"), rep, ["n", "d1", "d2"], "inner").select("doc_id", "n", "rep"),
+        spread_join(same.select("doc_id", "n", "d1", "d2"), rep, ["n", "d1", "d2"], "inner").select("doc_id", "n", "rep", "mark"),
         "reps",
     )
 
@@ -337,7 +460,7 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     best = work.keep(best, "best")
     asked = work.keep(best.select("doc", "grp").unionByName(across).distinct(), "asked")
     wanted = met.select("doc").distinct()
-    packed = docs.filter("doc_id IS NOT NULL").mapInArrow(_packed, "doc long, packed binary")
+    packed = docs.filter("doc_id IS NOT NULL").mapInArrow(_packed, "doc long, mark long, packed binary")
     texts = work.keep(packed.join(wanted, "doc", "left_semi"), "texts")
     alone = asked.select("grp").distinct().select("grp", F.col("grp").alias("doc"), F.lit(0).alias("role"))
     links = work.keep(_links(work, asked, alone, texts, size, percent), "links")
@@ -399,12 +522,24 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
 
     # Back to all rows.
     reach = roots.select(F.col("node").alias("rep"), "root")
-    ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("links"))
-    of_rep = spread_join(reps.select("rep").distinct(), reach, ["rep"], "left").join(ends, "rep", "left")
+    entries = reps.select("doc_id", "n", "rep", "mark").distinct()
+    if not count_links:
+        of_doc = spread_join(entries, reach, ["rep"], "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "rep")).alias("reached"))
+        return counts.join(work.keep(of_doc, "of_doc"), "doc_id", "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("reached", "doc_id").alias("component_id")
+        )
+
+    # 5. Links inside the components.
+    copies = entries.groupBy("rep", "mark", "n").agg(F.count(F.lit(1)).alias("copies"))
+    sets = work.keep(spread_join(copies, reach, ["rep"], "left").withColumnRenamed("rep", "doc"), "sets")
+    linked = _link_counts(work, sets.filter("root IS NOT NULL"), texts, size, percent)
+    of_set = sets.join(work.keep(linked, "linked"), ["doc", "mark"], "left").select(
+        F.col("doc").alias("rep"), "mark", "root", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links")
+    )
     of_doc = (
-        spread_join(reps.select("doc_id", "rep").distinct(), of_rep, ["rep"], "inner")
+        spread_join(entries, of_set, ["rep", "mark"], "inner")
         .groupBy("doc_id")
-        .agg(F.min(F.coalesce("root", "rep")).alias("reached"), F.max("links").alias("links"))
+        .agg(F.min(F.coalesce("root", "rep")).alias("reached"), F.sum("links").alias("links"))
     )
     return counts.join(work.keep(of_doc, "of_doc"), "doc_id", "left").select(
         "doc_id",
