@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm.bpe import op10_bpe
 from ledgerloom.llm.decontaminate import op5_decontaminate
 from ledgerloom.llm.line_dedup import OP2_RUNS_SQL, OP2_SQL, op2_line_dedup, op2_line_runs
+from ledgerloom.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from ledgerloom.llm.quality_rules import op9_quality_rules
 from ledgerloom.llm.sharding import OP4_SQL, op4_sharding
 from ledgerloom.llm.similar import op3_similar
@@ -39,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": _over(op8_substring_dedup, "documents"),
     "op9_quality_rules": _over(op9_quality_rules, "documents", "labels"),
     "op10_bpe": _over(op10_bpe, "documents"),
+    "op13_prefix_trie": _over(op13_prefix_trie, "conversations"),
 }
 
 ORACLE: dict[str, str] = {
@@ -46,4 +48,5 @@ ORACLE: dict[str, str] = {
     "op2_line_runs": OP2_RUNS_SQL,
     "op4_sharding": OP4_SQL,
     "op8_substring_dedup": OP8_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
