@@ -198,7 +198,7 @@ def _shared(batches):
         )
 
 
-def _packed(batches):
+def packed_texts(batches):
     """Texts compressed for the shuffles: a third of the size of their sets."""
     pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
@@ -272,7 +272,7 @@ def _open_groups(size: int, percent: int):
     return run
 
 
-def _links(
+def links_in_groups(
     work: Work, asked: DataFrame, members: DataFrame, texts: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """Links that queries ``asked`` (grp, doc) have in groups ``members`` (grp, doc, role)."""
@@ -460,10 +460,10 @@ def similar_documents(
     best = work.keep(best, "best")
     asked = work.keep(best.select("doc", "grp").unionByName(across).distinct(), "asked")
     wanted = met.select("doc").distinct()
-    packed = docs.filter("doc_id IS NOT NULL").mapInArrow(_packed, "doc long, mark long, packed binary")
+    packed = docs.filter("doc_id IS NOT NULL").mapInArrow(packed_texts, "doc long, mark long, packed binary")
     texts = work.keep(packed.join(wanted, "doc", "left_semi"), "texts")
     alone = asked.select("grp").distinct().select("grp", F.col("grp").alias("doc"), F.lit(0).alias("role"))
-    links = work.keep(_links(work, asked, alone, texts, size, percent), "links")
+    links = work.keep(links_in_groups(work, asked, alone, texts, size, percent), "links")
     roots = work.keep(components(work, links), "roots")
 
     # 4. Tokens that join different components: the matrix.
@@ -515,7 +515,7 @@ def similar_documents(
         .distinct()
     )
     asked = work.keep(asked, "asked")
-    more = work.keep(_links(work, asked, groups, texts, size, percent), "links")
+    more = work.keep(links_in_groups(work, asked, groups, texts, size, percent), "links")
     if not more.isEmpty():
         links = links.unionByName(more)
         roots = work.keep(components(work, links), "roots")
