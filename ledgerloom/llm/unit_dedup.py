@@ -1,23 +1,29 @@
-"""Substring dedup by hashing lines.
-
-A unit is a line; normalised, its words are in lower case and parted by single
-spaces. Units of ``min_words`` words or more are grouped by the digest of the
-normalised text over all documents, with map-side combining; the occurrence with
-the least (doc_id, offset) stays and all others are removed. What stays is
-listed with its byte offsets in the original text.
-
-Defined cases: NULL is an empty text; lines of fewer words are never removed; a
-text of which all is removed becomes empty; rows that are equal in id and text
-are one text and keep the same units; a row without doc_id comes before all
-others; other columns are not read.
+"""Substring dedup by hashing clauses.
+
+A unit is a clause: it ends after a line break or after one of ``. , ; : ! ?``
+before white space, and all white space that follows belongs to it. Normalised,
+its words are in lower case (A-Z) and parted by single spaces. Units are grouped
+by digest over all documents, with map-side combining; the occurrence with the
+least (doc_id, offset) is the first, all others are later copies. Later copies are
+removed where neighbouring ones have ``RUN_WORDS`` words or more together, so a
+clause that happens to recur stays, and a copied passage goes from its first whole
+clause to its last. The bound is 40 words because a passage of more than 50 words
+loses parts of the clauses at its two ends. What stays is listed with its byte
+offsets in the original text.
+
+Units without a word (only white space at the start of a text) are neither
+removed nor compared. Defined cases: NULL is an empty text, which has no unit; a
+text of which all is removed becomes empty; rows that are equal in id and text are
+one text and keep the same units; a row without doc_id comes before all others;
+other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,90 +31,169 @@ from ledgerloom.llm import words as W
 from ledgerloom.llm.work import Work, row_key
 from ledgerloom.operators.lookup import spread_join
 
-MIN_WORDS = 10
-
-
-def normalised(line: bytes) -> list[bytes]:
-    """Words with A-Z lowered."""
-    return line.lower().split()
-
-
-def _units(min_words: int):
+RUN_WORDS = 40
+_ENDS = np.zeros(256, bool)
+_ENDS[[ord(c) for c in ".,;:!?"]] = True
+_ROUND = np.uint64(0x9FB21C651E98DF25)
+
+
+def clauses(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
+    """Of the units with a word of some texts: text, first and past the last byte,
+    words, and two digests of the words in order."""
+    found = W.Words(texts, W.NOT_SPACE, lower=True)
+    n = len(found.starts)
+    if not n:
+        empty = np.zeros(0, np.int64)
+        return empty, empty, empty, empty, empty, empty
+    breaks = np.zeros(len(found.data) + 1, np.int64)
+    np.cumsum(found.data == 0x0A, out=breaks[1:])
+    begins = np.ones(n, bool)
+    ended = _ENDS[found.data[found.ends[:-1] - 1]]
+    begins[1:] = ended | (breaks[found.starts[1:]] > breaks[found.ends[:-1]])
+    heads = np.flatnonzero(begins)
+    place = (np.arange(n) - np.repeat(heads, np.diff(np.append(heads, n)))).astype(np.uint64)
+    digests = [
+        np.add.reduceat(W.mixed((found.hashes ^ np.uint64(seed)) + place * _ROUND), heads).view(np.int64)
+        for seed in (0, 0x5851F42D4C957F2D)
+    ]
+    doc = found.doc[heads]
+    origin = found.begin[doc]
+    start = found.starts[heads] - origin
+    # White space before the first word is part of no unit with a word, unless the
+    # line goes on; a unit reaches to the next one or to the end of its text.
+    first = np.append(True, doc[1:] != doc[:-1])
+    lead = first & (breaks[found.starts[heads]] == breaks[origin])
+    start[lead] = 0
+    length = found.begin[doc + 1] - 1 - origin
+    end = np.append(start[1:], 0)
+    last = np.append(first[1:], True)
+    end[last] = length[last]
+    return doc, start, end, np.diff(np.append(heads, n)), *digests
+
+
+def _units(batches):
+    for batch in batches:
+        texts = W.texts_of(batch.column("text"))
+        keys, rows = (batch.column(c).to_numpy() for c in ("_id", "_row"))
+        for a, b in W.slices(texts):
+            doc, start, end, words, d1, d2 = clauses(texts[a:b])
+            firsts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc
+            k = np.arange(len(doc)) - np.repeat(firsts, np.diff(np.append(firsts, len(doc))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (keys[a + doc], rows[a + doc], k, start, end, words, d1, d2)],
+                ["_id", "_row", "k", "at", "until", "words", "d1", "d2"],
+            )
+
+
+def removed_spans(later: list[tuple[int, int, int, int]], run_words: int) -> tuple[int, list[tuple[int, int]]]:
+    """Of later copies (k, at, until, words) the number removed and their spans."""
+    count, spans, run = 0, [], []
+
+    def settle():
+        nonlocal count
+        if sum(u[3] for u in run) >= run_words:
+            count += len(run)
+            spans.append((run[0][1], run[-1][2]))
+
+    for unit in sorted(later):
+        if run and unit[0] != run[-1][0] + 1:
+            settle()
+            run = []
+        run.append(unit)
+    if run:
+        settle()
+    return count, spans
+
+
+def _remove(run_words: int):
     def run(batches):
-        digest = xxhash.xxh3_128_digest
         for batch in batches:
             out: list[list] = [[] for _ in range(4)]
-            columns = (W.texts_of(batch.column("text")), batch.column("_id").to_pylist(), batch.column("_row").to_pylist())
-            for text, key, row in zip(*columns, strict=True):
-                at = 0
-                for line in text.split(b"\n") if text else ():
-                    words = normalised(line)
-                    if len(words) >= min_words:
-                        for column, value in zip(out, (key, row, at, digest(b" ".join(words))), strict=True):
-                            column.append(value)
-                    at += len(line) + 1
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["_id", "_row", "at", "digest"])
+            for text, later in zip(W.texts_of(batch.column("text")), batch.column("later").to_pylist(), strict=True):
+                text = text or b""
+                units = [(u["k"], u["at"], u["until"], u["words"]) for u in later or ()]
+                count, gone = removed_spans(units, run_words)
+                spans, at = [], 0
+                for first, past in [*gone, (len(text), len(text))]:
+                    if first > at:
+                        spans.append((at, first))
+                    at = past
+                kept = b"".join(text[a:b] for a, b in spans)
+                for column, value in zip(out, (count, hashlib.sha256(kept).hexdigest(), spans, kept), strict=True):
+                    column.append(value)
+            kinds = (pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.binary())
+            arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+            arrays[3] = arrays[3].cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *arrays], ["doc_id", "n_removed", "kept_sha256", "kept_spans", "kept"]
+            )
 
     return run
 
 
-def _remove(batches):
-    for batch in batches:
-        out: list[list] = [[] for _ in range(4)]
-        for text, gone in zip(W.texts_of(batch.column("text")), batch.column("gone").to_pylist(), strict=True):
-            gone, at, spans, lines = set(gone or ()), 0, [], []
-            for line in text.split(b"\n") if text else ():
-                if at not in gone:
-                    spans.append((at, at + len(line)))
-                    lines.append(line)
-                at += len(line) + 1
-            kept = b"\n".join(lines)
-            for column, value in zip(out, (len(gone), hashlib.sha256(kept).hexdigest(), spans, kept), strict=True):
-                column.append(value)
-        kinds = (pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.binary())
-        arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-        arrays[3] = arrays[3].cast(pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", "n_removed", "kept_sha256", "kept_spans", "kept"])
-
-
-def unit_deduplicated(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def unit_deduplicated(documents: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """Per document: doc_id, n_removed (units), kept_sha256, kept_spans (first
-    and past the last byte of each unit that stays), kept (text)."""
+    and past the last byte of each stretch that stays), kept (text)."""
     spark = documents.sparkSession
     work = Work(spark, "unit_dedup")
     keyed = documents.select("doc_id", "text", *row_key())
-    found = keyed.select("_id", "_row", "text").mapInArrow(_units(min_words), "_id long, _row long, at long, digest binary")
-    units = work.keep(found, "units").dropDuplicates(["_id", "_row", "at"])
-    first = F.min(F.struct("_id", "_row", "at")).alias("first")
-    groups = units.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), first).filter("n > 1").select("digest", "first")
-    later = spread_join(units, groups, ["digest"], "inner").filter(F.struct("_id", "_row", "at") != F.col("first"))
-    gone = work.keep(later.groupBy("_id", "_row").agg(F.collect_list("at").alias("gone")), "gone")
-    return keyed.join(gone, ["_id", "_row"], "left").select("doc_id", "text", "gone").mapInArrow(
-        _remove, "doc_id long, n_removed long, kept_sha256 string, kept_spans array<array<long>>, kept string"
+    schema = "_id long, _row long, k long, at long, until long, words long, d1 long, d2 long"
+    units = work.keep(keyed.select("_id", "_row", "text").mapInArrow(_units, schema), "units")
+    digest = ["d1", "d2"]
+    groups = units.groupBy(*digest).agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least")).filter("n > 1")
+    again = work.keep(
+        spread_join(units, groups.select(*digest, "least"), digest, "inner").dropDuplicates(["_id", "_row", "k"]), "again"
+    )
+    work.drop(units)
+    first = again.filter("_id = least").groupBy(*digest).agg(F.min(F.struct("_row", "at")).alias("first"))
+    is_later = (F.col("_id") > F.col("least")) | (F.struct("_row", "at") != F.col("first"))
+    later = spread_join(again, first, digest, "inner").filter(is_later)
+    copies = F.collect_list(F.struct("k", "at", "until", "words")).alias("later")
+    listed = later.groupBy("_id", "_row").agg(copies, F.sum("words").alias("n")).filter(F.col("n") >= run_words)
+    listed = work.keep(listed.drop("n"), "later")
+    # The list grows with the corpus; it is never broadcast, at no size.
+    return keyed.join(listed.hint("merge"), ["_id", "_row"], "left").select("doc_id", "text", "later").mapInArrow(
+        _remove(run_words), "doc_id long, n_removed long, kept_sha256 string, kept_spans array<array<long>>, kept string"
     )
 
 
 def op8_substring_dedup(documents: DataFrame) -> DataFrame:
-    return unit_deduplicated(documents).select("doc_id", "n_removed", "kept_sha256")
+    """Per document: doc_id, n_removed, kept_sha256, kept_spans (as text)."""
+    spans = F.transform("kept_spans", lambda s: F.concat_ws("-", s[0].cast("string"), s[1].cast("string")))
+    return unit_deduplicated(documents).select("doc_id", "n_removed", "kept_sha256", F.concat_ws(",", spans).alias("kept_spans"))
 
 
 OP8_SQL = f"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) AS i
+WITH cut AS (
+  SELECT doc_id, regexp_extract_all(text,
+    '[^\\n]*?(?:[.,;:!?][ \\t\\n\\x0B\\f\\r]|\\n)[ \\t\\n\\x0B\\f\\r]*|[^\\n]+') AS parts
   FROM documents
+), numbered AS (
+  SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM cut
 ), units AS (
-  SELECT doc_id, i, line, regexp_extract_all(
-    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') AS unit
-  FROM lines
+  SELECT doc_id, i, part, regexp_extract_all(
+      translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t\\n\\x0B\\f\\r]+') AS unit,
+    sum(strlen(part)) OVER (PARTITION BY doc_id ORDER BY i) AS until
+  FROM numbered
 ), marked AS (
-  SELECT *, len(unit) >= {MIN_WORDS} AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, i) > 1 AS gone FROM units
+  SELECT *, len(unit) > 0 AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, i) > 1 AS later FROM units
+), islands AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, later ORDER BY i) AS island FROM marked
+), judged AS (
+  SELECT *, later AND sum(len(unit)) OVER (PARTITION BY doc_id, later, island) >= {RUN_WORDS} AS gone FROM islands
+), stretched AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS stretch FROM judged
+), stretches AS (
+  SELECT doc_id, gone, count(*) AS n, min(until - strlen(part)) AS first, max(until) AS past,
+    string_agg(part, '' ORDER BY i) AS text
+  FROM stretched GROUP BY doc_id, gone, stretch
 ), kept AS (
-  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
-    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text
-  FROM marked GROUP BY doc_id
+  SELECT doc_id, sum(n) FILTER (WHERE gone) AS n_removed,
+    string_agg(text, '' ORDER BY first) FILTER (WHERE NOT gone) AS text,
+    string_agg(first || '-' || past, ',' ORDER BY first) FILTER (WHERE NOT gone) AS spans
+  FROM stretches GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+SELECT d.doc_id, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256,
+  coalesce(k.spans, '') AS kept_spans
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """

@@ -195,7 +195,8 @@ def fitted(rows: DataFrame, components: int = COMPONENTS) -> Spectrum | None:
     if sums is None:
         return None
     n, total, products = sums
-    centred = n * products - np.outer(total, total)
+    wide = np.array(total, object)  # Not 64 bits: products of sums are longer.
+    centred = n * products - np.outer(wide, wide)
     trace = int(np.trace(centred))
     if not trace:
         return Spectrum(n, total, np.zeros((0, len(total))), [], [])

@@ -7,7 +7,8 @@ from llm_frames import clashing, docs  # noqa: F401
 from ledgerloom.llm import catalog
 from ledgerloom.llm.bpe import op10_bpe
 from ledgerloom.llm.decontaminate import op5_decontaminate
-from ledgerloom.llm.line_dedup import op2_line_dedup
+from ledgerloom.llm.line_dedup import op2_line_dedup, op2_line_runs
+from ledgerloom.llm.minhash import op11_minhash
 from ledgerloom.llm.quality_rules import op9_quality_rules
 from ledgerloom.llm.sharding import op4_sharding
 from ledgerloom.llm.similar import op3_similar
@@ -21,6 +22,7 @@ LABELS = "doc_id long, quality int, toxic int"
 OPERATORS = {
     "op1": op1_suffix_dedup,
     "op2": op2_line_dedup,
+    "op2_runs": op2_line_runs,
     "op3": op3_similar,
     "op4": op4_sharding,
     "op5": lambda d: op5_decontaminate(d, d.sparkSession.createDataFrame([(1, "one"), (2, None), (None, "")], BENCH)),
@@ -29,6 +31,7 @@ OPERATORS = {
     "op8": op8_substring_dedup,
     "op9": lambda d: op9_quality_rules(d, d.sparkSession.createDataFrame([(4, 1, 0), (6, 0, 1), (99, 0, 1), (None, 1, 1)], LABELS)),
     "op10": op10_bpe,
+    "op11": op11_minhash,
 }
 
 
@@ -55,6 +58,8 @@ def test_defined_results(docs):
     given = docs(edge_rows())
     near = {(r.doc_id, r.n_shingles, r.component_id) for r in op3_similar(given).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (None, 1, None)} <= near
+    pairs = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in op11_minhash(given).collect()}
+    assert {(1, 0, 1, True), (4, 1, 4, True), (5, 1, 4, False), (7, 1, 7, True), (None, 2, None, True)} <= pairs
     hit = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in OPERATORS["op5"](given).collect()}
     assert hit[4] == (1, 1, True) and hit[1] == (0, 0, False) and hit[7] == (1, 0, False)
     cut = {r.doc_id: (r.n_bytes, r.n_removed) for r in op1_suffix_dedup(given).collect()}
@@ -68,7 +73,7 @@ def op9_rejected(given):
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(catalog.ORACLE) <= set(catalog.QUERIES)
 
 
