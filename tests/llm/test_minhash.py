@@ -67,7 +67,7 @@ def test_chains_and_thresholds(docs):
 
 def test_one_bucket_of_many(docs, monkeypatch):
     """A crowd that shares buckets without being linked, and one that is."""
-    monkeypatch.setattr(T, "GROUP", 4)
+    monkeypatch.setattr(T, "GROUP_TOKENS", 200)
     shared = " ".join(f"c{i}" for i in range(30))
     rng = random.Random(6)
     rows = [(i, shared + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(12))) for i in range(120)]
