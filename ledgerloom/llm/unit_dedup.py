@@ -28,10 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import words as W
-from ledgerloom.llm.work import Work, row_key
-from ledgerloom.operators.lookup import spread_join
+from ledgerloom.llm.work import Work, row_key, shuffle_partitions
 
 RUN_WORDS = 40
+#: Units among which a task looks for copies before it sends any.
+TOGETHER = 1 << 19
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".,;:!?"]] = True
 _ROUND = np.uint64(0x9FB21C651E98DF25)
@@ -71,86 +72,130 @@ def clauses(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
     return doc, start, end, np.diff(np.append(heads, n)), *digests
 
 
-def _units(batches):
+def _settled(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+    """Of some units the first of each digest, to be compared with those of other
+    tasks (``known`` 0), and all others, which are later copies for certain."""
+    key, row, k, words, d1, d2 = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((k, row, key, d2, d1))
+    key, row, k, words, d1, d2 = (c[order] for c in (key, row, k, words, d1, d2))
+    start = np.ones(len(k), bool)
+    start[1:] = (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])
+    first = np.flatnonzero(start)[np.cumsum(start) - 1]
+    again = (key == key[first]) & (row == row[first]) & (k == k[first]) & ~start
+    known = np.where(start, 0, 1 + (W.mixed((row ^ k).view(np.uint64)) >> np.uint64(34)).astype(np.int64))
+    use = ~again  # A repeated row has the same places.
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c[use]) for c in (key, row, k.astype(np.int32), words.astype(np.int32), d1, d2.astype(np.int32), known.astype(np.int32))],
+        ["_id", "_row", "k", "words", "d1", "d2", "known"],
+    )
+
+
+def _units(together: int):
+    def run(batches):
+        parts, size = [], 0
+        for batch in batches:
+            texts = W.texts_of(batch.column("text"))
+            keys, rows = (batch.column(c).to_numpy() for c in ("_id", "_row"))
+            for a, b in W.slices(texts):
+                doc, _, _, words, d1, d2 = clauses(texts[a:b])
+                if not len(doc):
+                    continue
+                firsts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+                k = np.arange(len(doc)) - np.repeat(firsts, np.diff(np.append(firsts, len(doc))))
+                parts.append([keys[a + doc], rows[a + doc], k, words, d1, d2 >> 32])
+                size += len(doc)
+                if size >= together:
+                    yield _settled(parts)
+                    parts, size = [], 0
+        if parts:
+            yield _settled(parts)
+
+    return run
+
+
+def _later(batches):
+    """Rows sorted by (known, d1, d2, place): all but the first place of each
+    digest, and those known to be later."""
+    last = None
     for batch in batches:
-        texts = W.texts_of(batch.column("text"))
-        keys, rows = (batch.column(c).to_numpy() for c in ("_id", "_row"))
-        for a, b in W.slices(texts):
-            doc, start, end, words, d1, d2 = clauses(texts[a:b])
-            firsts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc
-            k = np.arange(len(doc)) - np.repeat(firsts, np.diff(np.append(firsts, len(doc))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (keys[a + doc], rows[a + doc], k, start, end, words, d1, d2)],
-                ["_id", "_row", "k", "at", "until", "words", "d1", "d2"],
-            )
-
-
-def removed_spans(later: list[tuple[int, int, int, int]], run_words: int) -> tuple[int, list[tuple[int, int]]]:
-    """Of later copies (k, at, until, words) the number removed and their spans."""
-    count, spans, run = 0, [], []
-
-    def settle():
-        nonlocal count
-        if sum(u[3] for u in run) >= run_words:
-            count += len(run)
-            spans.append((run[0][1], run[-1][2]))
-
-    for unit in sorted(later):
-        if run and unit[0] != run[-1][0] + 1:
-            settle()
+        if not batch.num_rows:
+            continue
+        d1, d2, key, row, k, known = (batch.column(c).to_numpy() for c in ("d1", "d2", "_id", "_row", "k", "known"))
+        start = np.ones(len(k), bool)
+        start[1:] = (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])
+        at = np.flatnonzero(start)[np.cumsum(start) - 1]
+        places = [c[at] for c in (key, row, k)]
+        if last is not None and (d1[0], d2[0]) == last[:2]:
+            for c, value in zip(places, last[2:], strict=True):
+                c[at == 0] = value
+        later = (known > 0) | (key != places[0]) | (row != places[1]) | (k != places[2])
+        last = (d1[-1], d2[-1], *(c[-1] for c in places))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).filter(pa.array(later)) for c in ("_id", "_row", "k", "words")], ["_id", "_row", "k", "words"]
+        )
+
+
+def removed_units(later: set[int], words: np.ndarray, run_words: int) -> list[tuple[int, int]]:
+    """Runs (first, past the last) of neighbouring ``later`` units with
+    ``run_words`` words or more."""
+    out, run = [], []
+    for k in [*sorted(later), -1]:
+        if run and k != run[-1] + 1:
+            if words[run[0]: run[-1] + 1].sum() >= run_words:
+                out.append((run[0], run[-1] + 1))
             run = []
-        run.append(unit)
-    if run:
-        settle()
-    return count, spans
+        run.append(k)
+    return out
 
 
 def _remove(run_words: int):
     def run(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in range(4)]
-            for text, later in zip(W.texts_of(batch.column("text")), batch.column("later").to_pylist(), strict=True):
-                text = text or b""
-                units = [(u["k"], u["at"], u["until"], u["words"]) for u in later or ()]
-                count, gone = removed_spans(units, run_words)
-                spans, at = [], 0
-                for first, past in [*gone, (len(text), len(text))]:
-                    if first > at:
-                        spans.append((at, first))
-                    at = past
-                kept = b"".join(text[a:b] for a, b in spans)
-                for column, value in zip(out, (count, hashlib.sha256(kept).hexdigest(), spans, kept), strict=True):
-                    column.append(value)
-            kinds = (pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.binary())
-            arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
-            arrays[3] = arrays[3].cast(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *arrays], ["doc_id", "n_removed", "kept_sha256", "kept_spans", "kept"]
-            )
+            texts, lists = W.texts_of(batch.column("text")), batch.column("later").to_pylist()
+            for a, b in W.slices(texts):
+                out: list[list] = [[] for _ in range(4)]
+                doc, start, end, words, _, _ = clauses([t if x else b"" for t, x in zip(texts[a:b], lists[a:b], strict=True)])
+                bounds = np.searchsorted(doc, np.arange(b - a + 1))
+                for i in range(b - a):
+                    text, at, spans, count = texts[a + i] or b"", 0, [], 0
+                    first = bounds[i]
+                    for u, v in removed_units(set(lists[a + i] or ()), words[first: bounds[i + 1]], run_words):
+                        count += v - u
+                        if start[first + u] > at:
+                            spans.append((at, int(start[first + u])))
+                        at = int(end[first + v - 1])
+                    if at < len(text):
+                        spans.append((at, len(text)))
+                    kept = b"".join(text[x:y] for x, y in spans)
+                    for column, value in zip(out, (count, hashlib.sha256(kept).hexdigest(), spans, kept), strict=True):
+                        column.append(value)
+                kinds = (pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64())), pa.binary())
+                arrays = [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
+                arrays[3] = arrays[3].cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), *arrays], ["doc_id", "n_removed", "kept_sha256", "kept_spans", "kept"]
+                )
 
     return run
 
 
-def unit_deduplicated(documents: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
+def unit_deduplicated(documents: DataFrame, run_words: int = RUN_WORDS, together: int = TOGETHER) -> DataFrame:
     """Per document: doc_id, n_removed (units), kept_sha256, kept_spans (first
     and past the last byte of each stretch that stays), kept (text)."""
     spark = documents.sparkSession
     work = Work(spark, "unit_dedup")
     keyed = documents.select("doc_id", "text", *row_key())
-    schema = "_id long, _row long, k long, at long, until long, words long, d1 long, d2 long"
-    units = work.keep(keyed.select("_id", "_row", "text").mapInArrow(_units, schema), "units")
-    digest = ["d1", "d2"]
-    groups = units.groupBy(*digest).agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("least")).filter("n > 1")
-    again = work.keep(
-        spread_join(units, groups.select(*digest, "least"), digest, "inner").dropDuplicates(["_id", "_row", "k"]), "again"
+    schema = "_id long, _row long, k int, words int, d1 long, d2 int, known int"
+    units = keyed.select("_id", "_row", "text").mapInArrow(_units(together), schema)
+    # Each task sends a digest once for some hundred thousand units, so a frequent
+    # one has few rows; what is known already is dealt out, and none is collected.
+    later = (
+        units.repartition(shuffle_partitions(spark), "d1", "known")
+        .sortWithinPartitions("known", "d1", "d2", "_id", "_row", "k")
+        .mapInArrow(_later, "_id long, _row long, k int, words int")
     )
-    work.drop(units)
-    first = again.filter("_id = least").groupBy(*digest).agg(F.min(F.struct("_row", "at")).alias("first"))
-    is_later = (F.col("_id") > F.col("least")) | (F.struct("_row", "at") != F.col("first"))
-    later = spread_join(again, first, digest, "inner").filter(is_later)
-    copies = F.collect_list(F.struct("k", "at", "until", "words")).alias("later")
-    listed = later.groupBy("_id", "_row").agg(copies, F.sum("words").alias("n")).filter(F.col("n") >= run_words)
-    listed = work.keep(listed.drop("n"), "later")
+    listed = later.groupBy("_id", "_row").agg(F.collect_list("k").alias("later"), F.sum("words").alias("n"))
+    listed = work.keep(listed.filter(F.col("n") >= run_words).drop("n"), "later")
     # The list grows with the corpus; it is never broadcast, at no size.
     return keyed.join(listed.hint("merge"), ["_id", "_row"], "left").select("doc_id", "text", "later").mapInArrow(
         _remove(run_words), "doc_id long, n_removed long, kept_sha256 string, kept_spans array<array<long>>, kept string"

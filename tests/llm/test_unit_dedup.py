@@ -86,12 +86,13 @@ def test_passage_goes_and_clauses_stay(docs):
     assert [r.kept for r in T.unit_deduplicated(docs(inside)).collect()] == [f"{passage}middle. "]
 
 
-def test_many_copies_and_missing_ids(docs):
+@pytest.mark.parametrize("together", [T.TOGETHER, 5])
+def test_many_copies_and_missing_ids(docs, together):
     """Copies of one passage own all rows; some share an id or have none."""
     text = " ".join(f"w{i}" for i in range(60))
     rows = [(i % 200, text) for i in range(600)] + [(None, text + "."), (None, text + "!")]
     counts = {}
-    for r in T.unit_deduplicated(docs(rows)).collect():
+    for r in T.unit_deduplicated(docs(rows), together=together).collect():
         counts.setdefault((r.doc_id, r.n_removed), 0)
         counts[r.doc_id, r.n_removed] += 1
     assert counts[(0, 0)] == 3 and counts[(199, 1)] == 3 and counts[(None, 0)] == 2
