@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Word bytes: all but space, tab and the line breaks 0A-0D.
 NOT_SPACE = np.ones(256, bool)

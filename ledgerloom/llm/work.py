@@ -12,22 +12,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-@lru_cache
-def _own_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"ledgerloom-llm-{application}-")
-
-
 def base_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a folder of its own, as in tests;
-    a cluster must have the setting.
+    A session in one process that has no such setting gets a folder under its
+    warehouse; a cluster must have the setting.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
-        base = _own_folder(spark.sparkContext.applicationId)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/ledgerloom-work"
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
@@ -42,9 +37,19 @@ def _ship(application: str) -> str:
     return str(where)
 
 
+#: Bytes of an Arrow batch. Spark bounds rows only, and 10,000 long texts in one
+#: batch, held by the JVM and by a Python worker at once, are most of what an
+#: executor needs.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever they run."""
+    """Let Python workers import this package wherever they run, and bound what
+    they are sent at once, unless the session has a bound of its own."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     where = _ship(context.applicationId)
     if Path(where).name not in {Path(str(p)).name for p in context._python_includes}:
         context.addPyFile(where)
