@@ -38,6 +38,8 @@ from ledgerloom.llm.pretokens import Pretokens
 from ledgerloom.llm.work import Work, ship_code
 
 LEXICON = 32_768
+#: Different pre-tokens that a task counts before it sends them on.
+SPELLED = 1 << 17
 #: Longer pre-tokens are neither in the lexicon nor merged side by side.
 LONG = 96
 _NONE = np.int64(1 << 40)
@@ -267,6 +269,16 @@ def _count_pretokens(specials: dict[bytes, int]):
     def run(batches):
         splitter = Vocabulary({}, specials).pattern
         hashes, counts, spelled = [], [], {}
+
+        def counted():
+            key, which = np.unique(np.concatenate(hashes), return_inverse=True)
+            total = np.bincount(which, np.concatenate(counts)).astype(np.int64)
+            keys = key.tolist()
+            for a in range(0, len(keys), 50_000):
+                own = [spelled[k] for k in keys[a: a + 50_000]]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array(total[a: a + 50_000])], ["word", "n"])
+            hashes.clear(), counts.clear(), spelled.clear()
+
         for batch in batches:
             texts = W.texts_of(batch.column("text"))
             for a, b in W.slices(texts):
@@ -282,13 +294,11 @@ def _count_pretokens(specials: dict[bytes, int]):
                     if k not in spelled:
                         spelled[k] = data[starts[i]: ends[i]]
                 hashes.append(key), counts.append(count)
+                # What a task counts before it sends is bounded, whatever it reads.
+                if len(spelled) >= SPELLED:
+                    yield from counted()
         if hashes:
-            key, which = np.unique(np.concatenate(hashes), return_inverse=True)
-            total = np.bincount(which, np.concatenate(counts)).astype(np.int64)
-            keys = key.tolist()
-            for a in range(0, len(keys), 50_000):
-                own = [spelled[k] for k in keys[a: a + 50_000]]
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pa.array(total[a: a + 50_000])], ["word", "n"])
+            yield from counted()
 
     return run
 
@@ -350,6 +360,30 @@ def encoded(documents: DataFrame, path: str, lexicon: int = LEXICON) -> DataFram
     return docs.mapInArrow(_encode(compiled(docs, path, lexicon), ("doc_id",)), "doc_id long, ids array<int>")
 
 
+def _both(codec: Codec):
+    def run(batches):
+        own = codec.open()
+        for batch in batches:
+            texts = W.texts_of(batch.column("text"))
+            for a, b in W.slices(texts):
+                ids, counts = own.encode(texts[a:b])
+                back = [hashlib.sha256(x.encode()).hexdigest() for x in own.decode(ids, counts)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), pa.array(counts), W.lists(ids.astype(np.int32), counts), pa.array(back)],
+                    ["doc_id", "n_tokens", "ids", "decoded_sha256"],
+                )
+
+    return run
+
+
+def encoded_and_decoded(documents: DataFrame, path: str, lexicon: int = LEXICON) -> DataFrame:
+    """Per document: doc_id, n_tokens, ids, and the SHA-256 of the text that the
+    ids decode to."""
+    docs = documents.select("doc_id", "text")
+    schema = "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string"
+    return docs.mapInArrow(_both(compiled(docs, path, lexicon)), schema)
+
+
 def _decode(codec: Codec):
     def run(batches):
         own = codec.open()
