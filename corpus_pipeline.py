@@ -1,6 +1,8 @@
 """From documents to token ids: five stages, each with its operator's decision.
 
-Every stage reads what its predecessor kept, written as Parquet in between.
+Every stage reads what its predecessor kept, written as Parquet in between. All
+but the last return the columns they were given, whatever their names beside
+doc_id, text and n_chars. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bpe import encoded
+from ledgerloom.llm.bpe import encoded_and_decoded
 from ledgerloom.llm.decontaminate import contamination
 from ledgerloom.llm.line_dedup import deduplicated
 from ledgerloom.llm.similar import similar_documents
@@ -20,7 +22,8 @@ from ledgerloom.llm.work import Work
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weak-label classifier does not reject."""
+    """Documents that the weak-label classifier does not reject. A text that is
+    NULL or has no word is rejected."""
     return accepted(docs)
 
 
@@ -33,7 +36,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the least id."""
+    """Of each group of similar documents the one with the least id. Rows that
+    share this id stay together; rows without an id stay."""
     others = similar_documents(docs, count_links=False).filter("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
 
@@ -47,9 +51,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
-    ids = encoded(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of each document, and the digest of what they decode to."""
+    return encoded_and_decoded(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -62,8 +65,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("BPE encoding and decoding", tokens),
 ]
 
-#: The stages' models and tokenizer are beyond SQL; tests compare each stage with
-#: a brute-force version.
+#: The stages' models and tokenizer are beyond SQL. tests/llm/test_stages.py
+#: compares each stage, and all in a row, with plain Python versions.
 ORACLE_SQL: str | None = None
 
 
