@@ -364,6 +364,15 @@ def file_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return house.store.read(S.BALANCE)
 
 
+def bucket_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts kept in buckets: stored, loaded with a stage, and read again."""
+    root = shared_folder(spark, "bucket_load")
+    store = TableStore(spark, f"{root}/tables", buckets={S.ACCOUNT.name: 16})
+    store.rewrite(S.ACCOUNT, account_target(spark, sf_dir))
+    Warehouse(store, AuditLog(store)).load_rows(IngestSpec(S.ACCOUNT, ISO_DATE), account_stage_text(spark, sf_dir))
+    return store.read(S.ACCOUNT)
+
+
 def file_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of that load as the audit log shows them."""
     house, root = _fresh_warehouse(spark, "file_load_audit")
@@ -465,6 +474,7 @@ QUERIES = {
     "reject_lines": reject_lines,
     "reject_message": reject_message,
     "file_load": file_load,
+    "bucket_load": bucket_load,
     "file_load_audit": file_load_audit,
     "dropped_files_load": dropped_files_load,
     "daily_load": daily_load,
@@ -737,6 +747,7 @@ ORACLE = {
         | {"lines": f"SELECT {_LINE} AS line FROM rejected"},
     ),
     "file_load": _snapshot_sql("balance", BALANCES),
+    "bucket_load": _snapshot_sql("account", ACCOUNTS),
     "file_load_audit": I.with_inputs(
         f"""SELECT 'ETL_DS_Load' AS process, 'ft_balance_f' AS table_name,
       'SUCCESS' AS status, {_COUNTERS}""",

@@ -219,7 +219,8 @@ class Warehouse:
     def _merge(
         self, spec: IngestSpec, stage: DataFrame, dates: Sequence[dt.date]
     ) -> tuple[dict[str, int], DataFrame]:
-        """Keyed load. A table kept by date is touched on the staged dates only."""
+        """Keyed load. A table kept by date is touched on the staged dates only, one
+        kept in buckets in those of the staged keys."""
         table, store = spec.table, self.store
         attributes = [c for c in spec.wanted if c not in table.key]
         valid = spec.valid() if spec.valid else None
@@ -228,7 +229,10 @@ class Warehouse:
         def merged(stored: DataFrame) -> DataFrame:
             return U.merge_rows(stored, stage, table.key, attributes, valid)
 
-        if table.by_date:
+        if buckets := store.bucketed(table):
+            load = buckets.merge(stage, attributes, valid)
+            seen, loaded = load.counts, buckets.read(load.touched)
+        elif table.by_date:
             self._finish_pending(table)
             new = merged(store.read_dates(table, dates))
             seen = store.rewrite(_pending(table), new, counts, marks)

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import TableSpec
+from ledgerloom.sources.buckets import BucketedTable
 
 _VERSION = "version="
 _DONE = "_SUCCESS"
@@ -39,10 +40,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 class TableStore:
     """Reads and writes the tables of one warehouse root."""
 
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
+    def __init__(
+        self, spark: SparkSession, root: str, keep_versions: int = 2, buckets: Mapping[str, int] | None = None
+    ):
+        """``buckets`` names keyed tables that are stored by hash of their key, with
+        their number of buckets; the number must not change later."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.keep_versions = max(1, keep_versions)
+        self.buckets = dict(buckets or {})
+
+    def bucketed(self, spec: TableSpec) -> BucketedTable | None:
+        """The table in its buckets, if it is one that has them."""
+        count = self.buckets.get(spec.name) if spec.layer not in ("stage", "logs") else None
+        return BucketedTable(self, spec, count) if count else None
 
     # --- places ------------------------------------------------------------
 
@@ -82,6 +93,8 @@ class TableStore:
     # --- reading -----------------------------------------------------------
 
     def exists(self, spec: TableSpec) -> bool:
+        if table := self.bucketed(spec):
+            return table.exists()
         if spec.by_date:
             return any(
                 n.startswith(f"{spec.partition_by}=")
@@ -93,6 +106,8 @@ class TableStore:
         """The table with its declared schema; empty if it was never written."""
         if not self.exists(spec):
             return self.spark.createDataFrame([], spec.schema)
+        if table := self.bucketed(spec):
+            return table.read()
         folder = self.folder(spec)
         if not spec.by_date:
             folder = f"{folder}/{_VERSION}{self._current(spec)}"
@@ -142,6 +157,8 @@ class TableStore:
         """
         if spec.by_date:
             raise ValueError(f"{spec.name} is replaced by date")
+        if table := self.bucketed(spec):
+            return table.rewrite(df, measures, drop)
         watch = Observation()
         df = df.observe(watch, F.count(F.lit(1)).alias("rows"), *measures)
         versions = self._versions(spec)
@@ -176,6 +193,8 @@ class TableStore:
         self, spec: TableSpec, df: DataFrame, measures: Sequence[Column] = ()
     ) -> dict[str, int]:
         """``append`` that takes ``measures`` of the added rows in the same pass."""
+        if table := self.bucketed(spec):
+            return table.append(df, measures)
         current = self._current(spec)
         if current is None and not spec.by_date:
             return self.rewrite(spec, df, measures)
