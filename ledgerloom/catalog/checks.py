@@ -15,7 +15,7 @@ from ledgerloom.functions.casts import (
     null_tokens,
     parse_date,
 )
-from ledgerloom.operators import checks, reconcile, versions
+from ledgerloom.operators import checks, digest_tree, reconcile, versions
 from ledgerloom.plans.audit import latest_states
 
 _NEWEST = ["effective_to_date", "client_open_dttm"]
@@ -69,6 +69,19 @@ def recon_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recon_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What only one side has, found by digests of buckets of product numbers."""
+    return digest_tree.differing_rows(
+        I.product_table(spark, sf_dir), I.product_file(spark, sf_dir), ["product_rk"]
+    )
+
+
+def recon_digest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for client versions against those of the newest load, without a key."""
+    rows = I.client_versions(spark, sf_dir)
+    return digest_tree.differing_rows(rows, versions.keep_freshest(rows, S.CLIENT.key, _NEWEST))
+
+
 def recon_fixed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.corrected_rows(
         I.product_table(spark, sf_dir), I.product_file(spark, sf_dir), ["product_rk"]
@@ -169,6 +182,8 @@ QUERIES = {
     "recon_only_right": recon_only_right,
     "recon_common": recon_common,
     "recon_summary": recon_summary,
+    "recon_digest": recon_digest,
+    "recon_digest_versions": recon_digest_versions,
     "recon_fixed_rows": recon_fixed_rows,
     "gap_check": gap_check,
     "gap_check_daily": gap_check_daily,
@@ -254,6 +269,19 @@ ORACLE = {
       (SELECT count(*) FROM (FROM product_table INTERSECT FROM product_file)) AS common""",
         *_BOTH,
     ),
+    "recon_digest": I.with_inputs(
+        """SELECT *, 'left' AS found_in FROM (FROM product_table EXCEPT FROM product_file)
+    UNION ALL SELECT *, 'right' FROM (FROM product_file EXCEPT FROM product_table)""",
+        *_BOTH,
+    ),
+    "recon_digest_versions": I.with_inputs(
+        """SELECT DISTINCT * EXCLUDE (place), 'left' AS found_in FROM (SELECT *, rank() OVER (
+      PARTITION BY client_rk, effective_from_date
+      ORDER BY effective_to_date DESC NULLS FIRST, client_open_dttm DESC NULLS FIRST,
+        event_id DESC NULLS FIRST, props DESC NULLS FIRST) AS place FROM client)
+    WHERE place > 1""",
+        "client",
+    ),
     "recon_fixed_rows": I.with_inputs(
         """SELECT * FROM product_file WHERE product_rk IN (SELECT product_rk
       FROM (SELECT * FROM product_table EXCEPT SELECT * FROM product_file))""",
