@@ -19,8 +19,6 @@ MONTH_END = dt.date(1995, 1, 31)
 SEED_DAY = dt.date(1994, 12, 31)
 REPORT_DAY = dt.date(1995, 2, 1)
 ONE_DAY = dt.date(1995, 1, 10)
-ALL_START = dt.date(1995, 1, 1)
-ALL_END = dt.date(2001, 12, 31)
 
 
 _schemas: dict[str, StructType] = {}

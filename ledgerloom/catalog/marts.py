@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom import schemas as S
 from ledgerloom.catalog import inputs as I
 from ledgerloom.functions.casts import empty_columns, typed
+from ledgerloom.plans.balance_blocks import balance_in_blocks
 from ledgerloom.plans.balance import balance_for_day, balance_for_period, seed_balance
 from ledgerloom.plans.balance_repair import (
     apply_opening_correction,
@@ -42,8 +43,10 @@ def turnover_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turnover_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders on their real days, seven years in one plan."""
-    return _turnover(spark, sf_dir, I.ALL_START, I.ALL_END, real_dates=True)
+    """All orders on their real days, from the first to the last, in one plan."""
+    day = F.col("oper_date")
+    first, last = I.postings(spark, sf_dir, True).agg(F.min(day), F.max(day)).first()
+    return _turnover(spark, sf_dir, first or I.MONTH_START, last or I.MONTH_END, real_dates=True)
 
 
 def balance_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +75,18 @@ def balance_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def balance_period_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by blocks of a week, an account's history being several tasks."""
+    return balance_in_blocks(
+        I.accounts(spark, sf_dir),
+        turnover_month(spark, sf_dir),
+        balance_seed(spark, sf_dir),
+        I.MONTH_START,
+        I.MONTH_END,
+        block_days=7,
+    )
+
+
 def _report(spark: SparkSession, sf_dir: str, complete: bool) -> DataFrame:
     # Needed for the balances and for the report: both read one exchange.
     turnover = turnover_month(spark, sf_dir)
@@ -196,6 +211,7 @@ QUERIES = {
     "balance_seed": balance_seed,
     "balance_day": balance_day,
     "balance_period": balance_period,
+    "balance_period_blocks": balance_period_blocks,
     "ledger_report": ledger_report_month,
     "ledger_report_unmapped": ledger_report_unmapped,
     "csv_roundtrip": csv_roundtrip,
@@ -221,13 +237,15 @@ _PRICE = """SELECT currency_rk, reduced_cource AS price,
     FROM rate"""
 
 
-def _turnover_sql(posting: str, first, last) -> str:
-    """Each side summed by itself; the sides meet per account and day."""
+def _turnover_sql(posting: str, first=None, last=None) -> str:
+    """Each side summed by itself; the sides meet per account and day. Without
+    dates, all days there are."""
+    days = f"oper_date >= DATE '{first}' AND oper_date <= DATE '{last}'" if first else "oper_date IS NOT NULL"
 
     def side(name: str) -> str:
         return f"""SELECT oper_date AS day, {name}_account_rk AS account_rk,
           CAST(sum({name}_amount) AS DECIMAL(20,8)) AS {name}
-        FROM {posting} WHERE oper_date >= DATE '{first}' AND oper_date <= DATE '{last}' GROUP BY ALL"""
+        FROM {posting} WHERE {days} GROUP BY ALL"""
 
     amounts = ", ".join(
         f"""{_A.format(name)} AS {name}_amount, {_A.format(f'{name} * unit')} AS {name}_amount_rub"""
@@ -346,7 +364,7 @@ ORACLE = {
     ),
     "turnover_month": I.with_inputs(_MONTH["turnover"], "account", "posting", "rate"),
     "turnover_period": I.with_inputs(
-        _turnover_sql("posting_all", I.ALL_START, I.ALL_END),
+        _turnover_sql("posting_all"),
         "account",
         "posting_all",
         "rate",
@@ -356,6 +374,7 @@ ORACLE = {
         f"{_PERIOD_SQL} AND on_date = DATE '{I.MONTH_START}'", *_LEDGER_INPUTS
     ),
     "balance_period": _recursive(_PERIOD_SQL, *_LEDGER_INPUTS),
+    "balance_period_blocks": _recursive(_PERIOD_SQL, *_LEDGER_INPUTS),
     "ledger_report": _report_sql("ledger"),
     "ledger_report_unmapped": _report_sql("ledger_part"),
     "csv_roundtrip": _report_sql("ledger"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from ledgerloom.operators.lookup import rates_by_day
 from ledgerloom.schemas import ACTIVE, PASSIVE
 
 _AMOUNT = "DECIMAL(23,8)"
+_BY_ACCOUNT = "PARTITION BY account_rk ORDER BY v_from, v_to, moved_on NULLS FIRST"
 
 
 def seed_balance(balances: DataFrame, rates: DataFrame, as_of: dt.date) -> DataFrame:
@@ -86,6 +88,34 @@ def balance_for_period(
     Chaining rules kept: an account without a row on the previous day restarts
     from zero, and so does one whose previous balance was NULL (unknown kind).
     """
+    points = balance_points(accounts, turnover, balances, first, last)
+    by_account = f"OVER ({_BY_ACCOUNT})"
+    # A point is a turnover row of a version, or a version without turnover.
+    neighbours = points.selectExpr(
+        "*",
+        f"lag(v_from) {by_account} AS prev_from",
+        f"lag(v_to) {by_account} AS prev_to",
+        f"lag(known) {by_account} AS prev_known",
+        f"lag(moved_on) {by_account} AS prev_moved",
+        f"lead(v_from) {by_account} AS next_from",
+        f"lead(moved_on) {by_account} AS next_moved",
+    )
+    return balance_rows(neighbours, first, last, shown_from, _totals)
+
+
+def balance_points(
+    accounts: DataFrame,
+    turnover: DataFrame,
+    balances: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    spread: bool = False,
+) -> DataFrame:
+    """Turnover rows within account versions, and versions without turnover.
+
+    With ``spread`` the turnover of one account may be split over tasks: an inner
+    join can be, the right side of a left join can not.
+    """
     start, end = F.lit(first), F.lit(last)
     touches = overlaps(
         F.col("data_actual_date"), F.col("data_actual_end_date"), start, end
@@ -111,12 +141,15 @@ def balance_for_period(
     seed = balances.filter(F.col("on_date") == F.date_sub(start, 1)).selectExpr(
         "account_rk", "balance_out AS seed", "balance_out_rub AS seed_rub"
     )
-    points = (
-        versions.join(
-            moved,
-            F.expr("account_rk = moved_rk AND moved_on BETWEEN v_from AND v_to"),
-            "left",
-        )
+    within = F.expr("account_rk = moved_rk AND moved_on BETWEEN v_from AND v_to")
+    if spread:
+        paired, version = versions.join(moved, within), ["account_rk", "v_from", "v_to"]
+        alone = versions.join(paired.select(*version).distinct(), version, "left_anti")
+        rows = paired.unionByName(alone, allowMissingColumns=True)
+    else:
+        rows = versions.join(moved, within, "left")
+    return (
+        rows
         .selectExpr(
             "account_rk",
             "v_from",
@@ -129,20 +162,32 @@ def balance_for_period(
         .join(seed, "account_rk", "left")
     )
 
-    order = "ORDER BY v_from, v_to, moved_on NULLS FIRST"
-    by_account = f"OVER (PARTITION BY account_rk {order})"
-    so_far = f"""OVER (PARTITION BY account_rk {order}
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
-    # A point is a turnover row of a version, or a version without turnover.
-    neighbours = points.selectExpr(
+
+def _totals(marked: DataFrame) -> DataFrame:
+    """Running sums of an account, and what they were at its last break."""
+    so_far = f"OVER ({_BY_ACCOUNT} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    # Every window has the same keys and order: one sort serves them all. The
+    # balance is what was added since the last break, as a difference of totals.
+    return marked.selectExpr(
         "*",
-        f"lag(v_from) {by_account} AS prev_from",
-        f"lag(v_to) {by_account} AS prev_to",
-        f"lag(known) {by_account} AS prev_known",
-        f"lag(moved_on) {by_account} AS prev_moved",
-        f"lead(v_from) {by_account} AS next_from",
-        f"lead(moved_on) {by_account} AS next_moved",
-    ).selectExpr("*", "coalesce(prev_from <> v_from, TRUE) AS starts")
+        f"sum(step) {so_far} AS total",
+        f"sum(step_rub) {so_far} AS total_rub",
+    ).selectExpr(
+        "*",
+        f"last(IF(breaks, total - step, NULL), TRUE) {so_far} AS base",
+        f"last(IF(breaks, total_rub - step_rub, NULL), TRUE) {so_far} AS base_rub",
+    )
+
+
+def balance_rows(
+    neighbours: DataFrame,
+    first: dt.date,
+    last: dt.date,
+    shown_from: dt.date | None,
+    totals_of: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Days of the points, each of which knows its neighbours of the account."""
+    neighbours = neighbours.selectExpr("*", "coalesce(prev_from <> v_from, TRUE) AS starts")
     opens = f"starts AND v_from = DATE'{first}'"
     marked = neighbours.selectExpr(
         "*",
@@ -153,17 +198,7 @@ def balance_for_period(
         f"IF({opens}, coalesce(seed, 0), 0) + coalesce(change, 0) AS step",
         f"IF({opens}, coalesce(seed_rub, 0), 0) + coalesce(change_rub, 0) AS step_rub",
     )
-    # Every window has the same keys and order: one sort serves them all. The
-    # balance is what was added since the last break, as a difference of totals.
-    totals = marked.selectExpr(
-        "*",
-        f"sum(step) {so_far} AS total",
-        f"sum(step_rub) {so_far} AS total_rub",
-    ).selectExpr(
-        "*",
-        f"last(IF(breaks, total - step, NULL), TRUE) {so_far} AS base",
-        f"last(IF(breaks, total_rub - step_rub, NULL), TRUE) {so_far} AS base_rub",
-    )
+    totals = totals_of(marked)
     # A point holds until the day before the next one of its version; the first
     # point of a version also covers the days before its own turnover.
     shown = f"DATE'{shown_from or first}'"
