@@ -40,7 +40,8 @@ def grams(found: W.Words) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndar
             # A word twice is one and the same bigram, whichever word it is.
             hashes[found.hashes[1:] == found.hashes[:-1]] = _TWICE
         last = np.maximum(found.bounds[1:] - size + 1, found.bounds[:-1])
-        yield kind, hashes, found.bounds[:-1], np.minimum(last, len(hashes))
+        # Texts without a word at the end of a slice start beyond the last bigram.
+        yield kind, hashes, np.minimum(found.bounds[:-1], len(hashes)), np.minimum(last, len(hashes))
     for kind, size in enumerate((3, 5), 2):
         packed = _chars(found.data, size)
         last = np.maximum(found.begin[1:] - 1 - size + 1, found.begin[:-1])
@@ -75,21 +76,39 @@ def vectors(texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray]
         yield np.concatenate(at).astype(np.int32), np.concatenate(value).astype(np.float32)
 
 
+#: Entries of sparse rows that one product takes at a time.
+AT_ONCE = 1 << 18
+
+
 class Rows:
-    """Sparse rows for fitting."""
+    """Sparse rows for fitting: the number of entries of each row, and all entries
+    in a row. Products go over them in parts, so they need little beside them."""
+
+    def __init__(self, sizes: np.ndarray, at: np.ndarray, value: np.ndarray):
+        self.sizes, self.at, self.value, self.n = sizes, at, value, len(sizes)
+        self.ends = np.cumsum(sizes)
+
+    def take(self, which: np.ndarray) -> Rows:
+        entries = np.repeat(which, self.sizes)
+        return Rows(self.sizes[which], self.at[entries], self.value[entries])
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
-        self.sizes = np.array([len(a) for a, _ in rows], np.int64)
-        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), self.sizes)
-        self.at = np.concatenate([a for a, _ in rows]) if rows else np.zeros(0, np.int32)
-        self.value = np.concatenate([v for _, v in rows]) if rows else np.zeros(0, np.float32)
-        self.n = len(rows)
+    def _parts(self):
+        for a in range(0, len(self.at), AT_ONCE):
+            b = min(a + AT_ONCE, len(self.at))
+            row = np.searchsorted(self.ends, np.arange(a, b), side="right")
+            yield row, self.at[a:b], self.value[a:b]
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * weights.astype(np.float32)[self.at], self.n)
+        out = np.zeros(self.n)
+        for row, at, value in self._parts():
+            out += np.bincount(row, value * weights[at], self.n)
+        return out
 
     def back(self, errors: np.ndarray) -> np.ndarray:
-        return np.bincount(self.at, self.value * errors.astype(np.float32)[self.row], KINDS * BUCKETS)
+        out = np.zeros(KINDS * BUCKETS)
+        for row, at, value in self._parts():
+            out += np.bincount(at, value * errors[row], len(out))
+        return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -97,14 +116,13 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, steps: int = 60, rate: float = 0.3, decay: float = 1e-5
+    data: Rows, target: np.ndarray, steps: int = 60, rate: float = 0.3, decay: float = 1e-5
 ) -> np.ndarray:
     """Weights; ``target`` may be a probability. Both classes weigh alike.
     Without any row the weights are zero."""
     weights = np.zeros(KINDS * BUCKETS)
-    if not rows:
+    if not data.n:
         return weights
-    data = Rows(rows)
     up = max(target.sum(), 1e-9)
     down = max((1 - target).sum(), 1e-9)
     each = target / up + (1 - target) / down
