@@ -2,11 +2,17 @@
 
 Words become symbols: insult, threat, target, negation, reported speech, other.
 Three transducers are composed into one machine: the first marks what is aimed
-at a target, the second what is negated, the third what is reported. Run over a
-clause (up to ``. ! ? ; :`` or a line end), the composed machine multiplies the
-weight of every insult or threat by the weight of the arc it takes; the sum over
-a document's matched clauses is its evidence, and a fitted sigmoid of the
-evidence its score. A word is no evidence by itself: what counts is the arc.
+at a target, the second what is negated, the third what is reported. A clause (up
+to ``. ! ? ; :`` or a line end) runs through the first one backwards, for targets
+that follow, and through the composed machine forwards; every insult or threat
+has its weight multiplied by the weights of the arcs it takes. The sum over a
+document's matched clauses is its evidence, and a fitted sigmoid of the evidence
+its score.
+
+A threat counts only where it is aimed at a target. An insult without a target
+keeps its learned weight, no more: of the labelled toxic rows many have no
+target near any insult, so a grammar that gave such clauses nothing would miss
+what ``labels.toxic`` marks. What is negated or reported is discounted either way.
 
 Insults are stems learned from labelled rows: word beginnings of three bytes or
 more that come much more often in rows of label 1, after many different words
@@ -53,6 +59,8 @@ REPORTING = "said says wrote called quoted reported claimed sagte schrieb nannte
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 AIMED, NEGATED, REPORTED = 6, 7, 8
 _CHARGED = (INSULT, THREAT, AIMED)
+#: Words between a target and what is aimed at it, and one.
+REACH = 4
 
 
 class Machine:
@@ -88,9 +96,13 @@ def _fading(starts: int, hits: tuple[int, ...], out: int, weight: float, reach:
     return Machine(rest, arcs)
 
 
+def targets() -> Machine:
+    return _fading(TARGET, (INSULT, THREAT), AIMED, 1.5, REACH)
+
+
 def grammar() -> Machine:
     """Targets, then negation, then reported speech."""
-    aimed = _fading(TARGET, (INSULT, THREAT), AIMED, 1.5, 4)
+    aimed = targets()
     negated = _fading(NEGATION, _CHARGED, NEGATED, 0.4, 3)
     told = {(0, REPORT): (1, REPORT, 1.0)} | {(1, h): (1, REPORTED, 0.4) for h in _CHARGED}
     return compose(compose(aimed, negated), Machine([0, 1], told))
@@ -110,7 +122,7 @@ class Scorer:
     """Evidence of texts, given the weights of insult stems."""
 
     def __init__(self, stems: dict[bytes, float]):
-        self.machine, self.fixed = grammar(), _fixed()
+        self.machine, self.backward, self.fixed = grammar(), targets(), _fixed()
         threats = [w for w, s in self.fixed.items() if s == THREAT]
         self.threats = np.sort(self._hashes(threats))
         self.stems: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -157,7 +169,7 @@ class Scorer:
         return total, clauses, found.counts
 
     def _clause(self, found: W.Words, weight: np.ndarray, threat: np.ndarray, first: int, last: int) -> float:
-        state, score = 0, 0.0
+        symbols, values = [], []
         for i in range(first, last):
             if weight[i] > 0:
                 symbol, value = INSULT, weight[i]
@@ -166,8 +178,21 @@ class Scorer:
             else:
                 word = found.data[found.starts[i]: found.ends[i]].tobytes()
                 symbol, value = self.fixed.get(word, OTHER), 0.0
-            state, _, factor = self.machine.step(state, symbol)
-            score += value * factor
+            symbols.append(symbol), values.append(value)
+        state, aimed = 0, [symbol == INSULT for symbol in symbols]
+        for i in reversed(range(len(symbols))):
+            state, symbols[i], factor = self.backward.step(state, symbols[i])
+            values[i] *= factor
+            aimed[i] |= symbols[i] == AIMED
+        state, score, reach = 0, 0.0, 0
+        for symbol, value, counts in zip(symbols, values, aimed, strict=True):
+            # A threat with a target before it: within the reach of the machine.
+            if counts or reach:
+                state, _, factor = self.machine.step(state, symbol)
+                score += value * factor
+            else:
+                state, _, _ = self.machine.step(state, symbol)
+            reach = REACH if symbol == TARGET else max(0, reach - 1)
         return float(score)
 
 
@@ -243,7 +268,9 @@ def learned(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tu
     usable = labels.filter(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2)
     chosen = F.broadcast(sampled_labels(usable, "toxic", sample))
     work = Work(spark, "toxicity")
-    rows = work.keep(documents.select("doc_id", "text").join(chosen, "doc_id"), "rows")
+    # One text for each id and label, however many rows share the id.
+    rows = documents.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = work.keep(rows, "rows")
 
     counted = rows.mapInArrow(_stem_counts, "stem binary, clean long, toxic long")
     summed = work.keep(
