@@ -11,7 +11,8 @@ fails or its probability of good quality is below ``KEEP_AT``.
 Defined cases: a NULL or empty text has no words and fails the base rules;
 without labelled rows every probability is one half and only the rules decide;
 labels that are NULL or of unknown documents are left out, of a document with
-several labels each counts; rows are judged one by one; other columns are not
+several labels each counts, of several texts with one id the least is learned
+from; rows are judged one by one; other columns are not
 read.
 """
 
@@ -64,31 +65,58 @@ def _featured(batches):
 
 
 FEATURES = "doc_id long, label double, at array<int>, value array<float>"
+FEATURES_ARROW = pa.schema(
+    [("doc_id", pa.int64()), ("label", pa.float64()), ("at", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))]
+)
 
 
-def collected(rows: DataFrame) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """A bounded sample (doc_id, text, label) as features and targets, by id."""
-    table = rows.mapInArrow(_featured, FEATURES).toArrow().sort_by("doc_id")
-    features = [
-        (np.asarray(a, np.int32), np.asarray(v, np.float32))
-        for a, v in zip(
-            (x.values.to_numpy() for x in table.column("at")), (x.values.to_numpy() for x in table.column("value")), strict=True
+def _fit(good: float, bad: float):
+    """One task: weights of four fifths of the rows, calibration by the rest."""
+
+    def run(batches):
+        table = pa.Table.from_batches(list(batches), FEATURES_ARROW).combine_chunks()
+
+        def entries(name: str) -> np.ndarray:
+            column = table.column(name)
+            return column.combine_chunks().flatten().to_numpy() if len(table) else np.zeros(0, np.float32)
+
+        sizes = pa.compute.list_value_length(table.column("at")).to_numpy().astype(np.int64)
+        rows = hashed.Rows(sizes, entries("at").astype(np.int32, copy=False), entries("value"))
+        target = table.column("label").to_numpy()
+        held = np.arange(rows.n) % 5 == 4
+        weights = hashed.fit(rows.take(~held), target[~held])
+        slope, offset = hashed.calibrate(rows.take(held).dot(weights), (target[held] > 0.5).astype(float), moved=False)
+        # The sample has other class sizes than all rows.
+        offset += hashed.prior_shift(target, good, bad)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([weights.tobytes()], pa.binary()), pa.array([slope]), pa.array([offset]), pa.array([rows.n])],
+            ["weights", "slope", "offset", "n"],
         )
-    ]
-    return features, table.column("label").to_numpy()
+
+    return run
+
+
+def fitted_scorer(rows: DataFrame, good: float, bad: float) -> tuple[np.ndarray, float, float, int]:
+    """Weights, slope and offset learned from a bounded sample (doc_id, text,
+    label), and its number of rows; ``good`` and ``bad`` are the class sizes of all.
+
+    Of rows with the same id and label the least text counts, so the bound is one
+    of rows, however many share an id. The sample, some thousand rows at most, is
+    fitted in one task; the driver gets the weights only.
+    """
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
+    one = rows.mapInArrow(_featured, FEATURES).repartition(1).sortWithinPartitions("doc_id", "label")
+    found = one.mapInArrow(_fit(float(good), float(bad)), "weights binary, slope double, offset double, n long").first()
+    if found is None:
+        return np.zeros(hashed.KINDS * hashed.BUCKETS), 1.0, 0.0, 0
+    return np.frombuffer(found["weights"], np.float64), found["slope"], found["offset"], found["n"]
 
 
 def fitted(documents: DataFrame, labels: DataFrame, sample: int) -> tuple[np.ndarray, float, float]:
     """Weights, and slope and offset of the calibration."""
     chosen = F.broadcast(sampled_labels(labels, "quality", sample))
-    rows, target = collected(documents.join(chosen, "doc_id").select("doc_id", "text", "label"))
-    held = np.arange(len(rows)) % 5 == 4
-    weights = hashed.fit([r for r, h in zip(rows, held, strict=True) if not h], target[~held])
-    rest = hashed.Rows([r for r, h in zip(rows, held, strict=True) if h])
-    slope, offset = hashed.calibrate(rest.dot(weights), target[held], moved=False)
     sizes = labels.select([F.count_if(F.col("quality") == v) for v in (1, 0)]).first()
-    offset += hashed.prior_shift(target, *sizes)
-    return weights, slope, offset
+    return fitted_scorer(documents.join(chosen, "doc_id").select("doc_id", "text", "label"), *sizes)[:3]
 
 
 COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import hashed
 from ledgerloom.llm import words as W
-from ledgerloom.llm.quality_rules import by_hash, collected
+from ledgerloom.llm.quality_rules import by_hash, fitted_scorer
 from ledgerloom.llm.textstats import stats
 from ledgerloom.llm.work import Work
 
@@ -147,8 +147,8 @@ def learned(documents: DataFrame, sample: int = SAMPLE) -> tuple[tuple, Accuraci
     voted = Work(docs.sparkSession, "weak_quality").keep(
         docs.mapInArrow(_vote_rows, "doc_id long, votes long"), "votes"
     )
-    patterns = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").toPandas()
-    codes, counts = patterns["votes"].to_numpy(np.int64), patterns["n"].to_numpy(np.float64)
+    patterns = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).orderBy("votes").toArrow()
+    codes, counts = patterns.column("votes").to_numpy(), patterns.column("n").to_numpy().astype(np.float64)
     accuracies = learn_accuracies(codes, counts)
     post = accuracies.posterior(codes)
     target = F.create_map(*[F.lit(x) for c, p in zip(codes, post, strict=True) for x in (int(c), float(p))])
@@ -158,14 +158,9 @@ def learned(documents: DataFrame, sample: int = SAMPLE) -> tuple[tuple, Accuraci
     sides = ((F.col("label") < 0.5, post < 0.5), (F.col("label") >= 0.5, post >= 0.5))
     parts = [by_hash(judged.filter(side), int(counts[which].sum()), sample) for side, which in sides]
     chosen = F.broadcast(parts[0].unionByName(parts[1]).groupBy("doc_id").agg(F.avg("label").alias("label")))
-    rows, wanted = collected(docs.join(chosen, "doc_id").select("doc_id", "text", "label"))
-    held = np.arange(len(rows)) % 5 == 4
-    weights = hashed.fit([r for r, h in zip(rows, held, strict=True) if not h], wanted[~held])
-    rest = hashed.Rows([r for r, h in zip(rows, held, strict=True) if h])
-    slope, offset = hashed.calibrate(rest.dot(weights), (wanted[held] > 0.5).astype(float), moved=False)
+    rows = docs.join(chosen, "doc_id").select("doc_id", "text", "label")
     # The sample has both classes alike; all documents have them as EM found.
-    offset += hashed.prior_shift(wanted, accuracies.good, 1 - accuracies.good)
-    return (weights, slope, offset), accuracies
+    return fitted_scorer(rows, accuracies.good, 1 - accuracies.good)[:3], accuracies
 
 
 def scored(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
