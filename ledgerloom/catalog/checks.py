@@ -16,6 +16,7 @@ from ledgerloom.functions.casts import (
     parse_date,
 )
 from ledgerloom.operators import checks, digest_tree, reconcile, versions
+from ledgerloom.operators.first_values import first_values
 from ledgerloom.plans.audit import latest_states
 
 _NEWEST = ["effective_to_date", "client_open_dttm"]
@@ -170,9 +171,16 @@ def product_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.names_by_key(I.product_file(spark, sf_dir), ["product_rk"], "product_name")
 
 
+def product_names_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each product how many names it has, and the first two."""
+    names = first_values(I.product_file(spark, sf_dir), ["product_rk"], "product_name", 2)
+    return names.select("product_rk", "total", F.array_join("shown", "; ").alias("names"))
+
+
 QUERIES = {
     "dup_rows_listed": dup_rows_listed,
     "product_names": product_names,
+    "product_names_first": product_names_first,
     "dedupe_latest": dedupe_latest,
     "dup_keys": dup_keys,
     "distinct_keys": distinct_keys,
@@ -248,6 +256,13 @@ ORACLE = {
     FROM (SELECT DISTINCT product_rk, product_name FROM product_file) GROUP BY product_rk""",
         "product_file",
     ),
+    "product_names_first": I.with_inputs(
+        """SELECT product_rk, count(product_name) AS total,
+      COALESCE(string_agg(product_name, '; ' ORDER BY product_name) FILTER (WHERE place <= 2), '') AS names
+    FROM (SELECT *, row_number() OVER (PARTITION BY product_rk ORDER BY product_name NULLS LAST) AS place
+      FROM (SELECT DISTINCT product_rk, product_name FROM product_file)) GROUP BY product_rk""",
+        "product_file",
+    ),
     "version_profile": I.with_inputs(
         """SELECT effective_from_date, effective_to_date, count(*) AS row_count
     FROM deal GROUP BY effective_from_date, effective_to_date""",

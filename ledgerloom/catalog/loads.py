@@ -19,6 +19,7 @@ from ledgerloom.functions.casts import DOTTED_DATE, ISO_DATE, empty_columns, typ
 from ledgerloom.functions.messages import lines_summary, mismatch_lines
 from ledgerloom.functions.predicates import valid_currency
 from ledgerloom.operators import upsert as U
+from ledgerloom.operators.first_values import first_of_all
 from ledgerloom.plans.audit import AuditLog
 from ledgerloom.plans.jobs import IngestSpec, Warehouse
 from ledgerloom.sources.csv_files import Delimited, write_delimited
@@ -341,6 +342,12 @@ def reject_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines_summary(reject_lines(spark, sf_dir))
 
 
+def reject_message_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows were rejected, and the first ten lines."""
+    found = first_of_all(reject_lines(spark, sf_dir), "line", 10)
+    return found.select(F.col("total").alias("rejected_rows"), F.array_join("shown", "; ").alias("message"))
+
+
 def posting_reject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage = posting_stage(spark, sf_dir)
     return mismatch_lines(U.unmatched_after_replace(stage), S.POSTING.columns)
@@ -473,6 +480,7 @@ QUERIES = {
     "append_distinct": append_distinct,
     "reject_lines": reject_lines,
     "reject_message": reject_message,
+    "reject_message_first": reject_message_first,
     "file_load": file_load,
     "bucket_load": bucket_load,
     "file_load_audit": file_load_audit,
@@ -746,6 +754,13 @@ ORACLE = {
         more=_reject_ctes("balance", BALANCES)
         | {"lines": f"SELECT {_LINE} AS line FROM rejected"},
     ),
+    "reject_message_first": I.with_inputs(
+        """SELECT (SELECT count(*) FROM lines) AS rejected_rows,
+      COALESCE(string_agg(line, '; ' ORDER BY line), '') AS message
+    FROM (SELECT DISTINCT line FROM lines ORDER BY line LIMIT 10)""",
+        more=_reject_ctes("balance", BALANCES)
+        | {"lines": f"SELECT {_LINE} AS line FROM rejected"},
+    ),
     "file_load": _snapshot_sql("balance", BALANCES),
     "bucket_load": _snapshot_sql("account", ACCOUNTS),
     "file_load_audit": I.with_inputs(

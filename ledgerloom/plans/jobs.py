@@ -24,6 +24,7 @@ from ledgerloom.functions.messages import (
 )
 from ledgerloom.functions.predicates import any_of, valid_currency
 from ledgerloom.operators import upsert as U
+from ledgerloom.operators.first_values import first_of_all
 from ledgerloom.operators.checks import DataCheckError, enforce_key
 from ledgerloom.operators.versions import keep_freshest
 from ledgerloom.plans.audit import AuditLog
@@ -107,8 +108,11 @@ def reject_table(spec: IngestSpec) -> TableSpec:
 class Warehouse:
     """The jobs over one table store."""
 
-    def __init__(self, store: TableStore, audit: AuditLog | None = None):
+    def __init__(self, store: TableStore, audit: AuditLog | None = None, listed_rejects: int = 0):
+        """With ``listed_rejects`` the log names the first so many rejected rows of a
+        load, else the first and the last; all of them are in the reject table."""
         self.store = store
+        self.listed_rejects = listed_rejects
         self.spark = store.spark
         self.audit = audit or AuditLog(store)
 
@@ -213,6 +217,10 @@ class Warehouse:
         seen = self.store.append_measured(held, lines, summary_measures())
         if not seen["rows"]:
             return None
+        if self.listed_rejects:
+            own = self.store.read(held).filter(F.col("run_id") == run_id)
+            first = first_of_all(own, "line", self.listed_rejects).first()
+            return f"{first['total']}: {'; '.join(first['shown'])}"
         found = summary_text(*[F.lit(seen[c]) for c in ("rejected_rows", "least", "greatest")])
         return self.spark.range(1).select(found.alias("text")).first()["text"]
 

@@ -164,8 +164,11 @@ def test_warehouse_load(spark, tmp_path):
     out = {}
     for kind, counts in (("plain", {}), ("buckets", {ACCOUNT.name: 4})):
         store = TableStore(spark, str(tmp_path / kind), buckets=counts)
-        house = Warehouse(store, AuditLog(store))
+        house = Warehouse(store, AuditLog(store), listed_rejects=3)
         spec = IngestSpec(ACCOUNT, "yyyy-MM-dd")
         stats = [house.load_rows(spec, text.limit(30)), house.load_rows(spec, text), house.load_rows(spec, text)]
         out[kind] = stats, rows_of(store.read(ACCOUNT))
     assert out["plain"] == out["buckets"]
+    # Ids 0 to 19 came twice, with another number the second time.
+    message = out["plain"][0][1].message
+    assert message.startswith("20: ") and message.count("; ") == 2
