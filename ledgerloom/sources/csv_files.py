@@ -42,6 +42,10 @@ class EncodingError(ValueError):
     """No candidate encoding decodes all of a file."""
 
 
+class BadFileError(ValueError):
+    """A file that is set aside."""
+
+
 # Bytes read one by one: every byte becomes the character of its number.
 _BYTES = "ISO-8859-1"
 _BUILT_IN = ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32")
@@ -117,12 +121,12 @@ def resolve_encoding(spark: SparkSession, path: str, style: Delimited) -> str:
 
 
 # Holds the text of a row whose number of fields is wrong.
-_MALFORMED = "_malformed"
+MALFORMED = "_malformed"
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
     """All columns as text, and a place for malformed rows."""
-    names = [*columns, _MALFORMED]
+    names = [*columns, MALFORMED]
     return T.StructType([T.StructField(c, T.StringType()) for c in names])
 
 
@@ -133,7 +137,7 @@ def strict_options(reader: DataFrameReader | DataStreamReader):
     """
     return (
         reader.option("enforceSchema", False)
-        .option("columnNameOfCorruptRecord", _MALFORMED)
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .option("columnPruning", False)
     )
 
@@ -146,8 +150,8 @@ def clean_text(
     A malformed row fails the job: its values would be in the wrong columns.
     """
     first, *others = columns
-    problem = F.raise_error(F.concat(F.lit("malformed row: "), F.col(_MALFORMED)))
-    checked = F.when(F.col(_MALFORMED).isNull(), F.col(first)).otherwise(
+    problem = F.raise_error(F.concat(F.lit("malformed row: "), F.col(MALFORMED)))
+    checked = F.when(F.col(MALFORMED).isNull(), F.col(first)).otherwise(
         problem.cast("string")
     )
     return null_tokens(rows.select(checked.alias(first), *others), missing)

@@ -8,7 +8,7 @@ from ledgerloom import schemas as S
 from ledgerloom.functions.casts import DOTTED_DATE
 from ledgerloom.plans.jobs import IngestSpec, detail_specs, reject_table
 from ledgerloom.sources.csv_files import Delimited, EncodingError
-from ledgerloom.streaming.file_drop import load_dropped_files
+from ledgerloom.streaming.file_drop import bad_files_table, load_dropped_files
 
 FILES = {
     "ft_balance_f": """ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT
@@ -285,6 +285,34 @@ def test_dropped_files_are_loaded_once(house, tmp_path):
     assert states == [(1, 0, 1), (2, 2, 0)]
 
 
+def test_bad_files_are_set_aside(house, tmp_path):
+    """Of four files one is undecodable and one has a torn row: the stream ends, the
+    others are loaded, and a repetition changes nothing."""
+    drop, progress = tmp_path / "drop", str(tmp_path / "progress")
+    drop.mkdir()
+    head = "ON_DATE;ACCOUNT_RK;CURRENCY_RK;BALANCE_OUT\n"
+    spec = IngestSpec(S.BALANCE, DOTTED_DATE)
+    (drop / "1.csv").write_text(head + "31.12.2017;1;34;5\n")
+    (drop / "2.csv").write_bytes((head + "31.12.2017;2;34;шесть\n31.12.2017;7;34;6\n").encode("cp1251"))
+    (drop / "3.csv").write_text(head + "31.12.2017;3;34;7\n")
+    (drop / "4.csv").write_text(head + "31.12.2017;4;34;7\n31.12.2017;5\n")
+    kept = [(day("2017-12-31"), 1, 34, money(5)), (day("2017-12-31"), 3, 34, money(7))]
+
+    def state():
+        aside = house.store.read(bad_files_table(spec))
+        return rows(house.store.read(S.BALANCE)), sorted((r.file.split("/")[-1], r.reason, r.rows) for r in aside.collect())
+
+    load_dropped_files(house, spec, str(drop), progress)
+    bad = [("2.csv", "1 undecodable rows", 2), ("4.csv", "1 rows with a wrong number of fields", 2)]
+    assert state() == (kept, bad)
+    failed = [r.message for r in house.audit.latest().filter("status = 'FAILED'").collect()]
+    assert len(failed) == 2 and all("2.csv" in m or "4.csv" in m for m in failed)
+    # The batch again, as after a lost checkpoint.
+    load_dropped_files(house, spec, str(drop), str(tmp_path / "again"))
+    assert state() == (kept, bad)
+    assert house.audit.latest().filter("status = 'FAILED'").count() == 2
+
+
 def test_undecodable_file_is_not_loaded(house, tmp_path):
     path = tmp_path / "a.csv"
     path.write_bytes("CURRENCY_CD;CURRENCY_NAME\n1;Рубль\n".encode("cp1251"))
