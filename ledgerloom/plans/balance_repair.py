@@ -102,4 +102,5 @@ def balance_turnover(
     ).select("account_rk", "department_rk", name.alias("currency_name"))
     sums = balances.select(*_KEY, "account_in_sum", "account_out_sum")
     # Sums have one row per account and day: no account outgrows the calendar.
-    return named.join(sums, "account_rk", "left").select(*BALANCE_TURNOVER.columns)
+    # They are the many side by nature, so never broadcast on an estimate.
+    return named.join(sums.hint("merge"), "account_rk", "left").select(*BALANCE_TURNOVER.columns)

@@ -1,8 +1,10 @@
 from decimal import Decimal
 
+import pytest
 from conftest import day, money, rows
 
 from ledgerloom import schemas as S
+from ledgerloom.catalog import marts
 from ledgerloom.plans import balance_repair as R
 from ledgerloom.plans.loan_holiday import loan_holiday_info
 
@@ -83,3 +85,32 @@ def test_repeated_days_are_mended_without_multiplying(frame):
     assert rows(fixed, "effective_date", "account_in_sum") == sorted(
         [(d1, money(0))] * 2 + [(d2, money(20))] * 2, key=str
     )
+
+
+@pytest.fixture
+def customers(spark, tmp_path):
+    """A folder with customers whose daily sums take far more room than their file."""
+    spark.range(0, 2000, 1, 1).selectExpr(
+        "id AS c_custkey",
+        "CAST(id % 25 AS INT) AS c_nationkey",
+        "CAST(id % 100 AS DOUBLE) AS c_acctbal",
+        "'BUILDING' AS c_mktsegment",
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(25).selectExpr(
+        "CAST(id AS INT) AS n_nationkey", "concat('N', id) AS n_name"
+    ).write.parquet(f"{tmp_path}/nation.parquet")
+    return str(tmp_path)
+
+
+def broadcast_sides(df):
+    """Joins of the final plan with a side that goes whole through the driver."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("BroadcastHashJoin")
+
+
+def test_account_days_of_the_mart_are_not_broadcast(spark, customers):
+    got = marts.balance_turnover_mart(spark, customers)
+    # The names of the currencies alone.
+    assert broadcast_sides(got) <= 1
+    assert got.count() == 80 + 80 * 9 + 23 * 80 * 10
