@@ -18,7 +18,9 @@ def _neighbours(balances: DataFrame, by_next_day: bool) -> DataFrame:
     """Pairs (day before, day) of one account whose sums do not meet.
 
     The join date is the later day when corrections belong there, else the
-    earlier one. NULL sums never count as different.
+    earlier one. NULL sums never count as different. Both sides are all daily
+    balances, so they are merged: the planner's estimate of rows that were
+    exploded on the way here is far too low, and it would broadcast them.
     """
     before = balances.select(
         "account_rk",
@@ -34,7 +36,7 @@ def _neighbours(balances: DataFrame, by_next_day: bool) -> DataFrame:
         ),
         "account_in_sum",
     )
-    return before.join(after, _KEY, "inner").filter(
+    return before.join(after.hint("merge"), _KEY, "inner").filter(
         F.col("account_in_sum") != F.col("account_out_sum")
     )
 

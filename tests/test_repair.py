@@ -114,3 +114,10 @@ def test_account_days_of_the_mart_are_not_broadcast(spark, customers):
     # The names of the currencies alone.
     assert broadcast_sides(got) <= 1
     assert got.count() == 80 + 80 * 9 + 23 * 80 * 10
+
+
+def test_account_days_are_not_broadcast_to_mend_opening_sums(spark, customers):
+    got = marts.correct_in(spark, customers)
+    assert broadcast_sides(got) == 0
+    # Nations 1 to 8 each have a day that does not meet the day before.
+    assert got.count() == 8 * 80
