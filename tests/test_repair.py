@@ -121,3 +121,9 @@ def test_account_days_are_not_broadcast_to_mend_opening_sums(spark, customers):
     assert broadcast_sides(got) == 0
     # Nations 1 to 8 each have a day that does not meet the day before.
     assert got.count() == 8 * 80
+
+
+def test_account_days_are_not_broadcast_to_mend_closing_sums(spark, customers):
+    got = marts.correct_out(spark, customers)
+    assert broadcast_sides(got) == 0
+    assert got.count() == 8 * 80
