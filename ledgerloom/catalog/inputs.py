@@ -14,6 +14,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ledgerloom.operators.lookup import dealt
+
 MONTH_START = dt.date(1995, 1, 1)
 MONTH_END = dt.date(1995, 1, 31)
 SEED_DAY = dt.date(1994, 12, 31)
@@ -235,11 +237,15 @@ def daily_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten days of opening and closing sums per account.
 
     One nation misses a day, one has no sums at all, and on day i the opening
-    sums of nation i do not meet the closing sums of the day before.
+    sums of nation i do not meet the closing sums of the day before. The
+    customers are dealt out before they become ten rows each: a small file is
+    one task, and whatever groups the sums would hold all of them in it.
     """
+    customers = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_nationkey", "c_acctbal"
+    )
     return (
-        table(spark, sf_dir, "customer")
-        .filter("c_nationkey <> 9")
+        dealt(customers.filter("c_nationkey <> 9"))
         .selectExpr("*", "explode(sequence(0, 9)) AS i")
         .filter("NOT (c_nationkey = 7 AND i = 5)")
         .selectExpr(

@@ -1,10 +1,12 @@
+from collections import Counter
 from decimal import Decimal
 
 import pytest
 from conftest import day, money, rows
+from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
-from ledgerloom.catalog import marts
+from ledgerloom.catalog import inputs, marts
 from ledgerloom.plans import balance_repair as R
 from ledgerloom.plans.loan_holiday import loan_holiday_info
 
@@ -127,3 +129,11 @@ def test_account_days_are_not_broadcast_to_mend_closing_sums(spark, customers):
     got = marts.correct_out(spark, customers)
     assert broadcast_sides(got) == 0
     assert got.count() == 8 * 80
+
+
+def test_no_task_holds_the_days_of_all_accounts_of_a_file(spark, customers):
+    days = inputs.daily_sums(spark, customers)
+    by_task = Counter(r[0] for r in days.select(F.spark_partition_id()).collect())
+    assert sum(by_task.values()) == days.count() == 80 * 9 + 23 * 80 * 10
+    assert max(by_task.values()) <= 2 * days.count() / len(by_task) and len(by_task) > 4
+    assert marts.apply_correction(spark, customers).count() == days.count()
