@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from conftest import day, rows
 
+from ledgerloom.catalog import checks as catalog
 from ledgerloom.operators import checks, lookup, reconcile, versions
 
 DDL = "k int, v string, n int"
@@ -112,3 +113,16 @@ def test_overlapping_versions(spark):
         ],
         key=str,
     )
+
+
+def test_daily_rows_of_one_file_are_counted_by_several_tasks(spark, tmp_path):
+    spark.range(0, 100, 1, 1).selectExpr(
+        "id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey", "1.5D AS c_acctbal"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    got = catalog.gap_check_daily(spark, str(tmp_path))
+    assert rows(got) == sorted(
+        [(k, day("2024-01-05"), day("2024-01-07"), 2) for k in (7, 32, 57, 82)], key=str
+    )
+    # The rows are made, and first counted, above an exchange of the customers.
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange" in plan[plan.rindex("Generate"):]
