@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.lookup import rates_by_day
+from ledgerloom.operators.lookup import dealt, rates_by_day
 
 _AMOUNT = "DECIMAL(23,8)"
 
@@ -50,7 +50,8 @@ def account_turnover(
     )
     daily_rates = rates_by_day(rates, start, end)
     return (
-        summed.join(accounts.select("account_rk", "currency_rk"), "account_rk", "left")
+        dealt(summed, "account_rk")
+        .join(accounts.select("account_rk", "currency_rk"), "account_rk", "left")
         .join(daily_rates, ["currency_rk", "on_date"], "left")
         .selectExpr(
             "*", "coalesce(rate, CAST(1 AS DECIMAL(12,8))) AS used_rate"

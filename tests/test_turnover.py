@@ -1,10 +1,11 @@
 import datetime as dt
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from decimal import Decimal
 
 import pytest
 from conftest import day, money, rows
+from pyspark.sql import functions as F
 
 from ledgerloom import schemas as S
 from ledgerloom.plans.turnover import account_turnover
@@ -92,3 +93,19 @@ def test_hot_account_equals_sums_by_hand(frame, tables):
     assert rows(got, "on_date", "account_rk", "credit_amount", "debet_amount") == sorted(
         [(d, a, money(c), money(x)) for (d, a), (c, x) in sums.items()], key=str
     )
+
+
+def test_account_days_are_dealt_out_for_the_lookups(spark, frame, tables):
+    """Few bytes in the shuffle, but several hash tables of a task hold them."""
+    start = day("2018-01-02")
+    postings = spark.range(0, 4000, 1, 2).selectExpr(
+        "DATE'2018-01-02' AS oper_date",
+        "id AS credit_account_rk",
+        "id AS debet_account_rk",
+        "CAST(1 AS DECIMAL(23,8)) AS credit_amount",
+        "CAST(2 AS DECIMAL(23,8)) AS debet_amount",
+    )
+    got = account_turnover(postings, *tables, start).withColumn("task", F.spark_partition_id())
+    by_task = Counter(r["task"] for r in got.collect())
+    assert sum(by_task.values()) == 4000
+    assert len(by_task) > 4 and max(by_task.values()) < 500
