@@ -302,6 +302,7 @@ class Warehouse:
             _days(first, last),
             lambda: account_turnover(read(S.POSTING), read(S.ACCOUNT), rates, first, last),
             _label(first, last) + note,
+            compact=True,
         )
 
     def seed_balances(self, as_of: dt.date) -> U.LoadStats:
@@ -330,6 +331,7 @@ class Warehouse:
             _days(first, last or first),
             plan,
             _label(first, last or first),
+            compact=True,
         )
 
     def fill_ledger_report(

@@ -346,3 +346,35 @@ def test_malformed_import_leaves_the_table(house, tmp_path, frame):
     with pytest.raises(Exception, match="malformed"):
         house.import_csv(S.CURRENCY_NAME, str(path), truncate_first=True)
     assert rows(house.store.read(S.CURRENCY_NAME)) == [("1", "a")]
+
+
+def test_marts_of_a_period_have_their_rows_together_by_date(house):
+    """Not a file of every task for every date."""
+    spark, (first, last) = house.spark, (day("2018-01-01"), day("2018-01-05"))
+    house.store.rewrite(
+        S.ACCOUNT,
+        spark.range(400).selectExpr(
+            "DATE'2018-01-01' AS data_actual_date", "DATE'2018-12-31' AS data_actual_end_date",
+            "id AS account_rk", "lpad(id, 20, '3') AS account_number", "'А' AS char_type",
+            "34L AS currency_rk", "'810' AS currency_code",
+        ),
+    )
+    house.store.rewrite(
+        S.POSTING,
+        spark.range(2000).selectExpr(
+            "date_add(DATE'2018-01-01', CAST(id % 5 AS INT)) AS oper_date",
+            "id % 400 AS credit_account_rk", "(id + 7) % 400 AS debet_account_rk",
+            "CAST(1 AS DECIMAL(23,8)) AS credit_amount", "CAST(1 AS DECIMAL(23,8)) AS debet_amount",
+        ),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        house.fill_turnover(first, last)
+        house.fill_balances(first, last)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert house.store.read(S.DAILY_BALANCE).count() == 5 * 400
+    for mart in (S.TURNOVER, S.DAILY_BALANCE):
+        for date in house.store.dates(mart):
+            place = f"{house.store.folder(mart)}/{mart.partition_by}={date.isoformat()}"
+            assert len([n for n in house.store._children(place) if n.endswith(".parquet")]) == 1
