@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from ledgerloom.operators import upsert as U
 from ledgerloom.operators.first_values import first_of_all
 from ledgerloom.plans.audit import AuditLog
 from ledgerloom.plans.jobs import IngestSpec, Warehouse
+from ledgerloom.session import at_once
 from ledgerloom.sources.csv_files import Delimited, write_delimited
 from ledgerloom.sources.tables import TableStore, shared_folder
 from ledgerloom.streaming.file_drop import load_dropped_files
@@ -414,8 +416,13 @@ def _day_of_files(spark: SparkSession, sf_dir: str, root: str) -> str:
         S.EXCHANGE_RATE: rate_stage_text,
         S.LEDGER_ACCOUNT: ledger_stage_text,
     }
-    for spec, text in texts.items():
-        write_delimited(text(spark, sf_dir), f"{root}/in/{spec.name}.csv")
+    at_once(
+        spark,
+        {
+            spec.name: partial(write_delimited, text(spark, sf_dir), f"{root}/in/{spec.name}.csv")
+            for spec, text in texts.items()
+        },
+    )
     return f"{root}/in"
 
 

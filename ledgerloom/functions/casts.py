@@ -38,9 +38,20 @@ MISSING_TOKENS = (
 )
 
 
+# Fixed value: ISO dates that a plain cast reads as their pattern does; no year 0 or sign.
+_PLAIN_ISO = "^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}$"
+
+
 def parse_date(text: Column, pattern: str, lenient: bool = False) -> Column:
-    """Date from text. A bad text fails the job unless ``lenient`` (then NULL)."""
-    return (F.try_to_date if lenient else F.to_date)(text, pattern)
+    """Date from text. A bad text fails the job unless ``lenient`` (then NULL).
+
+    A cast takes a third of the time of a pattern; what it does not read, and any
+    other text, goes by the pattern.
+    """
+    by_pattern = (F.try_to_date if lenient else F.to_date)(text, pattern)
+    if pattern != ISO_DATE:
+        return by_pattern
+    return F.coalesce(F.when(text.rlike(_PLAIN_ISO), text.try_cast("date")), by_pattern)
 
 
 def cut_text(value: Column, width: int) -> Column:

@@ -275,31 +275,52 @@ def rejects_of_load(
     return _compared(stage, outcome, key, attributes, valid)
 
 
+def repeated_or_invalid(
+    stage: DataFrame, key: Sequence[str], valid: Column | None = None
+) -> DataFrame:
+    """The staged keys with several rows or an invalid one.
+
+    All keys of ``contested_rows`` are among them. Counts alone tell, without
+    comparing (and sorting) the attributes.
+    """
+    refused = F.lit(False) if valid is None else ~valid
+    return (
+        stage.filter(_has_key(key))
+        .groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max(refused).alias("_refused"))
+        .filter((F.col("_rows") > 1) | F.col("_refused"))
+        .select(*key)
+    )
+
+
 def contested_rows(
     stage: DataFrame,
     key: Sequence[str],
     attributes: Sequence[str],
     valid: Column | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """The staged rows that a load of this stage can possibly reject.
 
     A key staged with a single version, all valid, ends up stored as staged. So
     only rows without a key, and rows whose key has several versions or an
     invalid one, need comparing with the loaded table; usually they are few.
+    ``keys`` may give the keys in question, or more of them, from before.
     """
     key, version = list(key), F.struct(*attributes)
     refused = F.lit(False) if valid is None else ~valid
-    contested = (
-        stage.filter(_has_key(key))
-        .groupBy(*key)
-        .agg(
-            (F.min(version) != F.max(version)).alias("_several"),
-            F.max(refused).alias("_refused"),
+    if keys is None:
+        keys = (
+            stage.filter(_has_key(key))
+            .groupBy(*key)
+            .agg(
+                (F.min(version) != F.max(version)).alias("_several"),
+                F.max(refused).alias("_refused"),
+            )
+            .filter(F.col("_several") | F.col("_refused"))
+            .select(*key)
         )
-        .filter(F.col("_several") | F.col("_refused"))
-        .select(*key)
-    )
-    keyed = spread_join(stage, contested, key, "left_semi").select(*stage.columns)
+    keyed = spread_join(stage, keys, key, "left_semi").select(*stage.columns)
     return keyed.unionByName(stage.filter(~_has_key(key)))
 
 

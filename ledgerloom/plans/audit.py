@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -40,25 +41,28 @@ class AuditLog:
     def __init__(self, store: TableStore, clock: Callable[[], dt.datetime] = utc_now):
         self.store = store
         self.clock = clock
+        # Two appends to one folder at a time would clear each other's temporary files.
+        self._one_at_a_time = threading.Lock()
 
     def _event(
         self, run: Run, process: str, table: str, status: str, message: str | None
     ) -> None:
         s = run.stats
-        row = (
-            run.run_id,
-            process,
-            table,
-            self.clock(),
-            status,
-            message,
-            s.input,
-            s.inserted,
-            s.updated,
-            s.skipped,
-        )
-        event = self.store.spark.createDataFrame([row], AUDIT_EVENT.schema)
-        self.store.append(AUDIT_EVENT, event.coalesce(1))
+        with self._one_at_a_time:
+            row = (
+                run.run_id,
+                process,
+                table,
+                self.clock(),
+                status,
+                message,
+                s.input,
+                s.inserted,
+                s.updated,
+                s.skipped,
+            )
+            event = self.store.spark.createDataFrame([row], AUDIT_EVENT.schema)
+            self.store.append(AUDIT_EVENT, event.coalesce(1))
 
     @contextmanager
     def run(

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,7 @@ from ledgerloom.plans.ledger_report import ledger_report
 from ledgerloom.plans.loan_holiday import loan_holiday_info
 from ledgerloom.plans.turnover import account_turnover
 from ledgerloom.schemas import TableSpec
+from ledgerloom.session import at_once
 from ledgerloom.sources.csv_files import (
     Delimited,
     EncodingError,
@@ -48,6 +50,9 @@ LOAD, MART, EXPORT, IMPORT = "ETL_DS_Load", "data_mart_load", "Export_to_CSV", "
 
 _BROKEN, _DATES = "_undecodable", "dates"
 
+# So many keys take some 50 MB where they are held whole, on the driver and in each executor.
+FEW_KEYS = 500_000
+
 
 @dataclass(frozen=True)
 class IngestSpec:
@@ -203,8 +208,8 @@ class Warehouse:
             named = table.columns
             inserted = self.store.rewrite(table, U.replace_with_distinct(stage))["rows"]
             updated, doubtful = 0, landed["incomplete"]
-            rejects = U.unmatched_after_replace(stage)
-        message = self._keep_rejects(spec, rejects, named, run_id) if doubtful else None
+            rejects = partial(U.unmatched_after_replace, stage)
+        message = self._keep_rejects(spec, rejects(), named, run_id) if doubtful else None
         self.store.truncate(landing)
         return U.LoadStats(received, inserted, updated, message)
 
@@ -226,9 +231,10 @@ class Warehouse:
 
     def _merge(
         self, spec: IngestSpec, stage: DataFrame, dates: Sequence[dt.date]
-    ) -> tuple[dict[str, int], DataFrame]:
+    ) -> tuple[dict[str, int], Callable[[], DataFrame]]:
         """Keyed load. A table kept by date is touched on the staged dates only, one
-        kept in buckets in those of the staged keys."""
+        kept in buckets in those of the staged keys. Returns the counters, and how
+        to find the rejected rows."""
         table, store = spec.table, self.store
         attributes = [c for c in spec.wanted if c not in table.key]
         valid = spec.valid() if spec.valid else None
@@ -249,8 +255,30 @@ class Warehouse:
         else:
             seen = store.rewrite(table, merged(store.read(table)), counts, marks)
             loaded = store.read(table)
-        doubtful = U.contested_rows(stage, table.key, attributes, valid)
-        return seen, U.rejected_rows(loaded, doubtful, table.key, attributes, valid)
+        return seen, lambda: self._rejects(table, stage, loaded, attributes, valid)
+
+    def _rejects(
+        self,
+        table: TableSpec,
+        stage: DataFrame,
+        loaded: DataFrame,
+        attributes: Sequence[str],
+        valid: Column | None,
+    ) -> DataFrame:
+        """The staged rows that the loaded table lacks or holds otherwise.
+
+        The keys that can have such rows are stored first. If they are known to be
+        few, the stage and the loaded table are only filtered by them where they
+        lie; else Spark shuffles both whole before it can tell.
+        """
+        found = U.repeated_or_invalid(stage, table.key, valid)
+        held = TableSpec("work", f"{table.name}_keys", found.schema)
+        keys = None
+        if self.store.rewrite(held, found)["rows"] <= FEW_KEYS:
+            keys = F.broadcast(self.store.read(held))
+            loaded = loaded.join(keys, list(table.key), "left_semi")
+        doubtful = U.contested_rows(stage, table.key, attributes, valid, keys)
+        return U.rejected_rows(loaded, doubtful, table.key, attributes, valid)
 
     def _finish_pending(self, table: TableSpec, dates: Sequence[dt.date] | None = None) -> None:
         """Move rewritten dates from their pending table into place.
@@ -269,11 +297,20 @@ class Warehouse:
     def load_detail(
         self, folder: str, posting_date_pattern: str
     ) -> dict[str, U.LoadStats]:
-        """All six files of a folder, in table order."""
-        return {
-            spec.table.name: self.load_file(spec, f"{folder}/{spec.file_name}")
-            for spec in detail_specs(posting_date_pattern)
-        }
+        """All six files of a folder, at the same time: no table needs another one.
+
+        What one load leaves idle (few files, a last task, a commit) the others
+        use. A failure does not stop the others; the first one in table order is
+        raised when all have ended.
+        """
+        specs = detail_specs(posting_date_pattern)
+        return at_once(
+            self.spark,
+            {
+                spec.table.name: partial(self.load_file, spec, f"{folder}/{spec.file_name}")
+                for spec in specs
+            },
+        )
 
     # --- marts -------------------------------------------------------------
 

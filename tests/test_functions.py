@@ -105,3 +105,25 @@ def test_messages(spark):
     assert got.rejected_rows == 2 and got.message.startswith(text)
     none = messages.lines_summary(lines.filter("false")).first()
     assert (none.rejected_rows, none.message) == (0, None)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["2018-02-01", "2018-02-30", "2018-2-1", "0000-01-01", "-2018-01-01", "9999-12-31", "12018-01-01", "2018-02-01 ", "x", None],
+)
+def test_iso_dates_are_read_as_by_their_pattern(spark, text):
+    df = one(spark, text)
+    read = lambda column: value(df, column.cast("string"))
+    assert read(casts.parse_date(F.col("x"), casts.ISO_DATE, lenient=True)) == read(F.try_to_date("x", casts.ISO_DATE))
+    try:
+        expected = read(F.to_date("x", casts.ISO_DATE))
+    except Exception as problem:
+        with pytest.raises(type(problem)):
+            read(casts.parse_date(F.col("x"), casts.ISO_DATE))
+    else:
+        assert read(casts.parse_date(F.col("x"), casts.ISO_DATE)) == expected
+
+
+def test_most_iso_dates_need_no_pattern(spark):
+    plan = one(spark, "2018-02-01").select(casts.parse_date(F.col("x"), casts.ISO_DATE))
+    assert "cast(x" in plan._jdf.queryExecution().optimizedPlan().toString()

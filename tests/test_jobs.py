@@ -1,4 +1,5 @@
 import datetime as dt
+import threading
 from decimal import Decimal
 
 import pytest
@@ -6,6 +7,7 @@ from conftest import day, money, rows
 
 from ledgerloom import schemas as S
 from ledgerloom.functions.casts import DOTTED_DATE
+from ledgerloom.plans import jobs
 from ledgerloom.plans.jobs import IngestSpec, detail_specs, reject_table
 from ledgerloom.sources.csv_files import Delimited, EncodingError
 from ledgerloom.streaming.file_drop import bad_files_table, load_dropped_files
@@ -378,3 +380,58 @@ def test_marts_of_a_period_have_their_rows_together_by_date(house):
         for date in house.store.dates(mart):
             place = f"{house.store.folder(mart)}/{mart.partition_by}={date.isoformat()}"
             assert len([n for n in house.store._children(place) if n.endswith(".parquet")]) == 1
+
+
+def test_files_of_a_day_are_loaded_at_the_same_time(house, folder, monkeypatch):
+    all_there = threading.Barrier(6)
+    load = house.load_file
+
+    def meet(spec, path):
+        all_there.wait(30)
+        return load(spec, path)
+
+    monkeypatch.setattr(house, "load_file", meet)
+    stats = house.load_detail(str(folder), POSTING_DATES)
+    assert list(stats) == [s.table.name for s in detail_specs(POSTING_DATES)]
+    assert stats["md_currency_d"].skipped == 2
+    # No event of the six is lost.
+    assert house.audit.events().count() == 12
+    assert {r.status for r in house.audit.latest().collect()} == {"SUCCESS"}
+
+
+def test_first_failure_in_table_order_is_raised_when_all_files_have_ended(house, folder):
+    (folder / "ft_posting_f.csv").write_text("OPER_DATE\n09-01-2018\n")
+    (folder / "md_currency_d.csv").write_text("CURRENCY_RK\n1\n")
+    with pytest.raises(LookupError, match="ft_posting_f"):
+        house.load_detail(str(folder), POSTING_DATES)
+    states = {r.table_name: r.status for r in house.audit.latest().collect()}
+    assert states.pop("ft_posting_f") == states.pop("md_currency_d") == "FAILED"
+    assert set(states.values()) == {"SUCCESS"} and len(states) == 4
+
+
+def test_rejects_are_the_same_for_few_and_for_many_doubtful_keys(house, monkeypatch):
+    spec = detail_specs(POSTING_DATES)[3]
+    text = house.spark.createDataFrame(
+        [
+            ("1", "2018-01-01", "2050-12-31", "840", "USD"),
+            ("1", "2018-01-01", "2050-12-31", "978", "EUR"),
+            ("2", "2018-01-01", None, "0", "NON"),
+            (None, "2018-01-01", None, "840", "USD"),
+            ("3", "2018-01-01", None, "840", "USD"),
+            ("3", "2018-01-01", None, "840", "USD"),
+        ],
+        ", ".join(f"{c} string" for c in S.CURRENCY.columns),
+    )
+    found = []
+    for most in (jobs.FEW_KEYS, 0):
+        monkeypatch.setattr(jobs, "FEW_KEYS", most)
+        house.store.truncate(S.CURRENCY)
+        house.store.truncate(reject_table(spec))
+        stats = house.load_rows(spec, text)
+        found.append((stats, rows(house.store.read(reject_table(spec)).select("line"))))
+        # Rejected: a version of key 1, key 2, no key. The second row of key 3 equals the first.
+        assert (stats.input, stats.inserted, len(found[-1][1])) == (6, 2, 3)
+    assert found[0] == found[1]
+    # All keys that may have rejected rows were stored first.
+    held = S.TableSpec("work", "md_currency_d_keys", S.T.StructType([S.CURRENCY.schema[c] for c in S.CURRENCY.key]))
+    assert sorted(r[0] for r in house.store.read(held).collect()) == [1, 2, 3]

@@ -137,3 +137,19 @@ def test_update_from_touches_differing_rows_only(spark):
     t = spark.createDataFrame([(1, 1, 1, "x"), (2, 1, 1, "y")], DDL)
     c = spark.createDataFrame([(1, 1, None)], "k1 int, k2 int, a int")
     assert rows(U.update_from(t, c, KEY, ["a"])) == [(1, 1, None, "x"), (2, 1, 1, "y")]
+
+
+def test_rows_of_doubtful_keys_are_found_without_a_shuffle_of_the_stage(spark):
+    rng = random.Random(3)
+    valid = F.coalesce(F.col("a") != 3, F.lit(True))
+    for _ in range(5):
+        t = spark.createDataFrame(random_rows(rng, 20, True), DDL)
+        s = spark.createDataFrame(random_rows(rng, 40, False), DDL)
+        after = U.snapshot(U.merge_rows(t, s, KEY, ATTRS, valid))
+        keys = U.repeated_or_invalid(s, KEY, valid)
+        assert U.contested_rows(s, KEY, ATTRS, valid).select(*KEY).dropna().join(keys, KEY, "left_anti").isEmpty()
+        doubtful = U.contested_rows(s, KEY, ATTRS, valid, F.broadcast(spark.createDataFrame(keys.collect(), keys.schema)))
+        assert "Exchange hash" not in doubtful._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in keys._jdf.queryExecution().executedPlan().toString()
+        got = U.rejected_rows(after, doubtful, KEY, ATTRS, valid)
+        assert rows(got) == rows(U.rejected_rows(after, s, KEY, ATTRS, valid))
