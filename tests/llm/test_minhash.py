@@ -1,6 +1,7 @@
 """Circulant MinHash against all pairs."""
 
 import random
+import tracemalloc
 from pathlib import Path
 
 import numpy as np
@@ -110,3 +111,22 @@ def test_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in table.select("doc_id", "text").collect()]
     assert got(table) == brute(rows)
+
+
+def test_signatures_of_many_shingles_take_little():
+    """Sets of more shingles than are looked up at once, beside small and empty ones."""
+    rng = np.random.default_rng(7)
+    sizes = [0, 1, 700, T.LOOKUP, T.LOOKUP + 1, 40_000, 0]
+    sets = [np.sort(rng.integers(-(1 << 63), (1 << 63) - 1, n)) for n in sizes]
+    T.signatures(sets[:2])
+    tracemalloc.start()
+    found = T.signatures(sets)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 << 20
+    windows = T._circle(T.BANDS * T.WIDTH)
+    for own, row in zip(sets, found, strict=True):
+        if len(own):
+            assert (row == np.min([windows[s] for s in T._slots(own)], axis=0)).all()
+        else:
+            assert (row == np.iinfo(np.uint32).max).all()
